@@ -142,12 +142,12 @@ hits as (
          round(cast(coalesce(s, 0) as double) / sqrt(cast(coalesce(s, 0) as double) * coalesce(s, 0) + 15), 4) as review_sentiment
   from cleaned c left join totals using (review_id)
 ), rollup_by_business as (
-  select business_id, round(avg(review_sentiment), 4) as avg_sentiment,
-         round(median(review_sentiment), 4) as median_sentiment,
+  select business_id, round_even(avg(cast(round(review_sentiment * 10000) as bigint)), 0) / 10000 as avg_sentiment,
+         round_even(median(cast(round(review_sentiment * 10000) as bigint)), 0) / 10000 as median_sentiment,
          round(stddev_samp(review_sentiment), 4) as std_sentiment,
          count(*) as review_count,
-         round(100 * avg(case when review_sentiment >= 0.05 then 1 else 0 end), 1) as pct_positive,
-         round(100 * avg(case when review_sentiment <= -0.05 then 1 else 0 end), 1) as pct_negative
+         round_even(100 * avg(case when review_sentiment >= 0.05 then 1 else 0 end), 1) as pct_positive,
+         round_even(100 * avg(case when review_sentiment <= -0.05 then 1 else 0 end), 1) as pct_negative
   from scored_reviews group by business_id
 )"""
 
@@ -185,7 +185,7 @@ parts as (
 
 _SUBSTRING = _taxonomy("contains(p.name, t.keyword)")
 _WORDS = _taxonomy(
-    "regexp_matches(p.name, '(^|[^\\pL\\pN_])' || regexp_escape(t.keyword) || '($|[^\\pL\\pN_])')"
+    "contains(' ' || replace(p.name, '&', ' ') || ' ', ' ' || t.keyword || ' ')"
 )
 
 _RATIO_AB = _ratio("a.text", "b.text")
@@ -347,10 +347,10 @@ _SQL = {
     "sentiment_by_business": "with @sentiment@ select * from rollup_by_business",
     "sentiment_distribution": """with @sentiment@, labelled as (select case when review_sentiment >= 0.05 then 'positive'
         when review_sentiment <= -0.05 then 'negative' else 'neutral' end as polarity from scored_reviews)
-        select p.polarity, count(l.polarity) as reviews, round(100.0 * count(l.polarity) / (select count(*) from labelled), 1) as pct
+        select p.polarity, count(l.polarity) as reviews, round_even(100e0 * count(l.polarity) / (select count(*) from labelled), 1) as pct
         from (values ('positive'), ('neutral'), ('negative')) as p(polarity) left join labelled l using (polarity) group by p.polarity""",
-    "sentiment_summary": """with @sentiment@ select count(*) as businesses, round(avg(avg_sentiment), 4) as mean_avg_sentiment,
-        round(median(avg_sentiment), 4) as median_avg_sentiment, round(stddev_samp(avg_sentiment), 4) as std_avg_sentiment,
+    "sentiment_summary": """with @sentiment@ select count(*) as businesses, round_even(avg(cast(round(avg_sentiment * 10000) as bigint)), 0) / 10000 as mean_avg_sentiment,
+        round_even(median(cast(round(avg_sentiment * 10000) as bigint)), 0) / 10000 as median_avg_sentiment, round(stddev_samp(avg_sentiment), 4) as std_avg_sentiment,
         median(review_count) as median_review_count from rollup_by_business""",
     "sentiment_extremes": """with @sentiment@
         (select 'most positive' as side, business_id, avg_sentiment, review_count from rollup_by_business

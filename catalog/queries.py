@@ -23,6 +23,7 @@ from streetloom.operators.taxonomy import categorize, categorize_by_table
 from streetloom.plans import businesses as biz
 from streetloom.plans import integration, requests, reviews
 from streetloom.session import scratch_path
+from streetloom.sources.writers import CSV_OPTIONS
 from streetloom.sources import (
     read_csv,
     read_csv_positional,
@@ -142,10 +143,9 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_csv_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "requests-csv")
     wide = role(spark, sf_dir, "requests_raw")
-    options = {"header": True, "escape": '"'}
-    wide.write.options(**options).csv(path)
+    write_csv(wide, path)
     # files of another width in the same directory are left out
-    _orders(spark, sf_dir).write.mode("append").options(**options).csv(path)
+    _orders(spark, sf_dir).write.mode("append").options(**CSV_OPTIONS).csv(path)
     return columns.drop_columns(read_csv_positional(spark, path))
 
 

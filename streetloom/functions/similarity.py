@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from streetloom.functions.binding import bind
+
 _BITS = 62  # one word; leaves room for the carry in a signed 64-bit sum
 _FULL = (1 << _BITS) - 1
 
@@ -20,27 +22,31 @@ def characters(col: Column) -> Column:
 
 def character_masks(col: Column) -> Column:
     """map<character, array<long>>: where each character stands, 62 positions per word."""
-    pieces = F.transform(
-        F.sequence(F.lit(0), mask_words(col) - 1),
-        lambda word: F.substring(col, word * _BITS + 1, F.lit(_BITS)),
-    )
 
     def positions(piece: Column, ch: Column) -> Column:
         return F.aggregate(
-            F.transform(characters(piece), lambda other, at: F.struct(other.alias("c"), at.alias("at"))),
+            F.transform(piece, lambda other, at: F.when(other == ch, at)),
             F.lit(0).cast("long"),
-            lambda mask, cell: F.when(
-                cell["c"] == ch,
-                mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), cell["at"])),
-            ).otherwise(mask),
+            lambda mask, at: F.when(at.isNull(), mask).otherwise(
+                mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+            ),
         )
 
-    return F.map_from_entries(
-        F.transform(
-            F.array_distinct(characters(col)),
-            lambda ch: F.struct(ch, F.transform(pieces, lambda piece: positions(piece, ch))),
+    def masks(letters: Column) -> Column:
+        pieces = F.transform(
+            F.sequence(F.lit(0), mask_words(col) - 1), lambda word: F.slice(letters, word * _BITS + 1, _BITS)
+        )
+        return bind(
+            pieces,
+            lambda cut: F.map_from_entries(
+                F.transform(
+                    F.array_distinct(letters),
+                    lambda ch: F.struct(ch, F.transform(cut, lambda piece: positions(piece, ch))),
+                )
+            ),
         )
-    )
+
+    return bind(characters(col), masks)
 
 
 def lcs_length(masks: Column, words: Column, other: Column) -> Column:
@@ -71,7 +77,7 @@ def lcs_length(masks: Column, words: Column, other: Column) -> Column:
 
     return F.aggregate(
         characters(other),
-        F.transform(F.sequence(F.lit(1), words), lambda _: full),
+        F.array_repeat(full, words),
         step,
         lambda vector: F.aggregate(
             vector, F.lit(0), lambda found, value: found + F.lit(_BITS) - F.bit_count(value)
@@ -87,13 +93,16 @@ def ratio_from_lcs(lcs: Column, length_a: Column, length_b: Column) -> Column:
     return F.bround(lcs * 200 / (length_a + length_b)).cast("int")
 
 
+def measured_ratio(left: Column, right: Column) -> Column:
+    """0..100 of two texts that are not empty."""
+    lcs = bind(character_masks(left), lambda masks: lcs_length(masks, mask_words(left), right))
+    return ratio_from_lcs(lcs, F.length(left), F.length(right))
+
+
 def similarity_ratio(left: Column, right: Column) -> Column:
     """0..100 on the two texts as given; equal texts (also two empty ones) give 100, one empty gives 0."""
-    measured = ratio_from_lcs(
-        lcs_length(character_masks(left), mask_words(left), right), F.length(left), F.length(right)
-    )
     return (
         F.when(left == right, F.lit(100))
         .when((F.length(left) == 0) | (F.length(right) == 0), F.lit(0))
-        .otherwise(measured)
+        .otherwise(measured_ratio(left, right))
     )

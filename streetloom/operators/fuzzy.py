@@ -24,12 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.fixed_values import FUZZY_THRESHOLD
-from streetloom.functions.similarity import (
-    character_masks,
-    lcs_length,
-    mask_words,
-    ratio_from_lcs,
-)
+from streetloom.functions.binding import bind
+from streetloom.functions.similarity import measured_ratio
 
 
 def _bounds(threshold: int) -> tuple[float, float]:
@@ -61,13 +57,20 @@ def _representatives(df: DataFrame, block: Column, text: Column, order_by: Seque
 def _character_pairs(text: Column) -> Column:
     """Padded neighbouring characters, numbered by occurrence so that the array is a set."""
     padded = F.concat(F.lit("\x02"), text, F.lit("\x03"))
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length(padded) - 1), lambda at: F.substring(padded, at, F.lit(2))
+    pairs = bind(
+        padded,
+        lambda whole: F.transform(
+            F.sequence(F.lit(1), F.length(whole) - 1), lambda at: F.substring(whole, at, F.lit(2))
+        ),
     )
-    return F.transform(
+
+    def occurrence(found: Column, pair: Column, at: Column) -> Column:
+        return F.size(F.filter(F.slice(found, F.lit(1), at + 1), lambda other: other == pair))
+
+    return bind(
         pairs,
-        lambda pair, at: F.concat(
-            pair, F.size(F.filter(F.slice(pairs, 1, at + 1), lambda other: other == pair)).cast("string")
+        lambda found: F.transform(
+            found, lambda pair, at: F.concat(pair, occurrence(found, pair, at).cast("string"))
         ),
     )
 
@@ -111,7 +114,6 @@ def _sides(reps: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Colum
         F.col("copies").alias("copies_a"),
         F.col("prefix").alias("prefix_a"),
         F.length("text").alias("length_a"),
-        character_masks(F.col("text")).alias("masks_a"),
     )
     late = spread.select(
         F.col("block").alias("block_b"),
@@ -135,11 +137,6 @@ def _sides(reps: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Colum
     return early, late, meet
 
 
-def _ratio() -> Column:
-    lcs = lcs_length(F.col("masks_a"), mask_words(F.col("text_a")), F.col("text_b"))
-    return ratio_from_lcs(lcs, F.col("length_a"), F.col("length_b"))
-
-
 def similar_texts(
     df: DataFrame,
     block: Column,
@@ -156,7 +153,7 @@ def similar_texts(
     early, late, meet = _sides(reps, threshold)
     return (
         early.join(late, meet)
-        .withColumn("ratio", _ratio())
+        .withColumn("ratio", measured_ratio(F.col("text_a"), F.col("text_b")))
         .where(F.col("ratio") > threshold)
         .select(
             F.col("block_a").alias("block"),
@@ -179,7 +176,7 @@ def fuzzy_dedup(
     reps = _representatives(df, block, text, order_by)
     early, late, meet = _sides(reps, threshold)
     marked = (
-        late.join(early, meet & (_ratio() > threshold), "left_semi")
+        late.join(early, meet & (measured_ratio(F.col("text_a"), F.col("text_b")) > threshold), "left_semi")
         .select(F.col("block_b").alias("_block"), F.col("text_b").alias("_text"))
         .distinct()
     )
