@@ -170,7 +170,13 @@ ROLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table; one whose files make fewer scan tasks than there are cores is spread over up to 16.
+
+    Each shared table is one file of one row group, hence one task. Tables of many files stay as read.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    wanted = min(spark.sparkContext.defaultParallelism, 16)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

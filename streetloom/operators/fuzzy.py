@@ -14,6 +14,9 @@ la + 1 padded character pairs of a, an insertion at most one. So more than
 1 + (3c - 1)(la + lb) pairs survive, and since lb > la * c / (1 - c), more than
 1 + la * (3c - 1) / (1 - c). Two sets that share more than k elements must share one among their
 size - k first elements in any common order; rarest-first keeps the groups small.
+
+Representatives and their prefixes are checkpointed, because several later steps read them: the input is
+computed twice at most, and calling an operator runs these two jobs.
 """
 
 from __future__ import annotations
@@ -25,7 +28,14 @@ from pyspark.sql import functions as F
 
 from streetloom.fixed_values import FUZZY_THRESHOLD
 from streetloom.functions.binding import bind
-from streetloom.functions.similarity import measured_ratio
+from streetloom.functions.similarity import measured_ratio, short_masks
+from streetloom.operators.skew import salted_join
+from streetloom.session import checkpointed
+
+# Texts of one block that share a character pair are cut into parts of this size, so a task compares at
+# most its square. The broadcast table of such groups has at most 1/5000 as many rows as there are
+# (text, pair) rows.
+HOT_GROUP_ROWS = 5_000
 
 
 def _bounds(threshold: int) -> tuple[float, float]:
@@ -103,40 +113,33 @@ def _comparable(reps: DataFrame) -> DataFrame:
 
 
 def _sides(reps: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Column]:
-    """Earlier side, later side and the exact match condition between them."""
-    keyed = _candidate_keys(_comparable(reps.where(F.length("text") > 0)), threshold)
-    spread = keyed.withColumn("pair", F.explode("prefix"))
-    early = spread.select(
-        F.col("block").alias("block_a"),
-        F.col("pair").alias("pair_a"),
-        F.col("text").alias("text_a"),
-        F.col("place").alias("place_a"),
-        F.col("copies").alias("copies_a"),
-        F.col("prefix").alias("prefix_a"),
-        F.length("text").alias("length_a"),
-    )
-    late = spread.select(
-        F.col("block").alias("block_b"),
-        F.col("pair").alias("pair_b"),
-        F.col("text").alias("text_b"),
-        F.col("place").alias("place_b"),
-        F.col("copies").alias("copies_b"),
-        F.col("prefix").alias("prefix_b"),
-        F.length("text").alias("length_b"),
-    )
+    """Earlier side, later side and the condition of a match besides equal block and character pair."""
+    keyed = checkpointed(_candidate_keys(_comparable(reps.where(F.length("text") > 0)), threshold))
+    # masks are made once per text and travel with it, instead of once per candidate pair
+    early = keyed.withColumn("masks", short_masks(F.col("text"))).withColumn("pair", F.explode("prefix"))
+    late = keyed.withColumn("pair", F.explode("prefix"))
+    names = ["text", "place", "copies", "prefix"]
+    early = early.withColumnsRenamed({name: f"{name}_a" for name in [*names, "masks"]})
+    late = late.withColumnsRenamed({name: f"{name}_b" for name in names})
     shorter, _ = _bounds(threshold)
-    low, high = F.least("length_a", "length_b"), F.greatest("length_a", "length_b")
+    length_a, length_b = F.length("text_a"), F.length("text_b")
     meet = (
-        (F.col("block_a") == F.col("block_b"))
-        & (F.col("pair_a") == F.col("pair_b"))
-        & (F.col("place_a") < F.col("place_b"))
-        & (low > high * F.lit(shorter))
+        (F.col("place_a") < F.col("place_b"))
+        & (F.least(length_a, length_b) > F.greatest(length_a, length_b) * F.lit(shorter))
         # the pair of texts meets once, at the first element that both prefixes share
-        & (F.get(F.array_intersect("prefix_a", "prefix_b"), F.lit(0)) == F.col("pair_a"))
+        & (F.get(F.array_intersect("prefix_a", "prefix_b"), F.lit(0)) == F.col("pair"))
     )
     return early, late, meet
 
 
+def _tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _ratio() -> Column:
+    return measured_ratio(F.col("text_a"), F.col("text_b"), F.col("masks_a"))
+
+
 def similar_texts(
     df: DataFrame,
     block: Column,
@@ -149,15 +152,18 @@ def similar_texts(
     ``copies_a`` and ``copies_b`` say how many rows carry each text, so the row pairs behind a result
     row are counted without listing them.
     """
-    reps = _representatives(df, block, text, order_by)
+    reps = checkpointed(_representatives(df, block, text, order_by))
     early, late, meet = _sides(reps, threshold)
+    ratio = _ratio()
+    met = salted_join(
+        early, late, ["block", "pair"], HOT_GROUP_ROWS, ["text_a"], ["text_b"], meet, partitions=_tasks(df)
+    )
     return (
-        early.join(late, meet)
-        .withColumn("ratio", measured_ratio(F.col("text_a"), F.col("text_b")))
-        .where(F.col("ratio") > threshold)
+        met
+        # one evaluation: a plain filter on the column would compute it a second time
+        .withColumn("ratio", F.explode(F.filter(F.array(ratio), lambda found: found > threshold)))
         .select(
-            F.col("block_a").alias("block"),
-            "text_a", "text_b", "place_a", "place_b", "copies_a", "copies_b", "ratio",
+            "block", "text_a", "text_b", "place_a", "place_b", "copies_a", "copies_b", "ratio",
         )
     )
 
@@ -173,11 +179,14 @@ def fuzzy_dedup(
 
     A row that is itself dropped still marks later rows. Rows with a null block are kept.
     """
-    reps = _representatives(df, block, text, order_by)
+    reps = checkpointed(_representatives(df, block, text, order_by))
     early, late, meet = _sides(reps, threshold)
+    matches = meet & (_ratio() > threshold)
     marked = (
-        late.join(early, meet & (measured_ratio(F.col("text_a"), F.col("text_b")) > threshold), "left_semi")
-        .select(F.col("block_b").alias("_block"), F.col("text_b").alias("_text"))
+        salted_join(
+            late, early, ["block", "pair"], HOT_GROUP_ROWS, ["text_b"], ["text_a"], matches, "left_semi", _tasks(df)
+        )
+        .select(F.col("block").alias("_block"), F.col("text_b").alias("_text"))
         .distinct()
     )
     # survivors: the earliest row of each text that is not marked; found by its unique place, so a

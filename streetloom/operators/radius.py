@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from streetloom.fixed_values import EARTH_RADIUS_M, RADIUS_M
 from streetloom.functions.geo import haversine_m
+from streetloom.operators.skew import salted_join
 
-# A cell above this many rows on either side is cut into parts of about this size. The table of such
-# cells then has at most (rows left + 9 * rows right) / HOT_CELL_ROWS entries of 24 bytes, which is the
-# bound that allows broadcasting it: 10^12 rows give 10^6 entries.
+# A cell above this many rows on either side is cut into parts of about this size. The broadcast table of
+# such cells has at most (rows left + 9 * rows right) / HOT_CELL_ROWS entries of 24 bytes: 10^12 rows
+# give 10^6 entries.
 HOT_CELL_ROWS = 1_000_000
 
 _MARGIN = 1.0001  # keeps rounding of the cell arithmetic on the safe side
@@ -65,35 +66,6 @@ def reachable_cells(lat: Column, lon: Column, radius_m: float) -> Column:
     return F.flatten(F.transform(F.array(own - 1, own, own + 1), of_band))
 
 
-def _hot_cells(left: DataFrame, right: DataFrame, limit: int) -> DataFrame:
-    """Cells with more than ``limit`` rows on a side, and into how many parts each side is cut."""
-    left_n = left.groupBy("cy", "cx").agg(F.count("*").alias("l"), F.lit(0).cast("long").alias("r"))
-    right_n = right.groupBy("cy", "cx").agg(F.lit(0).cast("long").alias("l"), F.count("*").alias("r"))
-    return (
-        left_n.unionByName(right_n)
-        .groupBy("cy", "cx")
-        .agg(F.max("l").alias("l"), F.max("r").alias("r"))
-        .where((F.col("l") > limit) | (F.col("r") > limit))
-        .select(
-            "cy", "cx",
-            F.greatest(F.lit(1), F.ceil(F.col("l") / limit)).cast("int").alias("left_parts"),
-            F.greatest(F.lit(1), F.ceil(F.col("r") / limit)).cast("int").alias("right_parts"),
-        )
-    )
-
-
-def _place_in_parts(df: DataFrame, hot: DataFrame, own: str, other: str) -> DataFrame:
-    """Each row gets one part of its own side, by row hash, and is repeated for the other side's parts."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.coalesce(F.col(f"{own}_parts"), F.lit(1))).cast("int")
-    every = F.sequence(F.lit(0), F.coalesce(F.col(f"{other}_parts"), F.lit(1)) - 1)
-    return (
-        df.join(F.broadcast(hot), ["cy", "cx"], "left")
-        .withColumn(f"{own}_part", spread)
-        .withColumn(f"{other}_part", F.explode(every))
-        .drop("left_parts", "right_parts")
-    )
-
-
 def radius_join(
     left: DataFrame,
     right: DataFrame,
@@ -128,15 +100,14 @@ def radius_join(
         .select("*", "_cell.cy", "_cell.cx")
         .drop("_cell")
     )
-    keys = ["cy", "cx"]
-    if hot_cell_rows is not None:
-        hot = _hot_cells(celled_left, celled_right, hot_cell_rows)
-        celled_left = _place_in_parts(celled_left, hot, "left", "right")
-        celled_right = _place_in_parts(celled_right, hot, "right", "left")
-        keys += ["left_part", "right_part"]
+    if hot_cell_rows is None:
+        met = celled_left.join(celled_right, ["cy", "cx"])
+    else:
+        met = salted_join(
+            celled_left, celled_right, ["cy", "cx"], hot_cell_rows, left_id=left.columns, right_id=right.columns
+        )
     return (
-        celled_left.join(celled_right, keys)
-        .drop(*keys)
+        met.drop("cy", "cx")
         .withColumn("distance", haversine_m(left_lat, left_lon, right_lat, right_lon))
         .where(F.col("distance") <= float(radius_m))
     )
