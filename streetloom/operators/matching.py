@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.fixed_values import CAT_WEIGHT, GEO_WEIGHT, RADIUS_M, UNKNOWN
 from streetloom.functions.geo import hybrid_score, proximity_score
 from streetloom.operators.dedup import keep_first
+from streetloom.operators.ranking import number_rows, number_rows_by_ranges
 
 
 def with_affinity(
@@ -86,11 +87,20 @@ def score_pairs(
     )
 
 
-def rank_matches(scored: DataFrame) -> DataFrame:
-    """Add ``match_rank``: 1..n per request, best hybrid score first, then nearest, then business id."""
+def rank_matches(scored: DataFrame, wide: str = "wide") -> DataFrame:
+    """Add ``match_rank``: 1..n per request, best hybrid score first, then nearest, then business id.
+
+    If there is a flag column ``wide`` (dropped here), it marks requests with more matches than one task
+    should sort; those are ranked over ranges.
+    """
     order = [F.desc("hybrid_score"), F.asc("distance"), F.asc("business_id")]
-    rank = F.row_number().over(Window.partitionBy("service_request_id").orderBy(*order))
-    return scored.withColumn("match_rank", rank)
+    if wide not in scored.columns:
+        return number_rows(scored, "service_request_id", order, "match_rank")
+    narrow = scored.where(~F.col(wide)).drop(wide)
+    broad = scored.where(F.col(wide)).drop(wide)
+    return number_rows(narrow, "service_request_id", order, "match_rank").unionByName(
+        number_rows_by_ranges(broad, "service_request_id", order, "match_rank")
+    )
 
 
 def closest_match(ranked: DataFrame) -> DataFrame:

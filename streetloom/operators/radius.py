@@ -11,9 +11,7 @@ from streetloom.fixed_values import EARTH_RADIUS_M, RADIUS_M
 from streetloom.functions.geo import haversine_m
 from streetloom.operators.skew import salted_join
 
-# A cell above this many rows on either side is cut into parts of about this size. The broadcast table of
-# such cells has at most (rows left + 9 * rows right) / HOT_CELL_ROWS entries of 24 bytes: 10^12 rows
-# give 10^6 entries.
+# A cell above this many rows on either side is cut into parts of about this size.
 HOT_CELL_ROWS = 1_000_000
 
 _MARGIN = 1.0001  # keeps rounding of the cell arithmetic on the safe side
@@ -73,6 +71,7 @@ def radius_join(
     left_at: tuple[str, str] = ("lat", "lon"),
     right_at: tuple[str, str] = ("latitude", "longitude"),
     hot_cell_rows: int | None = HOT_CELL_ROWS,
+    wide: str | None = None,
 ) -> DataFrame:
     """Columns of both sides plus ``distance`` in metres, for every pair with distance <= radius.
 
@@ -81,7 +80,8 @@ def radius_join(
     Works on the whole globe, across the date line and at the poles. Rows without coordinates match nothing.
 
     Cells with more than ``hot_cell_rows`` rows on a side are cut into parts (left parts x right parts),
-    so no task gets an unbounded group; ``None`` leaves skew to adaptive execution.
+    so no task gets an unbounded group; ``None`` leaves skew to adaptive execution. ``wide`` names a column,
+    added only if there are such cells, that is false for left rows with at most ``hot_cell_rows`` matches.
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
@@ -104,7 +104,9 @@ def radius_join(
         met = celled_left.join(celled_right, ["cy", "cx"])
     else:
         met = salted_join(
-            celled_left, celled_right, ["cy", "cx"], hot_cell_rows, left_id=left.columns, right_id=right.columns
+            celled_left, celled_right, ["cy", "cx"], hot_cell_rows,
+            left_id=left.columns, right_id=right.columns,
+            wide=wide,
         )
     return (
         met.drop("cy", "cx")

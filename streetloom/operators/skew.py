@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streetloom.session import checkpointed
+
+# Above this many hot keys their table is joined without the broadcast hint.
+MAX_BROADCAST_KEYS = 1_000_000
+
 
 def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
     """Keys with more than ``limit`` rows on a side, and into how many parts each side is cut.
 
     Counted after a map-side sum of both sides together. At most (rows of both sides) / limit keys come
-    out: that bound allows broadcasting the result.
+    out.
     """
     marks = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
         right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
@@ -34,11 +39,12 @@ def _in_parts(
 ) -> DataFrame:
     """Each row gets one part of its own side, by hash, and is repeated for the other side's parts."""
     part = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col(f"{own}_parts"), F.lit(1))).cast("int")
-    every = F.sequence(F.lit(0), F.coalesce(F.col(f"{other}_parts"), F.lit(1)) - 1)
+    parts_beyond = F.coalesce(F.col(f"{other}_parts"), F.lit(1))
     return (
-        df.join(F.broadcast(hot), list(keys), "left")
+        df.join(hot, list(keys), "left")
         .withColumn(f"_{own}_part", part)
-        .withColumn(f"_{other}_part", F.explode(every))
+        .withColumn("_beyond", parts_beyond)
+        .withColumn(f"_{other}_part", F.explode(F.sequence(F.lit(0), parts_beyond - 1)))
         .drop("left_parts", "right_parts")
     )
 
@@ -53,18 +59,30 @@ def salted_join(
     condition: Column | None = None,
     how: str = "inner",
     partitions: int | None = None,
+    wide: str | None = None,
 ) -> DataFrame:
     """Join on ``keys`` in which no task gets more than about ``limit`` rows of one key per side.
 
-    A key above the limit is cut into left parts x right parts; every pair of rows still meets exactly
-    once. ``left_id`` and ``right_id`` name columns that tell rows of a side apart; they decide the part.
-    With ``how='left_semi'`` a left row may come out once per right part. ``partitions`` fixes the number
-    of tasks, for joins that do much work per byte and should not be merged into few tasks.
+    Calling it counts the rows per key. Without hot keys it is a plain join. Else a hot key is cut into
+    left parts x right parts; every pair of rows still meets exactly once. ``left_id`` and ``right_id``
+    name columns that tell rows of a side apart; they decide the part. With ``how='left_semi'`` a left row
+    may come out once per right part.
+
+    ``partitions`` fixes the number of tasks, for joins that do much work per byte and should not be
+    merged into few tasks. ``wide`` names a column, added only if there are hot keys, that is true for
+    left rows whose key has more than ``limit`` rows on the right; other rows have at most ``limit`` matches.
     """
-    hot = hot_keys(left, right, keys, limit)
-    left = _in_parts(left, hot, keys, left_id, "left", "right")
-    right = _in_parts(right, hot, keys, right_id, "right", "left")
-    by = [*keys, "_left_part", "_right_part"]
+    hot = checkpointed(hot_keys(left, right, keys, limit))
+    n_hot = hot.count()
+    by = list(keys)
+    if n_hot:
+        placed = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
+        left = _in_parts(left, placed, keys, left_id, "left", "right")
+        right = _in_parts(right, placed, keys, right_id, "right", "left").drop("_beyond")
+        if wide is not None:
+            left = left.withColumn(wide, F.col("_beyond") > 1)
+        left = left.drop("_beyond")
+        by += ["_left_part", "_right_part"]
     if partitions is not None:
         left, right = left.repartition(partitions, *by), right.repartition(partitions, *by)
     right = right.withColumnsRenamed({name: f"_r{name}" for name in by})

@@ -48,7 +48,10 @@ def scored_pairs(
     cat_weight: float = CAT_WEIGHT,
     hot_cell_rows: int | None = HOT_CELL_ROWS,
 ) -> DataFrame:
-    """All pairs within the radius with their scores and the unrounded ``distance``, not ranked."""
+    """All pairs within the radius with their scores and the unrounded ``distance``, not ranked.
+
+    Pass tables that are read back from storage, not long chains: the cells are counted first, then joined.
+    """
     pairs = radius_join(
         _side(requests, REQUEST_SIDE),
         _side(businesses, BUSINESS_SIDE),
@@ -56,6 +59,7 @@ def scored_pairs(
         left_at=("lat_request", "lon_request"),
         right_at=("lat_business", "lon_business"),
         hot_cell_rows=hot_cell_rows,
+        wide="wide",
     )
     return score_pairs(pairs, affinity, radius_m, geo_weight, cat_weight)
 

@@ -247,6 +247,23 @@ def test_match_pairs_without_match_is_empty_with_columns(spark):
     assert found.count() == 0 and len(found.columns) == 24
 
 
+def test_ranks_do_not_depend_on_how_requests_are_cut(spark):
+    rng = random.Random(11)
+    near = lambda: (40 + rng.choice([0, rng.random() / 500]), -75 + rng.choice([0, rng.random() / 500]))
+    requests = request_table(spark, [(i, rng.choice(["salting", "none"]), *map(float, near())) for i in range(25)])
+    businesses = business_table(
+        spark, [(i, rng.choice(["Home Services", "Pets"]), *map(float, near())) for i in range(60)]
+    )
+    affinity = default_affinity(spark)
+    plain = match_pairs(requests, businesses, affinity, hot_cell_rows=None)
+    cut = match_pairs(requests, businesses, affinity, hot_cell_rows=7)
+    assert rows(plain, "service_request_id", "match_rank") == rows(cut, "service_request_id", "match_rank")
+    per_request = defaultdict(list)
+    for row in cut.collect():
+        per_request[row.service_request_id].append(row.match_rank)
+    assert all(sorted(ranks) == list(range(1, len(ranks) + 1)) for ranks in per_request.values())
+
+
 def test_affinity_keys(spark):
     table = inline_table(spark, [("a", "P", 0.5), ("Raw", "P", 0.7), ("B", "P", 0.1), ("b", "Q", 0.2)], schemas.AFFINITY)
     df = spark.createDataFrame([("A", "P"), ("Raw", "P"), ("raw", "P"), ("B", "P"), (None, "P")], "service_name string, primary_category string")
