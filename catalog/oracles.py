@@ -204,6 +204,43 @@ texts as (
 )"""
 
 
+_KEPT_BUSINESSES = f"""
+located as (
+  select * replace ({_zip_digits("postal_code")} as postal_code) from raw where {_valid("latitude", "longitude")}
+), once as (
+  select * from located qualify row_number() over (partition by business_id order by seq_no) = 1
+), placed as (
+  select *, {_strip("lower(name)")} as block, lower(coalesce(address, '')) as text,
+    row_number() over (order by review_count desc, business_id) as place from once
+), texts as (
+  select block, text, min(place) as place from placed group by block, text
+), marked as (
+  select distinct b.block, b.text from texts a join texts b on a.block = b.block and a.place < b.place
+  where {_RATIO_AB} > 80
+), kept as (
+  select p.seq_no from placed p join texts t on t.block = p.block and t.text = p.text and t.place = p.place
+  where not exists (select 1 from marked m where m.block = p.block and m.text = p.text)
+)"""
+
+_REVIEW_STEPS = f"""
+raw as (select * from {role_sql("reviews_raw")}),
+complete as (select * from raw where text is not null and business_id is not null and date is not null),
+once as (select * from complete qualify row_number() over (partition by review_id order by seq) = 1),
+distinct_text as (select * from once qualify row_number() over (partition by business_id, text order by seq) = 1),
+with_words as (
+  select * from (select *, {_clean("text")} as text_clean from distinct_text) where text_clean <> ''
+)"""
+
+
+def _audit(*tables: str) -> str:
+    sizes = " union all ".join(
+        f"select {step} as step, '{label}' as stage, count(*) as n from {source}"
+        for step, (label, source) in enumerate(pair.split("=") for pair in tables)
+    )
+    return f"""select step, stage, rows_in, n as rows_out, rows_in - n as dropped, round(100.0 * n / rows_in, 2) as pct_kept
+        from (select *, lag(n) over (order by step) as rows_in from ({sizes})) where step > 0"""
+
+
 _REQUEST_STEPS = f"""
 raw as (select * from {role_sql("requests_raw")}),
 complete as (
@@ -236,6 +273,8 @@ _FRAGMENTS = {
     "substring": _SUBSTRING,
     "words": _WORDS,
     "shops": _SHOPS,
+    "kept businesses": _KEPT_BUSINESSES,
+    "review steps": _REVIEW_STEPS,
     "requests": _REQUEST_STEPS,
     "density": _DENSITY,
     "group": _GROUP,
@@ -275,25 +314,9 @@ _SQL = {
     "clean_requests": f"""with @requests@ select objectid, service_request_id, {_label("subject")} as subject,
         status_notes, {_label("service_name")} as service_name, service_code, agency_responsible,
         requested_datetime, address, {_zip_text("zipcode")} as zipcode, lat, lon from events_once""",
-    "clean_reviews": f"""with raw as (select * from @role reviews_raw@
-          where text is not null and business_id is not null and date is not null),
-        once as (select * from raw qualify row_number() over (partition by review_id order by seq) = 1),
-        distinct_text as (select * from once qualify row_number() over (partition by business_id, text order by seq) = 1)
-        select * from (select review_id, business_id, stars, date, useful, text, {_clean("text")} as text_clean from distinct_text)
-        where text_clean <> ''""",
-    "clean_business": f"""with @businesses_raw@, located as (
-          select * replace ({_zip_digits("postal_code")} as postal_code) from raw where {_valid("latitude", "longitude")}
-        ), once as (select * from located qualify row_number() over (partition by business_id order by seq_no) = 1),
-        placed as (select *, {_strip("lower(name)")} as block, lower(coalesce(address, '')) as text,
-          row_number() over (order by review_count desc, business_id) as place from once),
-        texts as (select block, text, min(place) as place from placed group by block, text),
-        marked as (
-          select distinct b.block, b.text from texts a join texts b on a.block = b.block and a.place < b.place
-          where {_RATIO_AB} > 80
-        ), kept as (
-          select p.seq_no from placed p join texts t on t.block = p.block and t.text = p.text and t.place = p.place
-          where not exists (select 1 from marked m where m.block = p.block and m.text = p.text)
-        ), @substring@
+    "clean_reviews": """with @review steps@
+        select review_id, business_id, stars, date, useful, text, text_clean from with_words""",
+    "clean_business": """with @businesses_raw@, @kept businesses@, @substring@
         select business_id, name, address, city, state, postal_code, latitude, longitude, stars, review_count, is_open,
           primary_category, categories_normalized
         from located join kept using (seq_no) join mapped using (seq_no)""",
@@ -418,13 +441,12 @@ _SQL = {
           union all select 4, 'o_totalprice', 'double', cast(o_totalprice as varchar) from first_row
           union all select 5, 'o_orderdate', 'timestamp_ntz', cast(o_orderdate as varchar) from first_row
           union all select 6, 'o_orderpriority', 'string', o_orderpriority from first_row)""",
-    "cleaning_audit": """with @requests@, sizes as (
-          select 0 as step, 'read' as stage, count(*) as n from raw union all
-          select 1, 'complete', count(*) from complete union all
-          select 2, 'distinct_ids', count(*) from once union all
-          select 3, 'distinct_events', count(*) from events_once)
-        select step, stage, rows_in, n as rows_out, rows_in - n as dropped, round(100.0 * n / rows_in, 2) as pct_kept
-        from (select *, lag(n) over (order by step) as rows_in from sizes) where step > 0""",
+    "cleaning_audit": "with @requests@ "
+    + _audit("read=raw", "complete=complete", "distinct_ids=once", "distinct_events=events_once"),
+    "review_audit": "with @review steps@ "
+    + _audit("read=raw", "complete=complete", "distinct_ids=once", "distinct_texts=distinct_text", "with_words=with_words"),
+    "business_audit": "with @businesses_raw@, @kept businesses@ "
+    + _audit("read=raw", "located=located", "distinct_ids=once", "distinct_shops=kept"),
     "location_audit": f"""with @businesses_raw@, flags as (select *, {_valid("latitude", "longitude")} as ok,
           latitude is null or latitude not between -90 and 90 as bad_lat,
           longitude is null or longitude not between -180 and 180 as bad_lon from raw)

@@ -22,7 +22,7 @@ from streetloom.operators.radius import radius_join
 from streetloom.operators.taxonomy import categorize, categorize_by_table
 from streetloom.plans import businesses as biz
 from streetloom.plans import integration, requests, reviews
-from streetloom.session import scratch_path
+from streetloom.session import checkpointed, scratch_path
 from streetloom.sources.writers import CSV_OPTIONS
 from streetloom.sources import (
     read_csv,
@@ -591,6 +591,18 @@ def cleaning_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.stage_audit(counts, ["read", "complete", "distinct_ids", "distinct_events"])
 
 
+@register
+def review_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = reviews.review_counts(role(spark, sf_dir, "reviews_raw"), ["seq"])
+    return profile.stage_audit(counts, ["read", "complete", "distinct_ids", "distinct_texts", "with_words"])
+
+
+@register
+def business_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = biz.business_counts(role(spark, sf_dir, "businesses_raw"), order_by=["seq_no"])
+    return profile.stage_audit(counts, ["read", "located", "distinct_ids", "distinct_shops"])
+
+
 @register
 def location_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return biz.location_counts(_raw_businesses(spark, sf_dir))
@@ -611,8 +623,9 @@ def heat_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _closest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.closest_match(_pairs(spark, sf_dir)).select(
-        "service_request_id", *cluster.FEATURES
+    # read more than once, as the written table of closest matches would be
+    return checkpointed(
+        matching.closest_match(_pairs(spark, sf_dir)).select("service_request_id", *cluster.FEATURES)
     )
 
 

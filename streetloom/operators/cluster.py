@@ -21,6 +21,8 @@ from streetloom.dimensions import inline_table
 from streetloom.session import checkpointed
 
 FEATURES = ("proximity_score", "category_similarity")
+POINTS_PER_TASK = 100_000
+MAX_ITER = 300
 
 
 def _moments(df: DataFrame, features: Sequence[str]) -> Column:
@@ -39,13 +41,17 @@ def standardize(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     Rows with a missing feature are dropped.
     """
     complete = df.na.drop("any", subset=list(features))
-    moments = _moments(complete.select(*features), features)
+    moments = F.col("_moments")
 
     def z(feature: str) -> Column:
         sd = moments[f"{feature}_sd"]
         return (F.col(feature) - moments[f"{feature}_mean"]) / F.when(sd == 0, 1.0).otherwise(sd)
 
-    return complete.withColumns({f"{f}_z": z(f) for f in features})
+    return (
+        complete.withColumn("_moments", _moments(complete.select(*features), features))
+        .withColumns({f"{f}_z": z(f) for f in features})
+        .drop("_moments")
+    )
 
 
 def weighted_points(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -58,8 +64,14 @@ def weighted_points(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFr
     )
 
 
+def _training_set(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Checkpointed weighted points, in as few tasks as their number needs: many small jobs read them."""
+    points = checkpointed(weighted_points(df, features))
+    return points.coalesce(max(1, -(-points.count() // POINTS_PER_TASK)))
+
+
 def _fit(points: DataFrame, k: int, seed: int) -> tuple[float, KMeansModel]:
-    model = KMeans(k=k, seed=seed, weightCol="weight", featuresCol="features").fit(points)
+    model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, weightCol="weight", featuresCol="features").fit(points)
     return model.summary.trainingCost, model
 
 
@@ -86,7 +98,7 @@ def kmeans_elbow(
     seed: int = 42,
 ) -> DataFrame:
     """(k, inertia) for each k. Training runs when this is called."""
-    points = checkpointed(weighted_points(df, features))
+    points = _training_set(df, features)
     models = best_models(points, ks, n_init, seed)
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("inertia", T.DoubleType())])
     return inline_table(df.sparkSession, [(k, models[k][0]) for k in ks], schema)
@@ -100,7 +112,7 @@ def kmeans_assign(
     Training runs when this is called; the rows then take the cluster of their point, a lookup by the
     feature values that repeats no scaling.
     """
-    points = checkpointed(weighted_points(df, features))
+    points = _training_set(df, features)
     _, model = best_models(points, [k], n_init, seed)[k]
     centers = [tuple(center) for center in model.clusterCenters()]
     order = sorted(range(len(centers)), key=centers.__getitem__)

@@ -8,22 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _extent(df: DataFrame, x: str, y: str) -> tuple[Column, ...]:
-    """x and y limits of the data as scalars of one aggregate, widened a little."""
-    limits = df.agg(
-        F.struct(
-            F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")
-        ).alias("limits")
-    ).scalar()
+def _limits(points: DataFrame) -> Column:
+    """Least and greatest x and y as one scalar struct."""
+    ends = F.struct(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    return points.agg(ends.alias("ends")).scalar()
 
-    def widened(low: Column, high: Column) -> tuple[Column, Column]:
-        flat = low == high
-        slack = F.when(low == 0, F.lit(0.1)).otherwise(F.abs(low) * 0.1)
-        low, high = F.when(flat, low - slack).otherwise(low), F.when(flat, high + slack).otherwise(high)
-        padding = (high - low) * 1e-9
-        return low - padding, high + padding
 
-    return (*widened(limits["x0"], limits["x1"]), *widened(limits["y0"], limits["y1"]))
+def _start_and_step(low: Column, high: Column, cells: int) -> tuple[Column, Column]:
+    """Start and cell size of an axis: slightly widened, and opened up if all values are equal."""
+    slack = F.when(low != high, 0.0).when(low == 0, 0.1).otherwise(F.abs(low) * 0.1)
+    low, high = low - slack, high + slack
+    padding = (high - low) * 1e-9
+    return low - padding, (high - low + 2 * padding) / cells
 
 
 def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 50, mincnt: int = 1) -> DataFrame:
@@ -34,14 +30,14 @@ def hexbin(df: DataFrame, x: str, y: str, gridsize: int = 50, mincnt: int = 1) -
     """
     rows = int(gridsize / math.sqrt(3))
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop("any")
-    x0, x1, y0, y1 = _extent(points, "x", "y")
-    placed = points.select(
-        x0.alias("x0"), y0.alias("y0"),
-        ((x1 - x0) / gridsize).alias("sx"), ((y1 - y0) / rows).alias("sy"), "x", "y",
-    ).select(
-        "x0", "y0", "sx", "sy",
-        ((F.col("x") - F.col("x0")) / F.col("sx")).alias("u"),
-        ((F.col("y") - F.col("y0")) / F.col("sy")).alias("v"),
+    ends = F.col("_ends")
+    x0, sx = _start_and_step(ends["x0"], ends["x1"], gridsize)
+    y0, sy = _start_and_step(ends["y0"], ends["y1"], rows)
+    placed = (
+        points.withColumn("_ends", _limits(points))
+        .select(x0.alias("x0"), y0.alias("y0"), sx.alias("sx"), sy.alias("sy"), "x", "y")
+        .withColumn("u", (F.col("x") - F.col("x0")) / F.col("sx"))
+        .withColumn("v", (F.col("y") - F.col("y0")) / F.col("sy"))
     )
     u, v = F.col("u"), F.col("v")
     to_first = F.pow(u - F.rint(u), 2) + 3 * F.pow(v - F.rint(v), 2)

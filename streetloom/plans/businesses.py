@@ -35,6 +35,17 @@ def drop_similar_businesses(df: DataFrame, threshold: int = FUZZY_THRESHOLD) ->
     )
 
 
+def located_once(raw: DataFrame, order_by: Sequence[str] = ("business_id",)) -> DataFrame:
+    """First row per id among the businesses with valid coordinates, categories filled."""
+    located = (
+        snake_case_columns(raw)
+        .transform(clean_location)
+        .where("valid_coordinates")
+        .na.fill(UNCATEGORIZED, subset=["categories"])
+    )
+    return keep_first(located, ["business_id"], order_by)
+
+
 def clean_businesses(
     raw: DataFrame,
     taxonomy: Mapping[str, Sequence[str]] = STARTER_TAXONOMY,
@@ -43,17 +54,26 @@ def clean_businesses(
     match: str = "substring",
 ) -> DataFrame:
     """Raw businesses → located, distinct ones with taxonomy categories."""
-    located = (
-        snake_case_columns(raw)
-        .transform(clean_location)
-        .where("valid_coordinates")
-        .na.fill(UNCATEGORIZED, subset=["categories"])
-    )
-    once = keep_first(located, ["business_id"], order_by)
-    distinct = drop_similar_businesses(once, threshold)
+    distinct = drop_similar_businesses(located_once(raw, order_by), threshold)
     return categorize(distinct, taxonomy, match=match).select(*BUSINESS_CLEAN)
 
 
+def business_counts(
+    raw: DataFrame, order_by: Sequence[str] = ("business_id",), threshold: int = FUZZY_THRESHOLD
+) -> DataFrame:
+    """One row: businesses read, located, with distinct id, and left after dropping similar ones."""
+    flagged = clean_location(snake_case_columns(raw))
+    by_id = flagged.groupBy("business_id").agg(
+        F.count("*").alias("read"), F.count_if("valid_coordinates").alias("located")
+    )
+    shops = drop_similar_businesses(located_once(raw, order_by), threshold)
+    return by_id.agg(
+        F.sum("read").alias("read"),
+        F.sum("located").alias("located"),
+        F.count_if(F.col("located") > 0).alias("distinct_ids"),
+    ).withColumn("distinct_shops", shops.agg(F.count("*")).scalar())
+
+
 def location_counts(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
     """One row: rows, latitudes and longitudes missing or impossible, coordinates outside the box, bad ZIPs."""
     y, x = F.col(lat), F.col(lon)

@@ -43,3 +43,38 @@ def clean_reviews(raw: DataFrame, order_by: Sequence[str] = ("review_id",)) -> D
     distinct = keep_first(once, ["business_id", "text"], order_by)
     cleaned = distinct.withColumn("text_clean", clean_text(F.col("text"))).where("text_clean <> ''")
     return cleaned.select(*REVIEW_CLEAN)
+
+
+def review_counts(raw: DataFrame, order_by: Sequence[str] = ("review_id",)) -> DataFrame:
+    """One row: reviews read, complete, with distinct id, with distinct text per business, and with words left.
+
+    One scan: rows collapse per review id, ids per text (by digest), and sums are carried along.
+    """
+    columns = snake_case_columns(raw)
+    order = F.struct(*order_by)
+    first = F.when(
+        F.col("text").isNotNull() & F.col("business_id").isNotNull() & F.col("date").isNotNull(), order
+    )
+    facts = F.struct(
+        F.col("business_id").alias("business"),
+        F.sha2("text", 256).alias("digest"),
+        (clean_text(F.col("text")) != "").alias("words"),
+    )
+    by_id = columns.select("review_id", first.alias("first"), facts.alias("facts")).groupBy("review_id").agg(
+        F.count("*").alias("read"),
+        F.count("first").alias("complete"),
+        F.min_by("facts", "first").alias("facts"),
+    )
+    by_text = by_id.groupBy("facts.business", "facts.digest").agg(
+        F.sum("read").alias("read"),
+        F.sum("complete").alias("complete"),
+        F.count_if(F.col("complete") > 0).alias("ids"),
+        F.max("facts.words").alias("words"),
+    )
+    return by_text.agg(
+        F.sum("read").alias("read"),
+        F.sum("complete").alias("complete"),
+        F.sum("ids").alias("distinct_ids"),
+        F.count_if(F.col("ids") > 0).alias("distinct_texts"),
+        F.count_if((F.col("ids") > 0) & F.col("words")).alias("with_words"),
+    )
