@@ -21,47 +21,43 @@ def _band_height(radius_m: float) -> float:
     return min(180.0, math.degrees(radius_m / EARTH_RADIUS_M) * _MARGIN)
 
 
-def _cells_in_band(band: Column, radius_m: float) -> Column:
-    """Number of equal cells around the globe in a latitude band.
+def _cells_in_band(band: str, radius_m: float) -> str:
+    """SQL for the number of equal cells around the globe in a latitude band.
 
     A cell is at least as wide as the largest longitude difference of two points within the radius,
     one in this band and one in it or its neighbours: sin(dlon/2) <= sin(angle/2) / cos(lat).
     """
     height = _band_height(radius_m)
-    south = band * F.lit(height) - 90.0 - height
-    north = band * F.lit(height) - 90.0 + 2 * height
-    steepest = F.least(F.lit(90.0), F.greatest(F.abs(south), F.abs(north)))
+    south = f"abs({band} * {height}D - {90 + height}D)"
+    north = f"abs({band} * {height}D - {90 - 2 * height}D)"
+    steepest = f"least(90D, greatest({south}, {north}))"
     half_angle = min(radius_m / EARTH_RADIUS_M / 2, math.pi / 2)
-    reach = F.lit(math.sin(half_angle)) / F.greatest(F.cos(F.radians(steepest)), F.lit(1e-12))
-    width = F.degrees(F.asin(F.least(F.lit(1.0), reach))) * 2 * _MARGIN
-    return F.greatest(F.lit(1), F.floor(360.0 / width)).cast("long")
+    reach = f"{math.sin(half_angle)}D / greatest(cos(radians({steepest})), 1e-12D)"
+    return f"greatest(1L, floor(360D / (degrees(asin(least(1D, {reach}))) * {2 * _MARGIN}D)))"
 
 
-def _band(lat: Column, radius_m: float) -> Column:
-    return F.floor((lat + 90.0) / _band_height(radius_m))
+def _band(lat: str, radius_m: float) -> str:
+    return f"floor((`{lat}` + 90D) / {_band_height(radius_m)}D)"
 
 
-def _slot(lon: Column, cells: Column) -> Column:
-    return F.pmod(F.floor((lon + 180.0) / 360.0 * cells), cells)
+def _slot(lon: str, cells: str) -> str:
+    return f"floor((`{lon}` + 180D) / 360D * {cells})"
 
 
-def own_cell(lat: Column, lon: Column, radius_m: float) -> Column:
+def own_cell(lat: str, lon: str, radius_m: float) -> Column:
     """The one cell of a point: struct(cy, cx)."""
     band = _band(lat, radius_m)
-    return F.struct(band.alias("cy"), _slot(lon, _cells_in_band(band, radius_m)).alias("cx"))
+    cells = _cells_in_band(band, radius_m)
+    return F.expr(f"named_struct('cy', {band}, 'cx', pmod({_slot(lon, cells)}, {cells}))")
 
 
-def reachable_cells(lat: Column, lon: Column, radius_m: float) -> Column:
+def reachable_cells(lat: str, lon: str, radius_m: float) -> Column:
     """Array of the (up to nine) cells whose points may lie within the radius, each once."""
-
-    def of_band(band: Column) -> Column:
-        cells = _cells_in_band(band, radius_m)
-        slot = _slot(lon, cells)
-        slots = F.array_distinct(F.array(F.pmod(slot - 1, cells), slot, F.pmod(slot + 1, cells)))
-        return F.transform(slots, lambda cx: F.struct(band.alias("cy"), cx.alias("cx")))
-
     own = _band(lat, radius_m)
-    return F.flatten(F.transform(F.array(own - 1, own, own + 1), of_band))
+    slots = f"array_distinct(transform(array(-1L, 0L, 1L), step -> pmod({_slot(lon, 'n')} + step, n)))"
+    in_band = f"transform({slots}, cx -> named_struct('cy', cy, 'cx', cx))"
+    with_count = f"flatten(transform(array({_cells_in_band('cy', radius_m)}), n -> {in_band}))"
+    return F.expr(f"flatten(transform(array({own} - 1, {own}, {own} + 1), cy -> {with_count}))")
 
 
 def radius_join(
@@ -90,13 +86,13 @@ def radius_join(
     right_lat, right_lon = (F.col(name) for name in right_at)
     celled_left = (
         left.where(left_lat.isNotNull() & left_lon.isNotNull())
-        .withColumn("_cell", own_cell(left_lat, left_lon, radius_m))
+        .withColumn("_cell", own_cell(*left_at, radius_m))
         .select("*", "_cell.cy", "_cell.cx")
         .drop("_cell")
     )
     celled_right = (
         right.where(right_lat.isNotNull() & right_lon.isNotNull())
-        .withColumn("_cell", F.explode(reachable_cells(right_lat, right_lon, radius_m)))
+        .withColumn("_cell", F.explode(reachable_cells(*right_at, radius_m)))
         .select("*", "_cell.cy", "_cell.cx")
         .drop("_cell")
     )
