@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,11 +38,15 @@ def shared_folder(spark: SparkSession) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="streetloom-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return shared.rstrip("/")
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="streetloom-")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder once; runs when called."""
     context = df.sparkSession.sparkContext

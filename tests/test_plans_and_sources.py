@@ -1,6 +1,10 @@
 """Readers, writers and cleaning chains on small inputs."""
 
+import pytest
+
 from streetloom import schemas
+from streetloom.dimensions import inline_table
+from streetloom.operators.sentiment import lexicon_sentiment
 from streetloom.plans.businesses import clean_businesses, location_counts
 from streetloom.plans.requests import clean_requests, request_counts
 from streetloom.plans.reviews import clean_reviews, retention, reviews_of
@@ -126,3 +130,35 @@ def test_clean_businesses(spark):
     assert got[0].primary_category == "Food & Restaurants" and got[1].primary_category == "Uncategorized"
     assert got[0].postal_code == "19104" and got[2].postal_code is None
     assert tuple(location_counts(raw).first()) == (7, 1, 0, 1, 5, 1)
+
+
+class _Session:
+    """Stands for a session with the given settings."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self._settings = settings
+
+    def get(self, name, default=None):
+        return self._settings.get(name, default)
+
+
+def test_scratch_goes_to_the_shared_folder():
+    shared = _Session(**{"spark.checkpoint.dir": "s3://bucket/tmp/", "spark.master": "yarn"})
+    assert scratch_path(shared, "x").startswith("s3://bucket/tmp/x-")
+    assert scratch_path(_Session(**{"spark.master": "local[2]"}), "x") != scratch_path(shared, "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_Session(**{"spark.master": "yarn"}), "x")
+
+
+def test_sentiment_cleans_raw_text_when_there_is_no_cleaned_one(spark):
+    lexicon = inline_table(spark, [("good", 2.0, "word")], schemas.LEXICON)
+    df = spark.createDataFrame([("r", "b", "GOOD!")], "review_id string, business_id string, text string")
+    assert lexicon_sentiment(df, lexicon).first().review_sentiment == 0.4588
+
+
+def test_sorted_csv_output(spark):
+    path = scratch_path(spark, "sorted")
+    write_csv(spark.createDataFrame([(3, ["x"]), (1, ["y", "z"]), (2, None)], "a int, b array<string>"), path, order_by=["a"])
+    lines = [row.value for row in spark.read.text(path).orderBy("value").collect() if row.value != "a,b"]
+    assert lines == ['1,"[""y"",""z""]"', "2,", '3,"[""x""]"']
