@@ -23,6 +23,7 @@ from streetloom.session import checkpointed
 FEATURES = ("proximity_score", "category_similarity")
 POINTS_PER_TASK = 100_000
 MAX_ITER = 300
+MAX_BROADCAST_POINTS = 1_000_000
 
 
 def _moments(df: DataFrame, features: Sequence[str]) -> Column:
@@ -64,10 +65,14 @@ def weighted_points(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFr
     )
 
 
-def _training_set(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Checkpointed weighted points, in as few tasks as their number needs: many small jobs read them."""
+def _training_set(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, int]:
+    """Checkpointed weighted points and their number.
+
+    Many small jobs read them, so they lie in as few tasks as their number needs.
+    """
     points = checkpointed(weighted_points(df, features))
-    return points.coalesce(max(1, -(-points.count() // POINTS_PER_TASK)))
+    n = points.count()
+    return points.coalesce(max(1, -(-n // POINTS_PER_TASK))), n
 
 
 def _fit(points: DataFrame, k: int, seed: int) -> tuple[float, KMeansModel]:
@@ -98,7 +103,7 @@ def kmeans_elbow(
     seed: int = 42,
 ) -> DataFrame:
     """(k, inertia) for each k. Training runs when this is called."""
-    points = _training_set(df, features)
+    points, _ = _training_set(df, features)
     models = best_models(points, ks, n_init, seed)
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("inertia", T.DoubleType())])
     return inline_table(df.sparkSession, [(k, models[k][0]) for k in ks], schema)
@@ -112,13 +117,13 @@ def kmeans_assign(
     Training runs when this is called; the rows then take the cluster of their point, a lookup by the
     feature values that repeats no scaling.
     """
-    points = _training_set(df, features)
+    points, n = _training_set(df, features)
     _, model = best_models(points, [k], n_init, seed)[k]
     centers = [tuple(center) for center in model.clusterCenters()]
     order = sorted(range(len(centers)), key=centers.__getitem__)
     new_label = F.array(*[F.lit(order.index(i)) for i in range(len(order))])
     labelled = model.transform(points).select(*features, F.get(new_label, F.col("prediction")).alias("cluster"))
-    return df.join(labelled, list(features))
+    return df.join(F.broadcast(labelled) if n <= MAX_BROADCAST_POINTS else labelled, list(features))
 
 
 def cluster_profile(assigned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:

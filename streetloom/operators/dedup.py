@@ -21,6 +21,14 @@ def keep_first(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[s
     return df.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
+def order_by_content(df: DataFrame) -> list[Column]:
+    """Order for inputs that have no column to order by: it depends on the rows' values only.
+
+    Rows that tie are equal in all but map columns.
+    """
+    return [F.xxhash64(*[F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind])]
+
+
 def keep_first_event(
     df: DataFrame,
     order_by: Sequence[str | Column],

@@ -11,7 +11,7 @@ from streetloom.dimensions import STARTER_TAXONOMY
 from streetloom.fixed_values import FUZZY_THRESHOLD, UNCATEGORIZED
 from streetloom.functions.labels import name_key, zip_from_digits
 from streetloom.operators.columns import flag_valid_coordinates, snake_case_columns
-from streetloom.operators.dedup import keep_first
+from streetloom.operators.dedup import keep_first, order_by_content
 from streetloom.operators.fuzzy import fuzzy_dedup
 from streetloom.operators.taxonomy import categorize
 from streetloom.schemas import BUSINESS_CLEAN
@@ -35,21 +35,24 @@ def drop_similar_businesses(df: DataFrame, threshold: int = FUZZY_THRESHOLD) ->
     )
 
 
-def located_once(raw: DataFrame, order_by: Sequence[str] = ("business_id",)) -> DataFrame:
-    """First row per id among the businesses with valid coordinates, categories filled."""
+def located_once(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
+    """First row per id among the businesses with valid coordinates, categories filled.
+
+    Without ``order_by`` copies of an id are ordered by their content.
+    """
     located = (
         snake_case_columns(raw)
         .transform(clean_location)
         .where("valid_coordinates")
         .na.fill(UNCATEGORIZED, subset=["categories"])
     )
-    return keep_first(located, ["business_id"], order_by)
+    return keep_first(located, ["business_id"], order_by or order_by_content(located))
 
 
 def clean_businesses(
     raw: DataFrame,
     taxonomy: Mapping[str, Sequence[str]] = STARTER_TAXONOMY,
-    order_by: Sequence[str] = ("business_id",),
+    order_by: Sequence[str] | None = None,
     threshold: int = FUZZY_THRESHOLD,
     match: str = "substring",
 ) -> DataFrame:
@@ -59,7 +62,7 @@ def clean_businesses(
 
 
 def business_counts(
-    raw: DataFrame, order_by: Sequence[str] = ("business_id",), threshold: int = FUZZY_THRESHOLD
+    raw: DataFrame, order_by: Sequence[str] | None = None, threshold: int = FUZZY_THRESHOLD
 ) -> DataFrame:
     """One row: businesses read, located, with distinct id, and left after dropping similar ones."""
     flagged = clean_location(snake_case_columns(raw))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from streetloom.functions.text import clean_text
 from streetloom.operators.columns import drop_missing, snake_case_columns
-from streetloom.operators.dedup import keep_first
+from streetloom.operators.dedup import keep_first, order_by_content
 from streetloom.schemas import REVIEW_CLEAN, REVIEW_RAW
 
 
@@ -33,12 +33,14 @@ def retention(reviews: DataFrame, businesses: DataFrame, key: str = "business_id
     )
 
 
-def clean_reviews(raw: DataFrame, order_by: Sequence[str] = ("review_id",)) -> DataFrame:
+def clean_reviews(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """Raw reviews → complete, distinct ones with cleaned, non-empty text.
 
-    The first row of each review id, and of each text of a business, stays in ``order_by``.
+    The first row of each review id, and of each text of a business, stays in ``order_by``; without it the
+    earliest date comes first, then the review id, then the content.
     """
     complete = drop_missing(snake_case_columns(raw), all_of=["text", "business_id", "date"])
+    order_by = order_by or ["date", "review_id", *order_by_content(complete)]
     once = keep_first(complete, ["review_id"], order_by)
     distinct = keep_first(once, ["business_id", "text"], order_by)
     cleaned = distinct.withColumn("text_clean", clean_text(F.col("text"))).where("text_clean <> ''")
