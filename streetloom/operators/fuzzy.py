@@ -6,7 +6,7 @@ pairs of a block would be quadratic in its rows, so the join works in three exac
 1. equal texts of a block collapse into one representative with its earliest row and its row count;
 2. a representative is sent only to the rarest of its character pairs that any match must share
    (prefix filter), and meets others by equality on (block, pair);
-3. the remaining candidates are verified with the exact ratio.
+3. candidates that share enough pairs altogether are verified with the exact ratio.
 
 Why step 2 loses nothing: if the ratio exceeds t percent, LCS > c * (la + lb) with c = (t + 0.5) / 200.
 Turning a into b deletes la - LCS and inserts lb - LCS characters; a deletion breaks at most two of the
@@ -38,12 +38,16 @@ from streetloom.session import checkpointed
 HOT_GROUP_ROWS = 5_000
 
 
-def _bounds(threshold: int) -> tuple[float, float]:
-    """(shorter / longer length, shared pairs per character) that every match exceeds."""
+_SLACK = 1e-9  # keeps rounding of the bounds on the safe side
+
+
+def _bounds(threshold: int) -> tuple[float, float, float]:
+    """What every match exceeds: shorter / longer length, shared pairs (less one) per character of one
+    text, and per character of both."""
     c = (threshold + 0.5) / 200
     if c <= 1 / 3:
         raise ValueError("the prefix filter needs a threshold of at least 67")
-    return c / (1 - c), (3 * c - 1) / (1 - c)
+    return c / (1 - c) - _SLACK, (3 * c - 1) / (1 - c) - _SLACK, 3 * c - 1 - _SLACK
 
 
 def _text(text: Column) -> Column:
@@ -86,24 +90,24 @@ def _character_pairs(text: Column) -> Column:
 
 
 def _candidate_keys(reps: DataFrame, threshold: int) -> DataFrame:
-    """Representatives with ``prefix``: the rarest character pairs that a match must meet in."""
-    _, shared = _bounds(threshold)
+    """Representatives with ``pairs``, all character pairs from rare to common, and ``keep``, the number of
+    first ones in which a match must meet."""
+    _, shared, _ = _bounds(threshold)
     texts = reps.select("text").distinct().withColumn("pair", F.explode(_character_pairs(F.col("text"))))
     frequency = texts.groupBy("pair").agg(F.count("*").alias("n"))
     size = F.length("text") + 1
     keep = size - F.floor(F.length("text") * F.lit(shared) + 1)
-    prefixes = (
+    ordered = (
         texts.join(frequency, "pair")
         .groupBy("text")  # bounded: one row per character pair of one text
         .agg(F.array_sort(F.collect_list(F.struct("n", "pair"))).alias("pairs"))
         .select(
             "text",
-            F.transform(
-                F.slice("pairs", F.lit(1), F.greatest(keep, F.lit(1)).cast("int")), lambda p: p["pair"]
-            ).alias("prefix"),
+            F.transform("pairs", lambda found: found["pair"]).alias("pairs"),
+            F.greatest(keep, F.lit(1)).cast("int").alias("keep"),
         )
     )
-    return reps.join(prefixes, "text")
+    return reps.join(ordered, "text")
 
 
 def _comparable(reps: DataFrame) -> DataFrame:
@@ -116,18 +120,22 @@ def _sides(reps: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Colum
     """Earlier side, later side and the condition of a match besides equal block and character pair."""
     keyed = checkpointed(_candidate_keys(_comparable(reps.where(F.length("text") > 0)), threshold))
     # masks are made once per text and travel with it, instead of once per candidate pair
-    early = keyed.withColumn("masks", short_masks(F.col("text"))).withColumn("pair", F.explode("prefix"))
-    late = keyed.withColumn("pair", F.explode("prefix"))
-    names = ["text", "place", "copies", "prefix"]
+    early = keyed.withColumn("masks", short_masks(F.col("text"))).withColumn("pair", F.explode(F.slice("pairs", F.lit(1), F.col("keep")))).drop("keep")
+    late = keyed.withColumn("pair", F.explode(F.slice("pairs", F.lit(1), F.col("keep")))).drop("keep")
+    names = ["text", "place", "copies", "pairs"]
     early = early.withColumnsRenamed({name: f"{name}_a" for name in [*names, "masks"]})
     late = late.withColumnsRenamed({name: f"{name}_b" for name in names})
-    shorter, _ = _bounds(threshold)
+    shorter, _, shared = _bounds(threshold)
     length_a, length_b = F.length("text_a"), F.length("text_b")
     meet = (
         (F.col("place_a") < F.col("place_b"))
         & (F.least(length_a, length_b) > F.greatest(length_a, length_b) * F.lit(shorter))
-        # the pair of texts meets once, at the first element that both prefixes share
-        & (F.get(F.array_intersect("prefix_a", "prefix_b"), F.lit(0)) == F.col("pair"))
+        # the two texts meet once, at the first element they share, and must share enough of them
+        & bind(
+            F.array_intersect("pairs_a", "pairs_b"),
+            lambda common: (F.get(common, F.lit(0)) == F.col("pair"))
+            & (F.size(common) > (length_a + length_b) * F.lit(shared) + 1),
+        )
     )
     return early, late, meet
 
