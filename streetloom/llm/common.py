@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import streetloom
 
 SPACE = "\x20\x09-\x0d"  # white space of every contract, inside a character class
+SLICE_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
@@ -44,15 +45,23 @@ def texts_of(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``SLICE_BYTES``, so that Python objects stay few."""
+    rows = max(1, int(batch.num_rows * min(1.0, SLICE_BYTES / max(1, batch.nbytes))))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``work`` on every Arrow batch; a batch without an answer adds no rows."""
+    """``work`` on every Arrow batch, cut to about ``SLICE_BYTES``; None for an answer adds no rows."""
     ship(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(batch)
-            if made is not None:
-                yield made
+            for part in sliced(batch):
+                made = work(part)
+                if made is not None:
+                    yield made
 
     return df.mapInArrow(run, schema)
 

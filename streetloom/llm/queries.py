@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, secrets
+from streetloom.llm import decontaminate, pieces, secrets
 from streetloom.llm.common import documents, hex_sha256, joined_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,24 @@ def _span_columns(spans: Column, kinds: tuple[str, ...]) -> list[Column]:
     return [*counts, base.alias("base_sha256"), joined_spans(spans).alias("spans")]
 
 
+def tokenizer_file() -> str:
+    """Place of the vocabulary; only the driver reads it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_texts(documents(spark, sf_dir), tokenizer_file())
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 @register
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(documents(spark, sf_dir))
