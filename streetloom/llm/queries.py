@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, pieces, secrets
+from streetloom.llm import decontaminate, pieces, rules, secrets
 from streetloom.llm.common import documents, hex_sha256, joined_spans
+from streetloom.session import checkpointed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,6 +49,15 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # measured once and written, as the cutoffs and the verdicts both read it
+    measured = checkpointed(rules.measure(documents(spark, sf_dir), carry=["doc_id"]))
+    judged = rules.judge(measured, rules.fit_cutoffs(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    counts = [F.col("_m")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select(F.col("_row")["doc_id"].alias("doc_id"), *counts, "base_failed", "kept")
+
+
 @register
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(documents(spark, sf_dir))
