@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, pieces, rules, secrets
+from streetloom.llm import decontaminate, neardup, pieces, rules, secrets
 from streetloom.llm.common import documents, hex_sha256, joined_spans
 from streetloom.session import checkpointed
 
@@ -49,6 +49,12 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = neardup.near_duplicates(documents(spark, sf_dir))
+    return classes.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @register
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     # measured once and written, as the cutoffs and the verdicts both read it
