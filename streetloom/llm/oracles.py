@@ -31,3 +31,13 @@ select doc_id, len(w)::bigint as n_words, coalesce(covered.n, 0)::bigint as n_hi
   sha256(coalesce(named.s, '')) as items_sha256, coalesce(covered.n, 0) > 0 as contaminated
 from doc left join covered using (r) left join named using (r)
 """
+
+ORACLES["op9_warc"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, octet_length(encode(html))::bigint as payload_bytes, sha256(html) as payload_digest from p),
+f as (select payload_digest, min(page_id) as first from d where payload_bytes >= 100 group by 1)
+select page_id, payload_bytes, payload_digest,
+  case when first is not null and page_id is distinct from first then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from d left join f using (payload_digest)
+"""

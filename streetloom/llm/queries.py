@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, neardup, pieces, rules, secrets
+from streetloom.llm import decontaminate, neardup, pieces, rules, secrets, warc
 from streetloom.llm.common import documents, hex_sha256, joined_spans
-from streetloom.session import checkpointed
+from streetloom.session import checkpointed, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,18 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *_span_columns(F.col("spans"), secrets.BASE_KINDS))
 
 
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), f"{folder}/archives")
+    records = checkpointed(warc.read_archives(spark, f"{folder}/archives"))
+    warc.write_index(records, f"{folder}/index")
+    listed = warc.read_index(spark, f"{folder}/index").select("archive", "offset")
+    return records.join(listed, ["archive", "offset"]).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @register
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
