@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.functions.binding import bind
+from streetloom.session import checkpointed
 
 MAX_LOSS = 0.01
 CONFIDENCE = 0.05
@@ -161,8 +162,8 @@ def fit_cutoffs(
         for at, cutoff in enumerate(cutoffs)
     ]
     counted = held.where(~base_failed(F.col("_m"))).groupBy("_stratum").agg(F.count("*").alias("n"), *losses)
-    strata = counted.agg(F.count("*").alias("strata"))
-    level = F.lit(confidence) / (F.greatest("strata", F.lit(1)) * len(CUTOFFS))
+    counted = checkpointed(counted)  # one row for each stratum
+    level = confidence / (max(1, counted.count()) * len(CUTOFFS))
     share = max_loss / len(CUTOFFS)
 
     def certified(rule: str, cutoffs: tuple[float, ...]) -> Column:
@@ -172,7 +173,7 @@ def fit_cutoffs(
         last = F.when(first_failure == 0, len(cutoffs)).otherwise(first_failure - 1).cast("int")
         return F.get(F.array(*map(F.lit, cutoffs)), last - 1).alias(rule)
 
-    return counted.join(F.broadcast(strata)).select("_stratum", *[certified(r, c) for r, c in CUTOFFS.items()])
+    return counted.select("_stratum", *[certified(r, c) for r, c in CUTOFFS.items()])
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
