@@ -22,6 +22,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import re
+import struct
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -35,7 +36,7 @@ from streetloom.llm.common import column_schema, map_batches
 
 MARK = "▁"  # stands for a space
 MAX_PIECES = 1_000_000  # of a vocabulary that may be broadcast
-CACHE_WORDS = 300_000  # encoded words a Python worker remembers
+CACHE_WORDS = 500_000  # encoded words a Python worker remembers
 CACHE_PAIRS = 1_000_000  # adjacent pairs it remembers
 LONG_WORD = 64  # longer words are not remembered
 
@@ -95,12 +96,16 @@ class Codec:
         words = {t: i for t, i in plain.items() if t.strip(MARK) or t == MARK}
         self.score = {t: pieces.scores[i] for t, i in words.items() if len(t) > 1}
         self.known = frozenset(t for t in words if len(t) == 1)
+        by_score = sorted(self.score, key=self.score.get, reverse=True)
+        self.place = {t: 2 * k for k, t in enumerate(by_score)}  # order of merges; doubled to tell sides apart
+        self.halves: dict[str, tuple[str, str]] = {}
         # a piece that merging its own characters does not give can never come out
-        self.ids = {t: i for t, i in words.items() if self._merged(t) == [t]}
+        self.ids = {t: i for t, i in words.items() if self._merges(t)}
         self.shorter = {t: next((t[:k] for k in range(len(t) - 1, 0, -1) if t[:k] in self.ids), None) for t in self.ids}
         self.matcher = ahocorasick.Automaton()
         for text in self.ids:
-            self.matcher.add_word(text, text)
+            if len(text) > 1:
+                self.matcher.add_word(text, (len(text) - 1, text))
         self.matcher.make_automaton()
         breaks = "".join(re.escape(c) for c in "\t\n\r" if c not in self.known)
         self.cut = re.compile(f"{MARK}+[^{MARK}{breaks}]*|[^{MARK}{breaks}]+" + (f"|[{breaks}]" if breaks else ""))
@@ -115,8 +120,9 @@ class Codec:
         self.fits: dict[tuple[str, str], bool] = {}
         self.run_ids: dict[int, list[int]] = {}
 
-    def _merged(self, text: str) -> list[str]:
-        """Merging done plainly: the best scored neighbours first, the leftmost of equals."""
+    def _merges(self, text: str) -> bool:
+        """Whether merging a piece's characters plainly, best score first and leftmost of equals, gives the
+        piece; its last merge is kept."""
         parts, score = list(text), self.score
         while len(parts) > 1:
             best, at = float("-inf"), -1
@@ -125,17 +131,37 @@ class Codec:
                 if found is not None and found > best:
                     best, at = found, k
             if at < 0:
-                break
+                return False
+            if len(parts) == 2:
+                self.halves[text] = (parts[0], parts[1])
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return True
 
     def _fit(self, left: str, right: str) -> bool:
-        """Whether merging again what both hold gives the two back."""
-        known = self.fits.get((left, right))
-        if known is None:
-            if len(self.fits) >= CACHE_PAIRS:
-                self.fits.clear()
-            known = self.fits[left, right] = self._merged(left + right) == [left, right]
+        """Whether merging again what both hold gives the two back.
+
+        The merges at the border are replayed from the last to the first: undoing the later of the two that made
+        what now touches the border, any piece across it must not come before the merge just undone. Among equal
+        scores the leftmost comes first: after those on the left, before those on the right.
+        """
+        pair = (left, right)
+        place, halves = self.place, self.halves
+        limit, known = 1 << 60, True
+        while True:
+            across = place.get(left + right)
+            if across is not None and across < limit:
+                known = False
+                break
+            a, b = place.get(left, -1), place.get(right, -1)
+            if a < 0 and b < 0:
+                break
+            if a > b:
+                limit, left = a, halves[left][1]
+            else:
+                limit, right = b + 1, halves[right][0]
+        if len(self.fits) >= CACHE_PAIRS:
+            self.fits.clear()
+        self.fits[pair] = known
         return known
 
     def _backtrack(self, text: str) -> list[str]:
@@ -143,31 +169,34 @@ class Codec:
         if text in self.ids:
             return [text]
         size = len(text)
-        longest = [""] * size
-        for last, token in self.matcher.iter(text):
-            start = last - len(token) + 1
-            if len(token) > len(longest[start]):
-                longest[start] = token
+        longest = list(text)
+        for last, (back, token) in self.matcher.iter(text):
+            longest[last - back] = token  # of one start, longer ones end later
         dead = bytearray((size >> 3) + 1)
+        fits, shorter = self.fits, self.shorter
         tokens: list[str] = []
-        at, token = 0, longest[0]
+        at, token, before = 0, longest[0], None
         while True:
-            before = tokens[-1] if tokens else None
             while token is not None:
                 end = at + len(token)
-                if not dead[end >> 3] >> (end & 7) & 1 and (before is None or self._fit(before, token)):
-                    break
-                token = self.shorter[token]
+                if not dead[end >> 3] >> (end & 7) & 1:
+                    if before is None:
+                        break
+                    fit = fits.get((before, token))
+                    if self._fit(before, token) if fit is None else fit:
+                        break
+                token = shorter[token]
             if token is None:
                 dead[at >> 3] |= 1 << (at & 7)
-                token = self.shorter[tokens.pop()]
+                token = shorter[tokens.pop()]
                 at -= len(before)
+                before = tokens[-1] if tokens else None
                 continue
             tokens.append(token)
             at = end
             if at == size:
                 return tokens
-            token = longest[at]
+            before, token = token, longest[at]
 
     def _run(self, size: int) -> list[int]:
         """Ids of a run of space marks: equal scores, so always the leftmost merge."""
@@ -206,7 +235,8 @@ class Codec:
         pending = marks  # space marks not yet written
         if rest:
             pending = max(0, marks - 1)
-            for part in self.alien.split(word[pending:]):
+            body = word[pending:]
+            for part in self.alien.split(body) if self.alien.search(body) else (body,):
                 if not part:
                     continue
                 if len(part) == 1 and part not in self.known:
@@ -220,7 +250,8 @@ class Codec:
                     ids = list(self._run(pending))
                     pending = 0
                 ids += found
-        return np.array(ids + self._run(pending) if not ids else ids, "<i4").tobytes()
+        ids = ids or self._run(pending)
+        return struct.pack(f"<{len(ids)}i", *ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit numbers."""
