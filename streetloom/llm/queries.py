@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, neardup, pieces, rules, secrets, warc
-from streetloom.llm.common import documents, hex_sha256, joined_spans
+from streetloom.llm import decontaminate, neardup, pieces, quality, rules, secrets, toxicity, warc
+from streetloom.llm.common import documents, held_out, hex_sha256, joined_spans
 from streetloom.session import checkpointed, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,24 @@ def _span_columns(spans: Column, kinds: tuple[str, ...]) -> list[Column]:
     return [*counts, base.alias("base_sha256"), joined_spans(spans).alias("spans")]
 
 
+def _verdicts(scored: DataFrame, apart: Column, threshold: float) -> DataFrame:
+    return scored.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@register
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    apart = held_out(F.col("doc_id"), 3, 1)
+    return _verdicts(quality.score(docs, quality.train(docs, labels, ~apart)), apart, 0.5)
+
+
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    apart = held_out(F.col("doc_id"), 4, 2)
+    return _verdicts(toxicity.score(docs, toxicity.train(docs, labels, ~apart)), apart, 0.3)
+
+
 def tokenizer_file() -> str:
     """Place of the vocabulary; only the driver reads it."""
     import public_tokenizers
