@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,21 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+class WordHashes(dict):
+    """64-bit hashes of words; a Python worker remembers some of them."""
+
+    LIMIT = 500_000
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+WORD_HASHES = WordHashes()
+
+
 def texts_of(column: pa.Array) -> list[bytes | None]:
     """UTF-8 of every text."""
     return column.cast(pa.binary()).to_pylist()

@@ -28,11 +28,10 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetloom.llm.common import map_batches, texts_of
+from streetloom.llm.common import WORD_HASHES, map_batches, texts_of
 from streetloom.llm.components import connected_components
 from streetloom.session import checkpointed
 
@@ -43,23 +42,11 @@ BINS = BANDS * ROWS
 MIN_AGREE = 83
 BLOCK = 2048  # nodes of one side that are compared at once
 MAX_BROADCAST_KEYS = 1_000_000  # of rows looked up again by a broadcast join
-_WORD_CACHE = 500_000
 
 _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _WORD_CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> _S32)) * _M1
     values = (values ^ (values >> _S29)) * _M2
@@ -71,7 +58,7 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
     words = text.lower().split() if text else []
     if not words:
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(WORD_HASHES.__getitem__, words), np.uint64, len(words))
     width = min(size, len(words))
     with np.errstate(over="ignore"):
         out = np.full(len(words) - width + 1, np.uint64(width))

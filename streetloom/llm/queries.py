@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, neardup, pieces, quality, rules, secrets, toxicity, warc
+from streetloom.llm import decontaminate, lm, neardup, pieces, quality, rules, secrets, toxicity, warc
 from streetloom.llm.common import documents, held_out, hex_sha256, joined_spans
 from streetloom.session import checkpointed, scratch_path
 
@@ -49,6 +49,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _verdicts(toxicity.score(docs, toxicity.train(docs, labels, ~apart)), apart, 0.3)
 
 
+@register
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    apart = held_out(F.col("doc_id"), 7, 2)
+    scored = lm.score(docs, lm.train(docs.where(~apart)))
+    return scored.select("doc_id", apart.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def tokenizer_file() -> str:
     """Place of the vocabulary; only the driver reads it."""
     import public_tokenizers
