@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, lm, neardup, pieces, quality, rules, secrets, toxicity, warc
+from streetloom.llm import decontaminate, lm, neardup, pieces, pii, quality, rules, secrets, toxicity, warc
 from streetloom.llm.common import documents, held_out, hex_sha256, joined_spans
 from streetloom.session import checkpointed, scratch_path
 
@@ -57,6 +57,14 @@ def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", apart.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@register
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(documents(spark, sf_dir))
+    counts = [F.size(_of_kinds(F.col("base"), (k,))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    base = hex_sha256(joined_spans(F.col("base")))
+    return found.select("doc_id", *counts, base.alias("base_sha256"), joined_spans(F.col("spans")).alias("spans"))
+
+
 def tokenizer_file() -> str:
     """Place of the vocabulary; only the driver reads it."""
     import public_tokenizers
