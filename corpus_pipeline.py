@@ -5,26 +5,52 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streetloom.llm.common import documents
 from streetloom.llm.decontaminate import remove_hits
+from streetloom.llm.neardup import keep_one_of_each
+from streetloom.llm.pieces import encode_texts
+from streetloom.llm.queries import tokenizer_file
+from streetloom.llm.rules import keep_documents
 from streetloom.llm.secrets import mask_secrets
 from streetloom.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the base rule or a certified cutoff go."""
+    return keep_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of similar documents the one with the smallest id stays."""
+    return keep_one_of_each(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; documents that are mostly such passages go."""
     return remove_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark."""
     return mask_secrets(docs)
 
 
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the token ids of the text that is left, their number, and the text they decode to."""
+    coded = encode_texts(docs, tokenizer_file())
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scans", secret_scans),
+    ("piece_encoding", piece_encoding),
 ]
 
 #: The stages hold learned thresholds and a tokenizer, which SQL cannot state; tests compare with brute force.
