@@ -19,6 +19,11 @@ from streetloom.session import scratch_path
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    """n_chars of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or a certified cutoff go."""
     return keep_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -31,12 +36,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; documents that are mostly such passages go."""
-    return remove_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _recounted(remove_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark."""
-    return mask_secrets(docs)
+    return _recounted(mask_secrets(docs))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
