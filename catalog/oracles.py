@@ -61,11 +61,23 @@ def _ratio(a: str, b: str) -> str:
     return f"case when {a} = {b} then 100 when {a} = '' or {b} = '' then 0 else {measured} end"
 
 
+def _even(value: str, places: int) -> str:
+    scale = f"1e{places}"
+    return f"round_even(({value}) * {scale}, 0) / {scale}"
+
+
 _AFFINITY = par.values_sql(par.AFFINITY, "service_name, category, score")
 _GROUPS = par.values_sql(par.REQUEST_GROUPS, "kind, request_group")
 _TERMS = par.values_sql(par.taxonomy_rows(), "category_group, keyword, ordinal")
 _LEXICON = par.values_sql(par.LEXICON, "token, valence, kind")
 
+def _affinity_of(kind: str, category: str) -> str:
+    """Joins: a by the lower-case type, w as written for types that the table lacks in lower case."""
+    return f"""left join {_AFFINITY} a on a.service_name = lower({kind}) and a.category = {category}
+      left join {_AFFINITY} w on w.service_name = {kind} and w.category = {category}
+        and lower({kind}) not in (select service_name from {_AFFINITY})"""
+
+
 _DISTANCE = (
     "2 * 6371000 * asin(sqrt(least(1.0, pow(sin(radians(b.latitude - r.lat) / 2), 2)"
     " + cos(radians(r.lat)) * cos(radians(b.latitude)) * pow(sin(radians(b.longitude - r.lon) / 2), 2))))"
@@ -84,12 +96,10 @@ near as (
     on b.latitude between r.lat - 0.01 and r.lat + 0.01
   where {_DISTANCE} <= 250
 ), scored as (
-  select near.*, round(distance, 2) as distance_m,
-         round(greatest(0, least(1, 1 - distance / 250)), 4) as proximity_score,
-         round(coalesce(a.score, 0), 4) as category_similarity,
-         round(0.5 * greatest(0, least(1, 1 - distance / 250)) + 0.5 * coalesce(a.score, 0), 4) as hybrid_score
-  from near left join {_AFFINITY} a
-    on a.service_name = lower(near.service_name) and a.category = near.primary_category
+  select *, {_even("0.5e0 * proximity_score + 0.5e0 * category_similarity", 4)} as hybrid_score
+  from (select *, {_even("greatest(0e0, least(1e0, 1e0 - distance_m / 250e0))", 4)} as proximity_score
+        from (select near.*, {_even("distance", 2)} as distance_m, {_even("coalesce(a.score, w.score, 0e0)", 4)} as category_similarity
+              from near {_affinity_of("near.service_name", "near.primary_category")}))
 ), pairs as (
   select *, cast(row_number() over (partition by service_request_id
            order by hybrid_score desc, distance, business_id) as integer) as match_rank
@@ -139,12 +149,12 @@ hits as (
   from third_step t left join marks m using (review_id) group by t.review_id
 ), scored_reviews as (
   select c.review_id, c.business_id,
-         round(cast(coalesce(s, 0) as double) / sqrt(cast(coalesce(s, 0) as double) * coalesce(s, 0) + 15), 4) as review_sentiment
+         {_even("cast(coalesce(s, 0) as double) / sqrt(cast(coalesce(s, 0) as double) * coalesce(s, 0) + 15)", 4)} as review_sentiment
   from cleaned c left join totals using (review_id)
 ), rollup_by_business as (
   select business_id, round_even(avg(cast(round(review_sentiment * 10000) as bigint)), 0) / 10000 as avg_sentiment,
          round_even(median(cast(round(review_sentiment * 10000) as bigint)), 0) / 10000 as median_sentiment,
-         round(stddev_samp(review_sentiment), 4) as std_sentiment,
+         {_even("stddev_samp(review_sentiment)", 4)} as std_sentiment,
          count(*) as review_count,
          round_even(100 * avg(case when review_sentiment >= 0.05 then 1 else 0 end), 1) as pct_positive,
          round_even(100 * avg(case when review_sentiment <= -0.05 then 1 else 0 end), 1) as pct_negative
@@ -250,7 +260,7 @@ complete as (
   select * from complete qualify row_number() over (partition by service_request_id order by objectid) = 1
 ), events_once as (
   select * from once qualify row_number() over (
-    partition by service_name, round(lat, 4), round(lon, 4), cast(cast(requested_datetime as timestamp) as date)
+    partition by service_name, {_even("lat", 4)}, {_even("lon", 4)}, cast(cast(requested_datetime as timestamp) as date)
     order by objectid) = 1
 )"""
 
@@ -325,11 +335,12 @@ _SQL = {
     "review_retention": """select count(*) as total, count(*) filter (business_id in (@known@)) as kept,
         round(100.0 * count(*) filter (business_id in (@known@)) / count(*), 1) as pct_kept from @role reviews@""",
     "radius_join": "with @pairs@ select service_request_id, business_id, distance_m from pairs",
-    "affinity_lookup": f"""select r.service_request_id, r.service_name, c_mktsegment, coalesce(a.score, 0) as affinity
+    "affinity_lookup": f"""select r.service_request_id, r.service_name, c_mktsegment, coalesce(a.score, w.score, 0) as affinity
         from @role requests@ r join orders on o_orderkey = service_request_id join customer on c_custkey = o_custkey
-        left join {_AFFINITY} a on a.service_name = lower(r.service_name) and a.category = c_mktsegment""",
+        {_affinity_of("r.service_name", "c_mktsegment")}""",
     "affinity_coverage": f"""select count(distinct service_name) as kinds, count(distinct service_name)
-        filter (lower(service_name) in (select service_name from {_AFFINITY})) as kinds_scored from @role requests@""",
+        filter (lower(service_name) in (select service_name from {_AFFINITY})
+          or service_name in (select service_name from {_AFFINITY})) as kinds_scored from @role requests@""",
     "match_pairs": """with @pairs@ select * exclude (distance) replace (array_to_string(categories_normalized, '|')
         as categories_normalized) from pairs""",
     "match_with_sentiment": """with @pairs@, @sentiment@ select p.service_request_id, p.business_id, p.match_rank,
@@ -340,8 +351,8 @@ _SQL = {
         qualify row_number() over (partition by service_request_id order by objectid) = 1""",
     "dedup_text": """select seq, review_id, business_id, text from @role reviews_raw@
         qualify row_number() over (partition by business_id, text order by seq) = 1""",
-    "dedup_event": """select objectid, service_request_id, service_name, requested_datetime from @role requests_raw@
-        qualify row_number() over (partition by service_name, round(lat, 4), round(lon, 4),
+    "dedup_event": f"""select objectid, service_request_id, service_name, requested_datetime from @role requests_raw@
+        qualify row_number() over (partition by service_name, {_even("lat", 4)}, {_even("lon", 4)},
         cast(cast(requested_datetime as timestamp) as date) order by objectid) = 1""",
     "duplicate_rows": """select cast(coalesce(sum(n), 0) as bigint) as duplicate_rows, count(*) as duplicate_keys from (
         select service_request_id, count(*) as n from @role requests_raw@ group by 1 having count(*) > 1)""",
@@ -372,8 +383,8 @@ _SQL = {
         when review_sentiment <= -0.05 then 'negative' else 'neutral' end as polarity from scored_reviews)
         select p.polarity, count(l.polarity) as reviews, round_even(100e0 * count(l.polarity) / (select count(*) from labelled), 1) as pct
         from (values ('positive'), ('neutral'), ('negative')) as p(polarity) left join labelled l using (polarity) group by p.polarity""",
-    "sentiment_summary": """with @sentiment@ select count(*) as businesses, round_even(avg(cast(round(avg_sentiment * 10000) as bigint)), 0) / 10000 as mean_avg_sentiment,
-        round_even(median(cast(round(avg_sentiment * 10000) as bigint)), 0) / 10000 as median_avg_sentiment, round(stddev_samp(avg_sentiment), 4) as std_avg_sentiment,
+    "sentiment_summary": f"""with @sentiment@ select count(*) as businesses, round_even(avg(cast(round(avg_sentiment * 10000) as bigint)), 0) / 10000 as mean_avg_sentiment,
+        round_even(median(cast(round(avg_sentiment * 10000) as bigint)), 0) / 10000 as median_avg_sentiment, {_even("stddev_samp(avg_sentiment)", 4)} as std_avg_sentiment,
         median(review_count) as median_review_count from rollup_by_business""",
     "sentiment_extremes": """with @sentiment@
         (select 'most positive' as side, business_id, avg_sentiment, review_count from rollup_by_business
@@ -384,7 +395,7 @@ _SQL = {
     # ---- reports
     "value_counts": """select service_name as value, count(*) as n from @role requests_raw@
         where service_name is not null group by service_name""",
-    "top_types": "with @pairs@ select service_name as value, count(*) as n from pairs group by 1 order by n desc, value limit 5",
+    "top_types": "with @pairs@ select service_name as value, count(*) as n from pairs group by 1 order by n desc, value limit 3",
     "top_pairings": """with @pairs@ select service_name, primary_category, count(*) as n from pairs group by all
         order by n desc, service_name, primary_category limit 5""",
     "best_matches": """with @pairs@ select service_request_id, service_name, business_name, primary_category, distance_m, hybrid_score
@@ -398,12 +409,12 @@ _SQL = {
         median(distance_m) as median_nearest_m from closest""",
     "monthly_counts": """with @pairs@ select cast(m as integer) as month_no, monthname(make_date(2000, cast(m as integer), 1)) as month,
         (select count(*) from pairs where month(cast(requested_datetime as timestamp)) = m) as n from range(1, 13) as t(m)""",
-    "monthly_counts_by_year": """select cast(year(ts) as integer) as year, cast(month(ts) as integer) as month_no,
-        monthname(ts) as month, count(*) as n from events group by all""",
+    "monthly_counts_by_year": """select cast(year(o_orderdate) as integer) as year, cast(month(o_orderdate) as integer) as month_no,
+        monthname(o_orderdate) as month, count(*) as n from orders group by all""",
     "top5_per_month": """with @pairs@, counted as (select service_name, monthname(cast(requested_datetime as timestamp)) as month,
         count(*) as n from pairs group by all)
         select *, cast(row_number() over (partition by month order by n desc, service_name) as integer) as place from counted
-        qualify place <= 5""",
+        qualify place <= 3""",
     "compare_groups": """with @pairs@ select service_name, @group@ as business_group, count(*) as n from pairs
         where service_name in (select service_name from pairs group by 1 order by count(*) desc, service_name limit 3) group by all""",
     "zip_density": "with @pairs@, @density@ select * from density",
@@ -425,8 +436,9 @@ _SQL = {
           ((select count(*) from rows_of) - 1) * ((select count(*) from columns_of) - 1) as degrees,
           (select count(*) from grouped) as n
         from expected left join cells using (request_group, zipcode)""",
-    "group_share": f"""select request_group, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 6) as pct
-        from @role requests@ join {_GROUPS} g on g.kind = lower(service_name) group by request_group""",
+    "group_share": f"""select coalesce(g.request_group, 'ungrouped') as request_group, count(*) as n,
+          round(100.0 * count(*) / sum(count(*)) over (), 6) as pct
+        from @role requests@ left join {_GROUPS} g on g.kind = lower(service_name) group by 1""",
     "review_overview": """select count(*) as reviews, count(distinct business_id) as businesses, min(date) as first_date,
         max(date) as last_date, round(avg(length(text)), 6) as avg_length from @role reviews_raw@""",
     "null_profile": """with raw as (select * from @role requests_raw@),
@@ -467,7 +479,7 @@ _SQL = {
         select lattice, ix, iy, round((ix + (lattice - 1) * 0.5) * sx + x0, 6) as center_x,
           round((iy + (lattice - 1) * 0.5) * sy + y0, 6) as center_y, count(*) as n
         from cells group by lattice, ix, iy, x0, y0, sx, sy""",
-    "heat_grid": """select round(lat, 3) as lat, round(lon, 3) as lon, count(*) as n from @role requests_raw@
+    "heat_grid": f"""select {_even("lat", 3)} as lat, {_even("lon", 3)} as lon, count(*) as n from @role requests_raw@
         where lat is not null and lon is not null group by 1, 2""",
     "standardize": """with @pairs@ select service_request_id,
         round((proximity_score - avg(proximity_score) over ()) / stddev_pop(proximity_score) over (), 6) as proximity_score_z,

@@ -12,6 +12,9 @@ AFFINITY = (
     ("3-medium", "BUILDING", 0.5),
     ("4-not specified", "HOUSEHOLD", 0.4),
     ("4-not specified", "MACHINERY", 0.9),
+    ("5-LOW", "BUILDING", 0.15),  # a type that the table has only as written
+    ("5-LOW", "FURNITURE", 0.45),
+    ("2-HIGH", "BUILDING", 0.99),  # never used, as the table has the type in lower case
 )
 
 REQUEST_GROUPS = (
@@ -19,8 +22,7 @@ REQUEST_GROUPS = (
     ("2-high", "Safety"),
     ("3-medium", "Property"),
     ("4-not specified", "General"),
-    ("5-low", "General"),
-)
+)  # 5-low is in no group
 
 TAXONOMY = {
     "Food & Restaurants": ("restaurant", "bar", "tea", "tex-mex"),

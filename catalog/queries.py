@@ -14,6 +14,7 @@ from streetloom import schemas
 from streetloom.dimensions import inline_table
 from streetloom.functions import categories as cat
 from streetloom.functions.labels import normalize_label, zip_from_digits, zip_from_text
+from streetloom.functions.rounding import half_even
 from streetloom.functions.similarity import similarity_ratio
 from streetloom.functions.text import clean_text
 from streetloom.operators import cluster, columns, dedup, fuzzy, hotspots, matching, profile, reports
@@ -255,7 +256,7 @@ def clean_business(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def semi_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # businesses that some label marks as good: the reviews of their language are kept
+    # the membership set: sources that have a text labelled toxic
     known = (
         table(spark, sf_dir, "documents")
         .join(table(spark, sf_dir, "labels").where("toxic = 1"), "doc_id")
@@ -286,7 +287,7 @@ def radius_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = role(spark, sf_dir, "requests").select("service_request_id", "lat", "lon")
     right = role(spark, sf_dir, "businesses").select("business_id", "latitude", "longitude")
     return radius_join(left, right).select(
-        "service_request_id", "business_id", F.round("distance", 2).alias("distance_m")
+        "service_request_id", "business_id", half_even(F.col("distance"), 2).alias("distance_m")
     )
 
 
@@ -296,7 +297,7 @@ def affinity_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer"),
         F.expr("cast(split(address, ' ')[0] as bigint) = c_custkey"),
     )
-    scored = matching.with_affinity(joined, _affinity(spark), category="c_mktsegment")
+    scored = matching.with_affinity(joined, _affinity(spark), category="c_mktsegment", raw_keys=True)
     return scored.select("service_request_id", "service_name", "c_mktsegment", "affinity")
 
 
@@ -469,7 +470,7 @@ def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def top_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_values(_pairs(spark, sf_dir), "service_name", 5)
+    return reports.top_values(_pairs(spark, sf_dir), "service_name", 3)  # of five types
 
 
 @register
@@ -503,12 +504,12 @@ def monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def monthly_counts_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.monthly_counts(table(spark, sf_dir, "events"), "ts", by_year=True)
+    return reports.monthly_counts(table(spark, sf_dir, "orders"), "o_orderdate", by_year=True)
 
 
 @register
 def top5_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_per_month(_pairs(spark, sf_dir), 5)
+    return reports.top_per_month(_pairs(spark, sf_dir), 3)  # of five types
 
 
 @register

@@ -20,28 +20,14 @@ def inline_table(spark: SparkSession, rows: Sequence[Sequence], schema: T.Struct
     )
 
 
-def _parse_affinity(text: str) -> list[tuple[str, str, str, float]]:
-    """(heading, request type, category group, score) per entry."""
-    heading, entries = "", []
-    for line in filter(None, map(str.strip, text.splitlines())):
-        if line.startswith("["):
-            heading = line.strip("[]")
-            continue
-        request_type, scores = line.split(": ")
-        for part in scores.split("; "):
-            category, score = part.rsplit(" ", 1)
-            entries.append((heading, request_type, category, float(score)))
-    return entries
-
-
 def default_affinity(spark: SparkSession) -> DataFrame:
-    rows = [entry[1:] for entry in _parse_affinity(fixed_values.AFFINITY)]
+    rows = [entry[1:] for entry in fixed_values.AFFINITY]
     return inline_table(spark, rows, schemas.AFFINITY)
 
 
 def default_request_groups(spark: SparkSession) -> DataFrame:
     """Request type → heading of the affinity table, one row per type."""
-    rows = dict.fromkeys((entry[1], entry[0]) for entry in _parse_affinity(fixed_values.AFFINITY))
+    rows = dict.fromkeys((entry[1], entry[0]) for entry in fixed_values.AFFINITY)
     return inline_table(spark, list(rows), schemas.REQUEST_GROUPS)
 
 

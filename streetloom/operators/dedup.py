@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetloom.fixed_values import EVENT_PLACES
+from streetloom.functions.rounding import half_even
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[str | Column]) -> DataFrame:
@@ -40,7 +41,7 @@ def keep_first_event(
 ) -> DataFrame:
     """First report of the same kind at the same rounded place on the same day."""
     day = F.to_date(F.col(at).try_cast("timestamp_ntz"))
-    keys = [F.col(kind), F.round(F.col(lat), places), F.round(F.col(lon), places), day]
+    keys = [F.col(kind), half_even(F.col(lat), places), half_even(F.col(lon), places), day]
     return keep_first(df, keys, order_by)
 
 

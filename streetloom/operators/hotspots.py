@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streetloom.functions.rounding import half_even
+
 
 def _limits(points: DataFrame) -> Column:
     """Least and greatest x and y as one scalar struct."""
@@ -70,6 +72,6 @@ def heat_points(df: DataFrame, lat: str, lon: str) -> DataFrame:
 def heat_grid(df: DataFrame, lat: str, lon: str, places: int = 3) -> DataFrame:
     """Heat points summed on a grid of ``places`` decimals."""
     points = heat_points(df, lat, lon)
-    return points.groupBy(F.round("lat", places).alias("lat"), F.round("lon", places).alias("lon")).agg(
+    return points.groupBy(half_even(F.col("lat"), places).alias("lat"), half_even(F.col("lon"), places).alias("lon")).agg(
         F.count("*").alias("n")
     )

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from streetloom.fixed_values import CAT_WEIGHT, GEO_WEIGHT, RADIUS_M, UNKNOWN
 from streetloom.functions.geo import hybrid_score, proximity_score
+from streetloom.functions.rounding import half_even
 from streetloom.operators.dedup import keep_first
 from streetloom.operators.ranking import number_rows, number_rows_by_ranges
+from streetloom.session import checkpointed
 
 
 def with_affinity(
@@ -72,17 +74,18 @@ def score_pairs(
 ) -> DataFrame:
     """Add distance_m, proximity_score, category_similarity and hybrid_score to radius-join pairs.
 
-    Scores use the arguments and the unrounded distance, then are rounded (2, 4, 4, 4 places). Missing
-    labels become ``unknown``. ``distance`` stays for ranking.
+    Distance is rounded to 2 places, proximity comes from it and the hybrid score from the rounded parts,
+    each with 4 places, halves to even. A request type that the affinity table lacks in lower case is looked up
+    as written. Missing labels become ``unknown``. ``distance`` stays for ranking.
     """
     labelled = pairs.na.fill(UNKNOWN, subset=["service_name", "primary_category"])
-    proximity = proximity_score(F.col("distance"), radius_m)
+    hybrid = hybrid_score(F.col("proximity_score"), F.col("category_similarity"), geo_weight, cat_weight)
     return (
-        with_affinity(labelled, affinity)
-        .withColumn("distance_m", F.round("distance", 2))
-        .withColumn("hybrid_score", F.round(hybrid_score(proximity, F.col("affinity"), geo_weight, cat_weight), 4))
-        .withColumn("proximity_score", F.round(proximity, 4))
-        .withColumn("category_similarity", F.round("affinity", 4))
+        with_affinity(labelled, affinity, raw_keys=True)
+        .withColumn("distance_m", half_even(F.col("distance"), 2))
+        .withColumn("proximity_score", half_even(proximity_score(F.col("distance_m"), radius_m), 4))
+        .withColumn("category_similarity", half_even(F.col("affinity"), 4))
+        .withColumn("hybrid_score", half_even(hybrid, 4))
         .drop("affinity")
     )
 
@@ -96,6 +99,7 @@ def rank_matches(scored: DataFrame, wide: str = "wide") -> DataFrame:
     order = [F.desc("hybrid_score"), F.asc("distance"), F.asc("business_id")]
     if wide not in scored.columns:
         return number_rows(scored, "service_request_id", order, "match_rank")
+    scored = checkpointed(scored)  # read twice, joined once
     narrow = scored.where(~F.col(wide)).drop(wide)
     broad = scored.where(F.col(wide)).drop(wide)
     return number_rows(narrow, "service_request_id", order, "match_rank").unionByName(

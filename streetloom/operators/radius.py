@@ -13,6 +13,8 @@ from streetloom.operators.skew import salted_join
 
 # A cell above this many rows on either side is cut into parts of about this size.
 HOT_CELL_ROWS = 1_000_000
+# Nor does a task evaluate more than about this many candidates of one cell.
+HOT_CELL_PAIRS = 500_000_000
 
 _MARGIN = 1.0001  # keeps rounding of the cell arithmetic on the safe side
 
@@ -68,6 +70,7 @@ def radius_join(
     right_at: tuple[str, str] = ("latitude", "longitude"),
     hot_cell_rows: int | None = HOT_CELL_ROWS,
     wide: str | None = None,
+    hot_cell_pairs: int = HOT_CELL_PAIRS,
 ) -> DataFrame:
     """Columns of both sides plus ``distance`` in metres, for every pair with distance <= radius.
 
@@ -75,7 +78,7 @@ def radius_join(
     nine cells around each point, while a left row stays in its own cell, so a pair meets exactly once.
     Works on the whole globe, across the date line and at the poles. Rows without coordinates match nothing.
 
-    Cells with more than ``hot_cell_rows`` rows on a side are cut into parts (left parts x right parts),
+    Cells with more than ``hot_cell_rows`` rows on a side or ``hot_cell_pairs`` candidates are cut into parts (left parts x right parts),
     so no task gets an unbounded group; ``None`` leaves skew to adaptive execution. ``wide`` names a column,
     added only if there are such cells, that is false for left rows with at most ``hot_cell_rows`` matches.
     """
@@ -103,6 +106,7 @@ def radius_join(
             celled_left, celled_right, ["cy", "cx"], hot_cell_rows,
             left_id=left.columns, right_id=right.columns,
             wide=wide,
+            pair_limit=min(hot_cell_rows**2, hot_cell_pairs),
         )
     return (
         met.drop("cy", "cx")

@@ -183,13 +183,16 @@ def chi_square_test(df: DataFrame, row: str, column: str) -> DataFrame:
 
 
 def group_share(df: DataFrame, groups: DataFrame, kind: str = "service_name") -> DataFrame:
-    """Rows and percentage per request group; ``groups`` is (service_name, request_group)."""
+    """Rows and percentage of all rows per request group; ``groups`` is (service_name, request_group).
+
+    Types without a group, and rows without a type, are counted as ``ungrouped``.
+    """
     named = groups.select(F.col("service_name").alias("_kind"), "request_group")
     counted = (
         df.groupBy(F.lower(kind).alias("_kind"))
         .agg(F.count("*").alias("n"))
-        .join(named, "_kind")
-        .groupBy("request_group")
+        .join(named, "_kind", "left")
+        .groupBy(F.coalesce("request_group", F.lit("ungrouped")).alias("request_group"))
         .agg(F.sum("n").alias("n"))
     )
     total = counted.agg(F.sum("n")).scalar()

@@ -13,23 +13,32 @@ from streetloom.session import checkpointed
 MAX_BROADCAST_KEYS = 1_000_000
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows on a side, and into how many parts each side is cut.
+def hot_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int, pair_limit: int | None = None
+) -> DataFrame:
+    """Keys with more than ``limit`` rows on a side or ``pair_limit`` pairs, and the parts each side is cut into.
 
-    Counted after a map-side sum of both sides together. At most (rows of both sides) / limit keys come
-    out.
+    ``pair_limit`` defaults to ``limit`` squared. A left and a right part have at most about ``limit`` rows each and
+    ``pair_limit`` pairs together: the smaller side is cut to the square root of it at most, the larger side to
+    what is left. Counted after a map-side sum of both sides together. At most (rows of both sides) /
+    least(limit, sqrt(pair_limit)) keys come out.
     """
+    pairs = float(limit) ** 2 if pair_limit is None else float(pair_limit)
+    rows_small, rows_large = F.least("l", "r"), F.greatest("l", "r")
+    small_parts = F.greatest(F.lit(1.0), F.ceil(rows_small / min(float(limit), pairs**0.5)))
+    reach = F.least(F.lit(float(limit)), pairs / F.greatest(F.lit(1.0), rows_small / small_parts))
+    large_parts = F.greatest(F.lit(1.0), F.ceil(rows_large / F.greatest(F.lit(1.0), reach)))
     marks = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
         right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     return (
         marks.groupBy(*keys)
         .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .where((F.col("l") > limit) | (F.col("r") > limit))
+        .where((F.col("l") > limit) | (F.col("r") > limit) | (F.col("l").cast("double") * F.col("r") > pairs))
         .select(
             *keys,
-            F.greatest(F.lit(1), F.ceil(F.col("l") / limit)).cast("int").alias("left_parts"),
-            F.greatest(F.lit(1), F.ceil(F.col("r") / limit)).cast("int").alias("right_parts"),
+            F.when(F.col("l") <= F.col("r"), small_parts).otherwise(large_parts).cast("int").alias("left_parts"),
+            F.when(F.col("l") <= F.col("r"), large_parts).otherwise(small_parts).cast("int").alias("right_parts"),
         )
     )
 
@@ -60,8 +69,10 @@ def salted_join(
     how: str = "inner",
     partitions: int | None = None,
     wide: str | None = None,
+    pair_limit: int | None = None,
 ) -> DataFrame:
-    """Join on ``keys`` in which no task gets more than about ``limit`` rows of one key per side.
+    """Join on ``keys`` in which no task gets more than about ``limit`` rows of one key per side,
+    and evaluates more than about ``pair_limit`` (default: ``limit`` squared) pairs of it.
 
     Calling it counts the rows per key. Without hot keys it is a plain join. Else a hot key is cut into
     left parts x right parts; every pair of rows still meets exactly once. ``left_id`` and ``right_id``
@@ -70,9 +81,9 @@ def salted_join(
 
     ``partitions`` fixes the number of tasks, for joins that do much work per byte and should not be
     merged into few tasks. ``wide`` names a column, added only if there are hot keys, that is true for
-    left rows whose key has more than ``limit`` rows on the right; other rows have at most ``limit`` matches.
+    left rows whose key is cut on the right; other rows have at most ``limit`` matches.
     """
-    hot = checkpointed(hot_keys(left, right, keys, limit))
+    hot = checkpointed(hot_keys(left, right, keys, limit, pair_limit))
     n_hot = hot.count()
     by = list(keys)
     if n_hot:

@@ -52,6 +52,19 @@ def scored_pairs(
 
     Pass tables that are read back from storage, not long chains: the cells are counted first, then joined.
     """
+    return _scored(requests, businesses, affinity, radius_m, geo_weight, cat_weight, hot_cell_rows).drop("wide")
+
+
+def _scored(
+    requests: DataFrame,
+    businesses: DataFrame,
+    affinity: DataFrame,
+    radius_m: float,
+    geo_weight: float,
+    cat_weight: float,
+    hot_cell_rows: int | None,
+) -> DataFrame:
+    """Scored pairs, with the flag ``wide`` if some cell is hot."""
     pairs = radius_join(
         _side(requests, REQUEST_SIDE),
         _side(businesses, BUSINESS_SIDE),
@@ -74,6 +87,6 @@ def match_pairs(
     hot_cell_rows: int | None = HOT_CELL_ROWS,
 ) -> DataFrame:
     """The integrated table: every pair within the radius, scored and ranked per request (24 columns)."""
-    scored = scored_pairs(requests, businesses, affinity, radius_m, geo_weight, cat_weight, hot_cell_rows)
+    scored = _scored(requests, businesses, affinity, radius_m, geo_weight, cat_weight, hot_cell_rows)
     columns = (*REQUEST_SIDE.values(), *BUSINESS_SIDE.values(), *SCORES)
     return rank_matches(scored).select(*columns)

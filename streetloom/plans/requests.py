@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streetloom.fixed_values import EVENT_PLACES
 from streetloom.functions.labels import normalize_label, zip_from_text
+from streetloom.functions.rounding import half_even
 from streetloom.operators.columns import drop_columns, drop_missing
 from streetloom.operators.dedup import keep_first, keep_first_event
 
@@ -55,8 +57,8 @@ def request_counts(raw: DataFrame, order_by: Sequence[str] = ("objectid",)) -> D
     )
     event = F.struct(
         F.col("service_name").alias("kind"),
-        F.round("lat", 4).alias("lat"),
-        F.round("lon", 4).alias("lon"),
+        half_even(F.col("lat"), EVENT_PLACES).alias("lat"),
+        half_even(F.col("lon"), EVENT_PLACES).alias("lon"),
         F.to_date(F.col("requested_datetime").try_cast("timestamp_ntz")).alias("day"),
         zip_from_text(F.col("zipcode")).isNull().alias("no_zip"),
     )
