@@ -276,6 +276,18 @@ _DENSITY = """density as (
   from pairs where zipcode_request is not null group by zipcode_request
 )"""
 
+_CELLS = f"""grouped as (select request_group, zipcode from @role requests@ join {_GROUPS} g
+          on g.kind = lower(service_name)),
+        rows_of as (select request_group, count(*) as r from grouped group by 1),
+        columns_of as (select zipcode, count(*) as c from grouped group by 1),
+        cells as (select request_group, zipcode, count(*) as o from grouped group by all),
+        expected as (select r.request_group, c.zipcode, r.r * c.c / (select count(*) from grouped) as e
+          from rows_of r, columns_of c),
+        tested as (select sum(pow(coalesce(o, 0) - e, 2) / e) as statistic,
+          ((select count(*) from rows_of) - 1) * ((select count(*) from columns_of) - 1) as degrees,
+          (select count(*) from grouped) as n
+        from expected left join cells using (request_group, zipcode))"""
+
 _FRAGMENTS = {
     "pairs": _PAIRS,
     "sentiment": _SENTIMENT,
@@ -298,7 +310,11 @@ _SQL = {
     "scan_jsonl_project": "select review_id, business_id, text, date from @role reviews_raw@",
     "scan_csv": "select review_id, business_id, stars, text, date, useful from @role reviews_raw@",
     "scan_csv_dir": """select objectid, service_request_id, subject, status_notes, service_name, service_code,
-        agency_responsible, requested_datetime, address, zipcode, lat, lon from @role requests_raw@""",
+        agency_responsible, requested_datetime, address, zipcode, lat, lon from @role requests_raw@
+        union all values (-1, -1, 'x', 'x', 'x', 'x', 'x', 'x', 'x', 'x', 1.5e0, 2.5e0),
+          (-2, -2, 'y', null, null, null, null, null, null, null, null, null)""",
+    "scan_jsonl_head": """select o_orderkey, cast(o_orderdate as varchar) as o_orderdate from orders
+        order by 2, 1 limit 50""",
     "sink_roundtrip": """with @pairs@
         select service_request_id, business_id, distance_m, radius_m from closest,
         (values (100), (250)) as v(radius_m) where distance_m <= radius_m""",
@@ -367,6 +383,7 @@ _SQL = {
         else array_to_string(list_transform(string_split(categories, ','), lambda c: {_strip("c")}), '|') end as category_list from raw""",
     "map_taxonomy": "with @businesses_raw@, @substring@ select seq_no, categories_normalized from mapped",
     "map_taxonomy_table": "with @businesses_raw@, @substring@ select seq_no, categories_normalized, primary_category from mapped",
+    "map_taxonomy_table_words": "with @businesses_raw@, @words@ select seq_no, categories_normalized from mapped",
     "map_taxonomy_words": "with @businesses_raw@, @words@ select seq_no, categories_normalized from mapped",
     "primary_category": "with @businesses_raw@, @substring@ select seq_no, primary_category from mapped",
     "business_group": "select business_id, @group@ as business_group from @role businesses@",
@@ -425,17 +442,12 @@ _SQL = {
     "zip_centroids": """select zipcode, round(avg(lat), 6) as lat, round(avg(lon), 6) as lon, count(*) as n from @role requests_raw@
         where zipcode is not null and lat is not null and lon is not null group by zipcode""",
     "map_center": "select round(avg(lat), 6) as lat, round(avg(lon), 6) as lon from @role requests_raw@",
-    "chi_square_zip": f"""with grouped as (select request_group, zipcode from @role requests@ join {_GROUPS} g
-          on g.kind = lower(service_name)),
-        rows_of as (select request_group, count(*) as r from grouped group by 1),
-        columns_of as (select zipcode, count(*) as c from grouped group by 1),
-        cells as (select request_group, zipcode, count(*) as o from grouped group by all),
-        expected as (select r.request_group, c.zipcode, r.r * c.c / (select count(*) from grouped) as e
-          from rows_of r, columns_of c)
-        select round(sum(pow(coalesce(o, 0) - e, 2) / e), 4) as statistic,
-          ((select count(*) from rows_of) - 1) * ((select count(*) from columns_of) - 1) as degrees,
-          (select count(*) from grouped) as n
-        from expected left join cells using (request_group, zipcode)""",
+    "chi_square_zip": f"""with {_CELLS}
+        select round(statistic, 4) as statistic, degrees, n from tested""",
+    # with an even number of degrees the tail is a finite sum
+    "chi_square_test": f"""with {_CELLS}
+        select round((select sum(exp(j * ln(statistic / 2) - statistic / 2 - lgamma(j + 1))) from range(0, degrees // 2) as t(j)), 4) as p_value,
+          degrees, round(statistic, 4) as statistic from tested""",
     "group_share": f"""select coalesce(g.request_group, 'ungrouped') as request_group, count(*) as n,
           round(100.0 * count(*) / sum(count(*)) over (), 6) as pct
         from @role requests@ left join {_GROUPS} g on g.kind = lower(service_name) group by 1""",

@@ -125,6 +125,13 @@ def scan_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_jsonl(spark, path, ORDERS)
 
 
+@register
+def scan_jsonl_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "orders-jsonl")
+    _orders(spark, sf_dir).write.json(path)
+    return read_jsonl(spark, path, ORDERS, columns=["o_orderkey", "o_orderdate"], nrows=50, order_by=["o_orderdate", "o_orderkey"])
+
+
 @register
 def scan_jsonl_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "reviews-jsonl")
@@ -147,6 +154,11 @@ def scan_csv_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(wide, path)
     # files of another width in the same directory are left out
     _orders(spark, sf_dir).write.mode("append").options(**CSV_OPTIONS).csv(path)
+    # a good file with a short record, which is filled up, and a long one, which goes alone
+    width = len(schemas.REQUESTS_RAW)
+    lines = [",".join(schemas.REQUESTS_RAW.names), "-1,-1" + ",x" * (width - 4) + ",1.5,2.5", "-2,-2,y", "-3" + ",z" * width]
+    odd = spark.range(1).select(F.explode(F.array(*map(F.lit, lines))).alias("line"))
+    odd.write.mode("append").options(sep="\x01", quote="\x00").csv(path)
     return columns.drop_columns(read_csv_positional(spark, path))
 
 
@@ -334,7 +346,7 @@ def dedup_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def dedup_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = dedup.keep_first(role(spark, sf_dir, "reviews_raw"), ["business_id", "text"], ["seq"])
+    kept = dedup.keep_first(role(spark, sf_dir, "reviews_raw"), ["business_id", F.sha2("text", 256)], ["seq"])
     return kept.select("seq", "review_id", "business_id", "text")
 
 
@@ -400,6 +412,13 @@ def map_taxonomy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.select("seq_no", _text("categories_normalized"), "primary_category")
 
 
+@register
+def map_taxonomy_table_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    terms = inline_table(spark, par.taxonomy_rows(), schemas.TAXONOMY)
+    mapped = categorize_by_table(_raw_businesses(spark, sf_dir), "seq_no", terms, match="word")
+    return mapped.select("seq_no", _text("categories_normalized"))
+
+
 @register
 def map_taxonomy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = categorize(_raw_businesses(spark, sf_dir), par.TAXONOMY, match="word")
@@ -555,7 +574,8 @@ def chi_square_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def chi_square_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.chi_square_test(_grouped_requests(spark, sf_dir), "request_group", "zipcode")
+    found = reports.chi_square_test(_grouped_requests(spark, sf_dir), "request_group", "zipcode")
+    return found.withColumns({name: F.round(name, 4) for name in ("p_value", "statistic")})
 
 
 def _grouped_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from streetloom.fixed_values import BUSINESS_GROUPS, CATEGORY_GROUPS, OTHER, UNCATEGORIZED
+from streetloom.functions.binding import bind
 from streetloom.functions.labels import BLANK, WORD, strip_blank
 
 
@@ -44,20 +45,23 @@ def map_taxonomy(categories: Column, taxonomy: Mapping[str, Sequence[str]], matc
     A name counts for every group of which it contains a keyword. The mapping becomes part of the
     expression, so rows are mapped where they are; ``operators.taxonomy`` takes larger tables.
     """
-    names = F.transform(categories, normalize_category)
-    hits = [
-        F.when(_any_matches(names, keyword_pattern(words, match)), F.lit(group))
-        for group, words in taxonomy.items()
-        if words
-    ]
     every_word = [word for words in taxonomy.values() for word in words]
     known = keyword_pattern(every_word, match) if every_word else "(?!)"
-    rest = F.filter(names, lambda name: (name != UNCATEGORIZED.lower()) & ~name.rlike(known))
-    mapped = F.concat(
-        F.filter(F.array(*hits) if hits else F.array().cast("array<string>"), lambda g: g.isNotNull()),
-        F.array_sort(F.array_distinct(rest)),
-    )
-    return F.when(F.size(mapped) > 0, mapped).otherwise(F.array(F.lit(UNCATEGORIZED)))
+
+    def of_names(names: Column) -> Column:
+        hits = [
+            F.when(_any_matches(names, keyword_pattern(words, match)), F.lit(group))
+            for group, words in taxonomy.items()
+            if words
+        ]
+        rest = F.filter(names, lambda name: (name != UNCATEGORIZED.lower()) & ~name.rlike(known))
+        mapped = F.concat(
+            F.filter(F.array(*hits) if hits else F.array().cast("array<string>"), lambda g: g.isNotNull()),
+            F.array_sort(F.array_distinct(rest)),
+        )
+        return bind(mapped, lambda m: F.when(F.size(m) > 0, m).otherwise(F.array(F.lit(UNCATEGORIZED))))
+
+    return bind(F.transform(categories, normalize_category), of_names)
 
 
 def primary_category(mapped: Column, groups: Sequence[str] = CATEGORY_GROUPS) -> Column:

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,21 +163,54 @@ def chi_square(df: DataFrame, row: str, column: str) -> DataFrame:
     )
 
 
-def chi_square_test(df: DataFrame, row: str, column: str) -> DataFrame:
-    """Independence test with its p-value: (p_value, degrees, statistic), by the ML library.
+def _log_gamma_half(n: Column) -> Column:
+    """Logarithm of gamma(n / 2) for whole n >= 1, by the recurrence from 1 or 1/2."""
+    odd = n % 2 == 1
+    start = F.when(odd, 0.5 * math.log(math.pi)).otherwise(0.0)
+    first = F.when(odd, 0.5).otherwise(1.0)
+    steps = F.sequence(F.lit(0), (F.floor((n - 1) / 2) - F.when(odd, 1).otherwise(1)).cast("int"))
+    grown = F.aggregate(steps, start, lambda total, k: total + F.log(first + k))
+    return F.when(n <= 2, start).otherwise(grown)
+
+
+def chi_square_tail(statistic: Column, degrees: Column) -> Column:
+    """Probability that a chi-square variable of ``degrees`` is at least ``statistic``: the regularised upper
+    incomplete gamma function at (degrees / 2, statistic / 2).
 
-    The library refuses labels with more than 10,000 different values, which bounds what it gathers.
+    Below the mean by the power series of the lower function, above it by the continued fraction of the upper one;
+    both get so many terms, growing with the square root of the degrees, that the rest is below double precision.
     """
-    complete = df.na.drop("any", subset=[row, column]).select(row, column)
-    indexed = StringIndexer(
-        inputCols=[row, column], outputCols=["label", "index"], stringOrderType="alphabetAsc"
-    ).fit(complete).transform(complete)
-    vectors = indexed.select("label", array_to_vector(F.array("index")).alias("features"))
-    return ChiSquareTest.test(vectors, "features", "label", flatten=True).select(
-        F.col("pValue").alias("p_value"),
-        F.col("degreesOfFreedom").cast("long").alias("degrees"),
-        "statistic",
+    a, x = degrees / 2, statistic / 2
+    terms = (12 * F.sqrt(a) + 120).cast("int")
+    front = F.exp(a * F.log(x) - x - _log_gamma_half(degrees))
+
+    series = F.aggregate(
+        F.sequence(F.lit(1), terms),
+        F.struct((1 / a).alias("term"), (1 / a).alias("total")),
+        lambda acc, n: F.struct(
+            (acc["term"] * x / (a + n)).alias("term"), (acc["total"] + acc["term"] * x / (a + n)).alias("total")
+        ),
+        lambda acc: acc["total"],
+    )
+
+    # the fraction 1 / (x + 1 - a - 1 (1 - a) / (x + 3 - a - 2 (2 - a) / ...)), from its last term upwards
+    fraction = F.aggregate(
+        F.transform(F.sequence(F.lit(1), terms), lambda k: terms + 1 - k),
+        F.lit(0.0),
+        lambda below, n: n * (n - a) / (x + 2 * n + 1 - a + below) * -1,
     )
+    upper = front / (x + 1 - a + fraction)
+    tail = F.when(x < a + 1, 1 - front * series).otherwise(upper)
+    return F.when(degrees <= 0, F.lit(None)).when(statistic <= 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), tail)))
+
+
+def chi_square_test(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Independence test with its p-value: (p_value, degrees, statistic), for any number of labels.
+
+    The p-value is null if a side has a single label.
+    """
+    tested = chi_square(df, row, column)
+    return tested.select(chi_square_tail(F.col("statistic"), F.col("degrees")).alias("p_value"), "degrees", "statistic")
 
 
 def group_share(df: DataFrame, groups: DataFrame, kind: str = "service_name") -> DataFrame:

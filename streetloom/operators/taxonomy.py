@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetloom.fixed_values import UNCATEGORIZED
@@ -14,9 +14,7 @@ from streetloom.functions.categories import (
     primary_category,
     split_categories,
 )
-
-# Up to this many keywords the taxonomy is part of the row expression; use the table form beyond it.
-MAX_INLINE_KEYWORDS = 2_000
+from streetloom.functions.labels import WORD
 
 
 def categorize(
@@ -25,36 +23,47 @@ def categorize(
     categories: str = "categories",
     match: str = "substring",
 ) -> DataFrame:
-    """Add ``categories_normalized`` and ``primary_category`` without moving a row."""
-    if sum(map(len, taxonomy.values())) > MAX_INLINE_KEYWORDS:
-        raise ValueError("taxonomy too large for an expression: use categorize_by_table")
+    """Add ``categories_normalized`` and ``primary_category`` without moving a row.
+
+    The taxonomy becomes part of the expression; a table of thousands of keywords is better given to
+    ``categorize_by_table``.
+    """
     mapped = map_taxonomy(split_categories(F.col(categories)), taxonomy, match)
     return df.withColumn("categories_normalized", mapped).withColumn(
         "primary_category", primary_category(F.col("categories_normalized"), tuple(taxonomy))
     )
 
 
-def name_groups(names: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def name_groups(names: DataFrame, taxonomy: DataFrame, match: str = "substring") -> DataFrame:
     """(name, groups) for distinct normalised names and a taxonomy table of any size.
 
     A keyword inside a name is one of the name's substrings, so the match is an equality join on
     substrings of the lengths that keywords have, not a comparison of every name with every keyword.
+    With ``match='word'`` only substrings that neither begin nor end inside a word count.
     ``groups`` is an array of (ordinal, category_group) in order.
     """
     lengths = taxonomy.select(F.length("keyword").alias("size")).distinct()
+    if match not in ("substring", "word"):
+        raise ValueError(f"match must be 'substring' or 'word', not {match!r}")
+
+    def counts(at: Column, size: Column) -> Column:
+        around = F.concat(F.lit(" "), F.col("name"), F.lit(" "))
+        before, after = F.substring(around, at, F.lit(1)), F.substring(around, at + size + 1, F.lit(1))
+        return ~before.rlike(f"[{WORD}]") & ~after.rlike(f"[{WORD}]")
+
+    def pieces_of(size: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length("name") - size + 1)
+        if match == "word":
+            starts = F.filter(starts, lambda at: counts(at, size))
+        return F.transform(starts, lambda at: F.substring(F.col("name"), at, size))
+
     sizes = lengths.agg(F.array_sort(F.collect_set("size")).alias("sizes"))  # at most the longest keyword
     pieces = names.select("name", sizes.scalar().alias("sizes")).select(
         "name",
         F.explode(
             F.array_distinct(
                 F.flatten(
-                    F.transform(
-                        F.filter("sizes", lambda size: size <= F.length("name")),
-                        lambda size: F.transform(
-                            F.sequence(F.lit(1), F.length("name") - size + 1),
-                            lambda at: F.substring(F.col("name"), at, size),
-                        ),
-                    )
+                    F.transform(F.filter("sizes", lambda size: size <= F.length("name")), pieces_of)
                 )
             )
         ).alias("piece"),
@@ -67,7 +76,7 @@ def name_groups(names: DataFrame, taxonomy: DataFrame) -> DataFrame:
 
 
 def categorize_by_table(
-    df: DataFrame, key: str, taxonomy: DataFrame, categories: str = "categories"
+    df: DataFrame, key: str, taxonomy: DataFrame, categories: str = "categories", match: str = "substring"
 ) -> DataFrame:
     """Like ``categorize`` for a taxonomy table (category_group, keyword, ordinal); ``key`` is unique.
 
@@ -77,7 +86,7 @@ def categorize_by_table(
         F.col(key).alias("_key"),
         F.explode(F.transform(split_categories(F.col(categories)), normalize_category)).alias("name"),
     )
-    matched = name_groups(listed.select("name").distinct(), taxonomy)
+    matched = name_groups(listed.select("name").distinct(), taxonomy, match)
     per_row = (
         listed.join(matched, "name", "left")
         .groupBy("_key")  # bounded: the categories of one row

@@ -13,8 +13,9 @@ from streetloom.functions.labels import name_key, zip_from_digits
 from streetloom.operators.columns import flag_valid_coordinates, snake_case_columns
 from streetloom.operators.dedup import keep_first, order_by_content
 from streetloom.operators.fuzzy import fuzzy_dedup
-from streetloom.operators.taxonomy import categorize
+from streetloom.operators.taxonomy import categorize, categorize_by_table
 from streetloom.schemas import BUSINESS_CLEAN
+from streetloom.session import checkpointed
 
 
 def clean_location(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
@@ -51,14 +52,22 @@ def located_once(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataF
 
 def clean_businesses(
     raw: DataFrame,
-    taxonomy: Mapping[str, Sequence[str]] = STARTER_TAXONOMY,
+    taxonomy: Mapping[str, Sequence[str]] | DataFrame = STARTER_TAXONOMY,
     order_by: Sequence[str] | None = None,
     threshold: int = FUZZY_THRESHOLD,
     match: str = "substring",
 ) -> DataFrame:
-    """Raw businesses → located, distinct ones with taxonomy categories."""
-    distinct = drop_similar_businesses(located_once(raw, order_by), threshold)
-    return categorize(distinct, taxonomy, match=match).select(*BUSINESS_CLEAN)
+    """Raw businesses → located, distinct ones with taxonomy categories.
+
+    A mapping becomes part of the row expression, a DataFrame (``schemas.TAXONOMY``) of any size is joined.
+    """
+    # stored, as the similarity step reads the rows several times
+    distinct = drop_similar_businesses(checkpointed(located_once(raw, order_by)), threshold)
+    if isinstance(taxonomy, DataFrame):
+        named = categorize_by_table(distinct, "business_id", taxonomy, match=match)
+    else:
+        named = categorize(distinct, taxonomy, match=match)
+    return named.select(*BUSINESS_CLEAN)
 
 
 def business_counts(
@@ -69,7 +78,7 @@ def business_counts(
     by_id = flagged.groupBy("business_id").agg(
         F.count("*").alias("read"), F.count_if("valid_coordinates").alias("located")
     )
-    shops = drop_similar_businesses(located_once(raw, order_by), threshold)
+    shops = drop_similar_businesses(checkpointed(located_once(raw, order_by)), threshold)
     return by_id.agg(
         F.sum("read").alias("read"),
         F.sum("located").alias("located"),

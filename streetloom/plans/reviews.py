@@ -42,7 +42,7 @@ def clean_reviews(raw: DataFrame, order_by: Sequence[str] | None = None) -> Data
     complete = drop_missing(snake_case_columns(raw), all_of=["text", "business_id", "date"])
     order_by = order_by or ["date", "review_id", *order_by_content(complete)]
     once = keep_first(complete, ["review_id"], order_by)
-    distinct = keep_first(once, ["business_id", "text"], order_by)
+    distinct = keep_first(once, ["business_id", F.sha2("text", 256)], order_by)  # no text is sorted or shipped as a key
     cleaned = distinct.withColumn("text_clean", clean_text(F.col("text"))).where("text_clean <> ''")
     return cleaned.select(*REVIEW_CLEAN)
 

@@ -4,6 +4,7 @@ from streetloom.sources.readers import (
     read_jsonl,
     read_parquet,
     rejected_files,
+    rejected_records,
 )
 from streetloom.sources.writers import write_by_radius, write_csv, write_metrics, write_parquet
 
@@ -13,6 +14,7 @@ __all__ = [
     "read_jsonl",
     "read_parquet",
     "rejected_files",
+    "rejected_records",
     "write_by_radius",
     "write_csv",
     "write_metrics",

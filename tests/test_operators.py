@@ -397,7 +397,7 @@ def test_density_and_null_zip(spark):
 def test_group_share_and_compare(spark):
     df = spark.createDataFrame([("Illegal Dumping",)] * 3 + [("salting",)] + [("none",)], "service_name string")
     shares = {r.request_group: (r.n, r.pct) for r in reports.group_share(df, default_request_groups(spark)).collect()}
-    assert shares == {"Sanitation / waste": (3, 75.0), "Infrastructure / streets": (1, 25.0)}
+    assert shares == {"Sanitation / waste": (3, 60.0), "Infrastructure / streets": (1, 20.0), "ungrouped": (1, 20.0)}
     compared = reports.compare_groups(df, F.lit("g"), k=2)
     assert rows(compared, "service_name") == [("Illegal Dumping", "g", 3), ("none", "g", 1)]
 

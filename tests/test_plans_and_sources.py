@@ -15,6 +15,7 @@ from streetloom.sources import (
     read_jsonl,
     read_parquet,
     rejected_files,
+    rejected_records,
     write_by_radius,
     write_csv,
 )
@@ -49,6 +50,23 @@ def test_positional_directory_skips_header_and_other_widths(spark, tmp_path):
     assert [r.file.rsplit("/", 1)[-1] for r in rejected_files(spark, str(tmp_path)).collect()] == ["narrow.csv"]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_odd_records_do_not_take_their_neighbours_along(spark, tmp_path, multi_line):
+    width = len(schemas.REQUESTS_RAW)
+    record = lambda key, n: ",".join([str(key), *['"x, ""y"""'] * (n - 1)])
+    header = ",".join(f"h{i}" for i in range(width))
+    lines = [header, record(1, width), record(2, width + 1), record(3, width), record(4, 3), record(5, width + 4)]
+    (tmp_path / "mixed.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "good.csv").write_text(f"{header}\n{record(6, width)}\n")
+    got = {r.objectid: r for r in read_csv_positional(spark, str(tmp_path), multi_line=multi_line).collect()}
+    assert sorted(got) == [1, 3, 4, 6]
+    assert got[4].subject == 'x, "y"' and got[4].status is None and got[3].zipcode == 'x, "y"'
+    assert rejected_files(spark, str(tmp_path)).count() == 0
+    rejected = rejected_records(spark, str(tmp_path), multi_line=multi_line).collect()
+    assert sorted(r.record.split(",")[0] for r in rejected) == ["2", "5"]
+    assert {r.file.rsplit("/", 1)[-1] for r in rejected} == {"mixed.csv"}
+
+
 def test_radius_runs_do_not_replace_each_other(spark):
     path = scratch_path(spark, "radius")
     write_by_radius(spark.range(3), path, 100)
