@@ -8,12 +8,17 @@
 2. Texts with equal sets become one node; everything below works on nodes.
 3. ``BANDS`` bands of ``ROWS`` coordinates each give buckets. Two sets at similarity 0.85 miss each other with
    probability below 1e-6, at 0.9 below 1e-9.
-4. First each node is compared with one pivot, the bucket's smallest node that agrees with it best; the links join
-   nodes to components. Then in buckets that hold several components all pairs across components are compared by
-   sketch, in blocks of bounded size. The largest component of a bucket is not compared with itself, so large
-   groups of near copies cost little. No pair of one component needs a look, as it cannot change a class.
-5. Pairs that pass the sketch (``MIN_AGREE`` coordinates; a pair at the threshold fails it with probability below
-   1e-5) are confirmed on the full sets; so links are exact, and only pairs may be missed, with the stated odds.
+4. First each node is compared with one pivot, the bucket's smallest node that agrees with it best; pairs similar by
+   their full sets are links, and join nodes to components.
+5. In buckets that hold several components, pairs across components are compared by sketch (``MIN_AGREE`` coordinates;
+   a pair at the threshold fails it with probability below 1e-5). They connect components to families of
+   texts that may belong together. In each family all pairs across components that pass the sketch are decided on their
+   full sets. Both steps work in cells of bounded size; the largest component of a group is not compared with
+   itself, and a pair whose nodes have been joined in the cell needs no look, so a cell gives fewer links than it has
+   components, however many pairs are similar.
+
+So links are exact, and only pairs may be missed, with the odds stated. Sets travel once for each pivot pair and about
+once for each member of a family, whatever the number of buckets.
 
 Defined results: null and empty texts, and texts without words, have an empty set and are linked with nothing;
 texts of fewer words than a shingle have one element, the whole sequence; equal rows are in one class; rows
@@ -27,7 +32,6 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,7 +72,10 @@ def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
 
 
 def sketch(elements: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """Coordinates (32 bits) of a set that is not empty."""
+    """Coordinates, as 16-bit prints of the values drawn, of a set that is not empty.
+
+    Unequal values have equal prints once in 65,536 times, which can only add candidates.
+    """
     best = np.full(bins, np.uint64(0xFFFFFFFFFFFFFFFF))
     at = 0
     with np.errstate(over="ignore"):
@@ -82,7 +89,7 @@ def sketch(elements: np.ndarray, bins: int = BINS) -> np.ndarray:
             values = (rounds[:, None] << np.uint64(52)) | (_mixed(drawn) >> np.uint64(12))
             np.minimum.at(best, bin_of.ravel(), values.ravel())
             at += len(rounds)
-        return (_mixed(best) >> _S32).astype(np.uint32)
+        return (_mixed(best) >> np.uint64(48)).astype(np.uint16)
 
 
 def _node_key(elements: np.ndarray) -> bytes:
@@ -116,7 +123,7 @@ def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
 
 def _buckets(nodes: DataFrame) -> DataFrame:
     """One row for each node and band."""
-    width = 4 * ROWS
+    width = 2 * ROWS
     bands = [F.xxhash64(F.lit(b), F.substring("sketch", b * width + 1, width)) for b in range(BANDS)]
     return nodes.select("node", F.explode(F.array(*bands)).alias("bucket"))
 
@@ -139,14 +146,12 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _matrix(sketches: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), np.uint32).reshape(len(sketches), BINS)
+    return np.frombuffer(b"".join(sketches), np.uint16).reshape(len(sketches), BINS)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough; texts are read again for the nodes in question only."""
-    pairs = checkpointed(pairs.select("a", "b").distinct())
-    asked = pairs.select("a").union(pairs.select("b")).distinct().join(nodes.withColumnRenamed("node", "a"), "a")
-    rows = checkpointed(asked.select(F.col("row").alias("_row")).distinct())
+def _full_sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """node and elements of the asked nodes; one text of each is read again."""
+    rows = checkpointed(asked.join(nodes, "node").select(F.col("row").alias("_row")).distinct())
     if rows.count() <= MAX_BROADCAST_KEYS:
         rows = F.broadcast(rows)
     found = docs.select(_row_key(doc_id, text).alias("_row"), F.col(text).alias("_text")).join(rows, "_row", "left_semi")
@@ -158,7 +163,18 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
         )
 
     full = map_batches(found.select("_text"), sets, "node binary, elements binary")
-    full = checkpointed(full.groupBy("node").agg(F.first("elements").alias("elements")))
+    return checkpointed(full.groupBy("node").agg(F.first("elements").alias("elements")))
+
+
+def _similar(shared: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return 100 * shared >= PERCENT * (first + second - shared)
+
+
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """Pairs (a, b), at most one for each a, whose full sets are similar enough."""
+    pairs = checkpointed(pairs)
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    full = _full_sets(asked, nodes, docs, doc_id, text, size)
     sided = pairs
     for side in ("a", "b"):
         sided = sided.join(full.select(F.col("node").alias(side), F.col("elements").alias(f"e{side}")), side)
@@ -168,10 +184,10 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
         for left, right in zip(batch.column("ea").to_pylist(), batch.column("eb").to_pylist(), strict=True):
             first, second = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
             shared = len(np.intersect1d(first, second, assume_unique=True))
-            keep.append(100 * shared >= PERCENT * (len(first) + len(second) - shared))
+            keep.append(bool(_similar(shared, len(first), len(second))))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_batches(sided.select("a", "b", "ea", "eb"), check, "a binary, b binary")
+    return checkpointed(map_batches(sided.select("a", "b", "ea", "eb"), check, "a binary, b binary"))
 
 
 def _pivot_pairs(buckets: DataFrame) -> DataFrame:
@@ -181,25 +197,28 @@ def _pivot_pairs(buckets: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), "b").distinct()
 
 
-def _rest_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs across the components of a bucket that agree by sketch, found in blocks of bounded size."""
-    labelled = buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label"))
-    groups = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed = (
-        groups.groupBy("bucket")
+def _cells(groups: DataFrame) -> DataFrame:
+    """Cells of bounded size in which all nodes of a ``group`` with different ``label`` meet.
+
+    ``groups`` has group, node and label. The most frequent label of a group is its top: its nodes form blocks of their
+    own, which meet the blocks of the others (kind t) but not each other; the others' blocks meet among
+    themselves (kind o). Groups of one label have no cell.
+    """
+    sizes = groups.groupBy("group", "label").agg(F.count("*").alias("n"))
+    several = (
+        sizes.groupBy("group")
         .agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
         .where("labels > 1")
         .select(
-            "bucket",
+            "group",
             F.col("top")["label"].alias("top"),
             F.ceil(F.col("top")["n"] / BLOCK).cast("int").alias("tops"),
             F.ceil((F.col("all") - F.col("top")["n"]) / BLOCK).cast("int").alias("others"),
         )
     )
-    placed = labelled.join(mixed, "bucket").withColumn("is_top", F.col("label") == F.col("top"))
-    spread = F.xxhash64("node")
-    own = F.when(F.col("is_top"), F.pmod(spread, "tops")).otherwise(F.pmod(spread, "others")).cast("int")
-    placed = placed.withColumn("own", own)
+    placed = groups.join(several, "group").withColumn("is_top", F.col("label") == F.col("top"))
+    blocks = F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
 
     def cell(kind: str, left: Column, right: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), left.alias("left"), right.alias("right"))
@@ -210,40 +229,69 @@ def _rest_pairs(buckets: DataFrame, nodes: DataFrame, labels: DataFrame) -> Data
         F.transform(F.sequence(F.lit(0), F.col("tops") - 1), lambda i: cell("t", i, F.col("own"))),
         F.transform(others, lambda j: cell("o", F.least(j, "own"), F.greatest(j, "own"))),
     )
-    cells = placed.select(
-        "bucket", "node", "label", F.explode(F.when(F.col("is_top"), top_cells).otherwise(other_cells)).alias("cell")
+    return placed.select(
+        "group", "node", "label", "is_top", F.explode(F.when(F.col("is_top"), top_cells).otherwise(other_cells)).alias("cell")
     )
-    # at most about two blocks of nodes meet in a cell; cells of one component have nothing to compare
-    member = F.struct("label", "node", "n", "sketch")
+
+
+def _links_in_cells(cells: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that join the labels of each cell as far as its similar pairs do, and no more than that.
+
+    Nodes have a sketch and, if a pair's sets are to decide and not its sketches, their elements. A pair is looked
+    at only while its nodes are not yet joined, so a cell gives fewer links than it has labels.
+    """
+    exact = "elements" in nodes.columns
+    fields = ["label", "is_top", "node", "n", "sketch", *(["elements"] if exact else [])]
     met = (
-        cells.join(nodes.select("node", "n", "sketch"), "node")
-        .groupBy("bucket", "cell")
-        .agg(F.collect_list(member).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
+        cells.join(nodes, "node")
+        .groupBy("group", "cell")
+        .agg(F.collect_list(F.struct(*fields)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low <> high")
-        .select("members")
+        .select(F.col("cell")["kind"].alias("kind"), "members")
     )
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column = batch.column("members")
-        flat, ends = column.flatten(), np.concatenate(([0], np.cumsum(pc.list_value_length(column))))
-        ids, labels_, counts = (flat.field(k).to_pylist() for k in ("node", "label", "n"))
-        rows = _matrix(flat.field("sketch").to_pylist())
-        sizes = np.array(counts, np.int64)
-        numbers = np.unique(np.array(labels_, dtype=object), return_inverse=True)[1] if labels_ else sizes
-        left, right = [], []
-        for start, end in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            for i in range(start, end - 1):
-                rest = slice(i + 1, end)
-                small, large = np.minimum(sizes[i], sizes[rest]), np.maximum(sizes[i], sizes[rest])
-                may = (numbers[rest] != numbers[i]) & (100 * small >= PERCENT * large)
-                places = np.flatnonzero(may) + i + 1
-                if len(places):
-                    places = places[(rows[places] == rows[i]).sum(axis=1) >= MIN_AGREE]
-                    left += [ids[i]] * len(places)
-                    right += [ids[p] for p in places.tolist()]
+        left: list[bytes] = []
+        right: list[bytes] = []
+        for kind, members in zip(batch.column("kind").to_pylist(), batch.column("members"), strict=True):
+            for a, b in _joins(kind == "t", members.values, exact):
+                left.append(a)
+                right.append(b)
         return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
 
-    return map_batches(met, work, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return map_batches(met, work, "a binary, b binary")
+
+
+def _joins(across: bool, members: pa.StructArray, exact: bool) -> list[tuple[bytes, bytes]]:
+    """Links of one cell; ``across``: only between top and other nodes."""
+    ids, sizes = members.field("node").to_pylist(), members.field("n").to_numpy(zero_copy_only=False)
+    top = members.field("is_top").to_numpy(zero_copy_only=False).astype(bool)
+    rows = _matrix(members.field("sketch").to_pylist())
+    joined = np.unique(np.array(members.field("label").to_pylist(), dtype=object), return_inverse=True)[1].reshape(-1)
+    if exact:
+        flat = np.frombuffer(b"".join(members.field("elements").to_pylist()), np.uint64)
+        numbers = np.unique(flat, return_inverse=True)[1].reshape(-1)
+        sets = np.split(numbers, np.cumsum(sizes)[:-1])
+        mark = np.zeros(int(numbers.max()) + 1, bool)
+    links = []
+    for i in range(len(ids) - 1) if not across else np.flatnonzero(~top).tolist():
+        # across, each other node meets all tops; else all later nodes
+        others = top if across else np.arange(len(ids)) > i
+        may = others & (joined != joined[i]) & (100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i]))
+        places = np.flatnonzero(may)
+        if len(places):
+            places = places[(rows[places] == rows[i]).sum(axis=1) >= MIN_AGREE]
+        if len(places) and exact:
+            mark[sets[i]] = True
+            starts = np.concatenate(([0], np.cumsum(sizes[places])[:-1]))
+            shared = np.add.reduceat(mark[np.concatenate([sets[p] for p in places.tolist()])], starts, dtype=np.int64)
+            mark[sets[i]] = False
+            places = places[_similar(shared, sizes[i], sizes[places])]
+        for p in places.tolist():
+            if joined[p] != joined[i]:
+                joined[joined == joined[p]] = joined[i]
+                links.append((ids[i], ids[p]))
+    return links
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -260,9 +308,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     close = _agreeing(_pivot_pairs(buckets), nodes)
     best = close.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", F.col("best")["b"].alias("b"))
     links = _confirmed(best, nodes, docs, doc_id, text, size)
-    links = checkpointed(links)
     labels = connected_components(links)
-    rest = _confirmed(_rest_pairs(buckets, nodes, labels), nodes, docs, doc_id, text, size)
+    # families: what pairs that pass the sketch connect, in buckets that hold several components
+    labelled = buckets.join(labels, "node", "left").select(F.col("bucket").alias("group"), "node", F.coalesce("label", "node").alias("label"))
+    kin = checkpointed(_links_in_cells(_cells(labelled), nodes.select("node", "n", "sketch")))
+    families = connected_components(links.unionByName(kin))
+    # each family is settled on full sets
+    heads = families.select(F.col("label").alias("node")).distinct()
+    members = families.select("node", F.col("label").alias("group")).unionByName(heads.select("node", F.col("node").alias("group")))
+    members = members.join(labels, "node", "left").select("group", "node", F.coalesce("label", "node").alias("label"))
+    cells = checkpointed(_cells(members))
+    full = _full_sets(cells.select("node").distinct(), nodes, docs, doc_id, text, size)
+    rest = _links_in_cells(cells, nodes.select("node", "n", "sketch").join(full, "node"))
     labels = connected_components(links.unionByName(rest))
     classed = nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     named = classed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
