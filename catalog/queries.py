@@ -88,7 +88,7 @@ def _reviews_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return senti.lexicon_sentiment(
-        _reviews_cleaned(spark, sf_dir), _lexicon(spark), contrast=par.CONTRAST
+        _reviews_cleaned(spark, sf_dir), _lexicon(spark), contrast=par.CONTRAST, phrases=par.PHRASES
     )
 
 
@@ -671,3 +671,8 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.cluster_profile(cluster.kmeans_assign(_closest_scores(spark, sf_dir)))
+
+
+@register
+def cluster_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.cluster_audit(_closest_scores(spark, sf_dir))

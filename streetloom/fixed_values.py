@@ -27,6 +27,15 @@ CONTRAST_WORDS = ("but",)
 CONTRAST_BEFORE = 0.5
 CONTRAST_AFTER = 1.5
 NORMALISATION_ALPHA = 15
+NEVER_SO_FACTOR = 1.25
+# words of the rules that span several words
+PHRASES = {
+    "least": ("least",), "before least": ("at", "very"),
+    "never": ("never",), "so": ("so", "this"),
+    "without": ("without",), "doubt": ("doubt",),
+    "no": ("no",), "no link": ("or", "nor"),
+    "kind": ("kind",), "of": ("of",),
+}
 
 # ---- fixed values: labels ----------------------------------------------------
 UNCATEGORIZED = "Uncategorized"

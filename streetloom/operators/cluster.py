@@ -23,6 +23,7 @@ from streetloom.session import checkpointed
 FEATURES = ("proximity_score", "category_similarity")
 POINTS_PER_TASK = 100_000
 MAX_ITER = 300
+TOLERANCE = 1e-9  # centres move no more than this in the last step
 MAX_BROADCAST_POINTS = 1_000_000
 
 
@@ -76,7 +77,7 @@ def _training_set(df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, in
 
 
 def _fit(points: DataFrame, k: int, seed: int) -> tuple[float, KMeansModel]:
-    model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, weightCol="weight", featuresCol="features").fit(points)
+    model = KMeans(k=k, seed=seed, maxIter=MAX_ITER, tol=TOLERANCE, weightCol="weight", featuresCol="features").fit(points)
     return model.summary.trainingCost, model
 
 
@@ -131,3 +132,35 @@ def cluster_profile(assigned: DataFrame, features: Sequence[str] = FEATURES) ->
     return assigned.groupBy("cluster").agg(
         F.count("*").alias("n"), *[F.avg(f).alias(f"avg_{f}") for f in features]
     )
+
+
+def cluster_audit(df: DataFrame, features: Sequence[str] = FEATURES, k: int = 4, ks: Sequence[int] = (2, 3, 4)) -> DataFrame:
+    """One row of checks that hold whatever the start centres were.
+
+    rows, clusters, misplaced (rows nearer to another cluster's mean than to their own), unordered (neighbouring
+    labels whose means are not in ascending order), wrong_inertia (1 if the inertia summed over the labelled rows is
+    not the model's) and rises (steps of the curve over ``ks`` that go up).
+    """
+    assigned = kmeans_assign(df, features, k)
+    scaled = checkpointed(standardize(assigned, features).select("cluster", F.array(*[F.col(f"{f}_z") for f in features]).alias("z")))
+    size = range(len(features))
+    means = scaled.groupBy("cluster").agg(F.array(*[F.avg(F.col("z")[i]) for i in size]).alias("mean"))
+    listed = means.agg(F.array_sort(F.collect_list(F.struct("cluster", "mean"))).alias("means"))  # k entries
+
+    def squared(mean: Column) -> Column:
+        return sum(((F.col("z")[i] - mean[i]) * (F.col("z")[i] - mean[i]) for i in size), F.lit(0.0))
+
+    apart = scaled.withColumn("means", listed.scalar()).select(
+        "cluster", "means", F.transform("means", lambda m: squared(m["mean"])).alias("far")
+    )
+    own = F.get("far", F.col("cluster"))
+    curve = {row["k"]: row["inertia"] for row in kmeans_elbow(df, features, [*dict.fromkeys([*ks, k])]).collect()}
+    rises = sum(curve[b] > curve[a] * (1 + 1e-9) for a, b in zip(ks, ks[1:]))
+    ordered = F.filter("means", lambda m, i: (i > 0) & (F.get("means", i - 1)["mean"] > m["mean"]))
+    return apart.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("cluster").alias("clusters"),
+        F.count_if(F.array_min("far") < own - 1e-9).alias("misplaced"),
+        F.max(F.size(ordered)).alias("unordered"),
+        (F.abs(F.sum(own) - curve[k]) > 1e-6 * curve[k]).cast("int").alias("wrong_inertia"),
+    ).withColumn("rises", F.lit(rises))
