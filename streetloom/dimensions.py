@@ -41,29 +41,56 @@ def taxonomy_frame(spark: SparkSession, taxonomy: Mapping[str, Sequence[str]]) -
     return inline_table(spark, rows, schemas.TAXONOMY)
 
 
-# A short starter list. Load your own table of any size with ``sources.read_csv(..., schemas.TAXONOMY)``.
-STARTER_TAXONOMY: dict[str, tuple[str, ...]] = dict(
-    zip(
-        fixed_values.CATEGORY_GROUPS,
-        (
-            ("restaurant", "food", "cafe", "bar", "pizza", "bakery"),
-            ("shopping", "retail", "store", "clothing"),
-            ("health", "medical", "dentist", "clinic"),
-            ("beauty", "salon", "spa", "hair"),
-            ("automotive", "auto ", "car ", "tire"),
-            ("home service", "plumbing", "contractor", "moving"),
-            ("professional service", "lawyer", "bank", "insurance"),
-            ("entertainment", "theater", "museum", "nightlife"),
-            ("fitness", "gym", "sports", "park"),
-            ("hotel", "travel", "hostel"),
-            ("education", "school", "college"),
-            ("pet", "veterinar"),
-            ("religious", "church"),
-            ("community", "library", "nonprofit"),
-        ),
-        strict=True,
-    )
-)
+# Frequent keywords of each group, under 200 in all. The full list of a data set is a parameter:
+# load a table of any size with ``sources.read_csv(..., schemas.TAXONOMY)``.
+STARTER_TAXONOMY: dict[str, tuple[str, ...]] = {
+    "Food & Restaurants": (
+        "restaurant", "food", "dining", "diner", "cafe", "coffee", "tea", "juice", "bar", "pub", "brewery", "beer", "wine",
+        "bakery", "bakerie", "donut", "bagel", "dessert", "ice cream", "breakfast", "brunch", "buffet", "catering",
+        "pizza", "burger", "sandwich", "steakhouse", "seafood", "sushi", "ramen", "noodle", "chicken", "bbq", "grill",
+        "taco", "cheesesteak", "soup", "salad", "deli", "chinese", "italian", "mexican", "japanese", "thai", "indian",
+        "korean", "vietnamese", "mediterranean", "greek", "french", "american", "caribbean", "middle eastern",
+        "halal", "tex-mex", "vegan", "vegetarian",
+    ),
+    "Shopping & Retail": (
+        "shopping", "retail", "store", "boutique", "outlet", "clothing", "fashion", "shoes", "accessories", "jewelry",
+        "grocery", "supermarket", "convenience", "home & garden", "furniture", "hardware", "electronics",
+        "mobile phone", "florist", "gift", "books", "toy", "antique", "thrift", "optical", "tobacco", "vape",
+    ),
+    "Health & Medical": (
+        "health", "medical", "doctor", "physician", "dentist", "dental", "hospital", "clinic", "urgent care", "pharmacy",
+        "wellness", "chiropractor", "physical therapy", "optometrist",
+    ),
+    "Beauty & Spas": (
+        "beauty", "spa", "salon", "hair", "nail", "massage", "skin care", "makeup", "barber", "waxing", "tattoo",
+    ),
+    "Automotive": (
+        "automotive", "car ", "auto ", "tire", "oil change", "body shop", "car wash", "car dealer", "towing", "parking",
+        "gas station", "motorcycle",
+    ),
+    "Home Services": (
+        "home service", "contractor", "plumbing", "electrician", "hvac", "landscaping", "roofing", "painter",
+        "pest control", "moving", "mover", "storage", "laundry", "dry clean", "locksmith", "apartment",
+        "property management",
+    ),
+    "Professional Services": (
+        "professional service", "lawyer", "legal", "accountant", "financial", "insurance", "real estate", "mortgage",
+        "marketing", "bank", "transportation", "photographer", "event planning",
+    ),
+    "Entertainment & Arts": (
+        "entertainment", "arts", "theater", "cinema", "museum", "gallery", "music", "nightlife", "casino", "arcade",
+        "tour",
+    ),
+    "Active Life & Fitness": (
+        "gym", "fitness", "yoga", "pilates", "sports", "recreation", "active life", "park", "golf", "martial arts",
+        "dance",
+    ),
+    "Hotels & Travel": ("hotel", "motel", "travel", "hostel", "resort", "airport"),
+    "Education": ("education", "school", "university", "college", "tutor", "preschool", "child care"),
+    "Pets": ("pet", "veterinarian", "dog", "grooming"),
+    "Religious Organizations": ("religious", "church", "synagogue", "mosque", "temple"),
+    "Local & Community Services": ("local service", "community", "nonprofit", "post office", "library"),
+}
 
 # A short starter list in the published scale (-4..4); load a full lexicon as a table instead.
 STARTER_LEXICON: tuple[tuple[str, float, str], ...] = (
