@@ -36,6 +36,8 @@ from streetloom.session import checkpointed
 # most its square. The broadcast table of such groups has at most 1/5000 as many rows as there are
 # (text, pair) rows.
 HOT_GROUP_ROWS = 5_000
+# Candidate pairs that one task of the similarity join looks at, well under a second of work.
+PAIRS_PER_TASK = 50_000
 
 
 _SLACK = 1e-9  # keeps rounding of the bounds on the safe side
@@ -140,10 +142,6 @@ def _sides(reps: DataFrame, threshold: int) -> tuple[DataFrame, DataFrame, Colum
     return early, late, meet
 
 
-def _tasks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _ratio() -> Column:
     return measured_ratio(F.col("text_a"), F.col("text_b"), F.col("masks_a"))
 
@@ -164,7 +162,7 @@ def similar_texts(
     early, late, meet = _sides(reps, threshold)
     ratio = _ratio()
     met = salted_join(
-        early, late, ["block", "pair"], HOT_GROUP_ROWS, ["text_a"], ["text_b"], meet, partitions=_tasks(df)
+        early, late, ["block", "pair"], HOT_GROUP_ROWS, ["text_a"], ["text_b"], meet, pairs_per_task=PAIRS_PER_TASK
     )
     return (
         met
@@ -192,7 +190,7 @@ def fuzzy_dedup(
     matches = meet & (_ratio() > threshold)
     marked = (
         salted_join(
-            late, early, ["block", "pair"], HOT_GROUP_ROWS, ["text_b"], ["text_a"], matches, "left_semi", _tasks(df)
+            late, early, ["block", "pair"], HOT_GROUP_ROWS, ["text_b"], ["text_a"], matches, "left_semi", PAIRS_PER_TASK
         )
         .select(F.col("block").alias("_block"), F.col("text_b").alias("_text"))
         .distinct()

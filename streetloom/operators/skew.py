@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,18 +24,25 @@ def hot_keys(
     what is left. Counted after a map-side sum of both sides together. At most (rows of both sides) /
     least(limit, sqrt(pair_limit)) keys come out.
     """
+    return _hot(_key_counts(left, right, keys), keys, limit, pair_limit)
+
+
+def _key_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each side by key: l and r."""
+    marks = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    return marks.groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+
+
+def _hot(counts: DataFrame, keys: Sequence[str], limit: int, pair_limit: int | None) -> DataFrame:
     pairs = float(limit) ** 2 if pair_limit is None else float(pair_limit)
     rows_small, rows_large = F.least("l", "r"), F.greatest("l", "r")
     small_parts = F.greatest(F.lit(1.0), F.ceil(rows_small / min(float(limit), pairs**0.5)))
     reach = F.least(F.lit(float(limit)), pairs / F.greatest(F.lit(1.0), rows_small / small_parts))
     large_parts = F.greatest(F.lit(1.0), F.ceil(rows_large / F.greatest(F.lit(1.0), reach)))
-    marks = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
-        right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
-    )
     return (
-        marks.groupBy(*keys)
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .where((F.col("l") > limit) | (F.col("r") > limit) | (F.col("l").cast("double") * F.col("r") > pairs))
+        counts.where((F.col("l") > limit) | (F.col("r") > limit) | (F.col("l").cast("double") * F.col("r") > pairs))
         .select(
             *keys,
             F.when(F.col("l") <= F.col("r"), small_parts).otherwise(large_parts).cast("int").alias("left_parts"),
@@ -67,7 +75,7 @@ def salted_join(
     right_id: Sequence[str],
     condition: Column | None = None,
     how: str = "inner",
-    partitions: int | None = None,
+    pairs_per_task: int | None = None,
     wide: str | None = None,
     pair_limit: int | None = None,
 ) -> DataFrame:
@@ -79,11 +87,12 @@ def salted_join(
     name columns that tell rows of a side apart; they decide the part. With ``how='left_semi'`` a left row
     may come out once per right part.
 
-    ``partitions`` fixes the number of tasks, for joins that do much work per byte and should not be
-    merged into few tasks. ``wide`` names a column, added only if there are hot keys, that is true for
+    ``pairs_per_task`` deals the join out to as many tasks as its pairs need, for joins that do much work per
+    byte and would be merged into few tasks by their size. ``wide`` names a column, added only if there are hot keys, that is true for
     left rows whose key is cut on the right; other rows have at most ``limit`` matches.
     """
-    hot = checkpointed(hot_keys(left, right, keys, limit, pair_limit))
+    counts = _key_counts(left, right, keys)
+    hot = checkpointed(_hot(counts, keys, limit, pair_limit))
     n_hot = hot.count()
     by = list(keys)
     if n_hot:
@@ -94,8 +103,10 @@ def salted_join(
             left = left.withColumn(wide, F.col("_beyond") > 1)
         left = left.drop("_beyond")
         by += ["_left_part", "_right_part"]
-    if partitions is not None:
-        left, right = left.repartition(partitions, *by), right.repartition(partitions, *by)
+    if pairs_per_task is not None:
+        pairs = counts.agg(F.sum(F.col("l").cast("double") * F.col("r"))).first()[0] or 0
+        tasks = max(1, math.ceil(pairs / pairs_per_task))
+        left, right = left.repartition(tasks, *by), right.repartition(tasks, *by)
     right = right.withColumnsRenamed({name: f"_r{name}" for name in by})
     on = condition
     for name in by:
