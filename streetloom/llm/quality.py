@@ -7,8 +7,8 @@ instead. No label of a bad text is used.
 
 The prior is estimated from both draws: for every region of low scores that positives hardly enter, the share of
 unlabelled texts outside, over the share of positives outside, bounds the prior from above; the smallest such
-bound, with a standard error added for the draw's size, is taken. First models with prior one half order the texts,
-each fitted on one half of the draws and read on the other.
+bound, with a standard error added for the draw's size, is taken. The texts are ordered by
+models fitted on one half of the draws and read on the other, first with prior one half, then with the estimate.
 
 Both draws are bounded: at most ``MAX_DRAW`` rows each, by the hash of the id. They become a few counts for
 each text on the executors, and only these reach the driver, where the small additive model is fitted: each measure
@@ -35,6 +35,7 @@ from streetloom.llm.common import column_schema, map_batches, texts_of
 MAX_DRAW = 30_000
 PIECES = 24
 STEPS = 400
+ROUNDS = 3  # of estimating the prior
 _SPAN = 1 << 30
 
 MEASURES = (
@@ -145,12 +146,16 @@ def fit(good: np.ndarray, web: np.ndarray) -> QualityModel:
     both = np.concatenate([np.quantile(good, inner[::2], axis=0), np.quantile(web, inner[1::2], axis=0), np.quantile(good, [0.995, 1.0], axis=0)])
     cuts = np.sort(both, axis=0).T
     start = QualityModel(cuts, np.zeros((len(cuts), cuts.shape[1] + 1)), 0.0, 0.5)
-    # texts are ordered by a model that has not seen them, or known positives would look better than unknown ones
-    bounds = []
-    for part in (0, 1):
-        ordering = _fit_weights(good[part::2], web[part::2], start, 0.5, STEPS // 2)
-        bounds.append(estimate_prior(ordering.score(good[1 - part :: 2]), ordering.score(web[1 - part :: 2])))
-    return _fit_weights(good, web, start, sum(bounds) / 2, STEPS)
+    # texts are ordered by models that have not seen them, or known positives would look better than unknown ones;
+    # a model fitted with a better prior orders the doubtful texts better
+    prior = 0.5
+    for _ in range(ROUNDS):
+        bounds = []
+        for part in (0, 1):
+            ordering = _fit_weights(good[part::2], web[part::2], start, prior, STEPS)
+            bounds.append(estimate_prior(ordering.score(good[1 - part :: 2]), ordering.score(web[1 - part :: 2])))
+        prior = sum(bounds) / 2
+    return _fit_weights(good, web, start, prior, STEPS)
 
 
 def _measured(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
