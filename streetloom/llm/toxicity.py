@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from streetloom.llm.common import column_schema, map_batches, texts_of
 
-MAX_DRAW = 5_000  # texts of each class
+MAX_DRAW = 4_000  # texts of each class
 SPACE = 1 << 18
 MIN_TEXTS = 4
 PREFIXES = (4, 6)
@@ -101,15 +101,19 @@ def fit(flat: np.ndarray, part_sizes: np.ndarray, text_parts: np.ndarray, toxic:
     sentences of each text; ``prevalence`` is the share of toxic texts where the draw was made."""
     if not len(toxic) or toxic.all() or not toxic.any():
         return ToxicityModel(np.zeros(SPACE), -40.0)
-    part_of = np.repeat(np.arange(len(part_sizes), dtype=np.int32), part_sizes)
     text_of_part = np.repeat(np.arange(len(text_parts), dtype=np.int32), text_parts)
     # texts that hold a place, by class
-    pairs = np.unique(text_of_part[part_of].astype(np.int64) * SPACE + flat)
-    in_texts = np.bincount(pairs % SPACE, minlength=SPACE)
-    in_toxic = np.bincount((pairs % SPACE)[toxic[pairs // SPACE]], minlength=SPACE)
+    in_texts, in_toxic = np.zeros(SPACE, np.int64), np.zeros(SPACE, np.int64)
+    ends = np.cumsum(part_sizes, dtype=np.int64)[np.cumsum(text_parts) - 1]
+    for start, end, is_toxic in zip([0, *ends[:-1].tolist()], ends.tolist(), toxic.tolist(), strict=True):
+        held = np.unique(flat[start:end])
+        in_texts[held] += 1
+        if is_toxic:
+            in_toxic[held] += 1
     known = _telling(in_toxic, in_texts - in_toxic, int(toxic.sum()), int((~toxic).sum()))
     use = known[flat]
-    flat, part_of = flat[use], part_of[use]
+    part_of = np.repeat(np.arange(len(part_sizes), dtype=np.int32), part_sizes)[use]
+    flat = flat[use]
     numbers = np.cumsum(known) - 1
     flat, size = numbers[flat].astype(np.int32), int(known.sum())
     theta = np.zeros(size + 1)
@@ -156,9 +160,10 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "
 
     rows = map_batches(marked, work, "toxic int, sizes binary, places binary").toPandas()
     sizes_of = [np.frombuffer(s, np.int32) for s in rows["sizes"]]
-    flat = np.frombuffer(b"".join(rows["places"]), np.int32)
+    truth = rows["toxic"].to_numpy() == 1
+    flat = np.frombuffer(b"".join(rows.pop("places")), np.int32)
     joined = np.concatenate(sizes_of) if sizes_of else np.empty(0, np.int32)
-    return fit(flat, joined, np.array([len(s) for s in sizes_of], np.int64), rows["toxic"].to_numpy() == 1, sizes.get(1, 0) / max(1, sum(sizes.values())))
+    return fit(flat, joined, np.array([len(s) for s in sizes_of], np.int64), truth, sizes.get(1, 0) / max(1, sum(sizes.values())))
 
 
 def score(docs: DataFrame, model: ToxicityModel, keys: Sequence[str] = ("doc_id",), text: str = "text", threshold: float = 0.3) -> DataFrame:
