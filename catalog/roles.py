@@ -166,7 +166,11 @@ ROLES: dict[str, tuple[str, str | None, dict[str, str]]] = {
         {
             "shop_id": "p_partkey",
             "name": "p_name",
-            "address": "p_brand || ' ' || p_type",
+            # some beyond 62 characters, where the similarity needs several words of bits
+            "address": (
+                "p_brand || ' ' || p_type || case when p_partkey % 40 = 0"
+                " then ' near the corner of the old market square and river road' else '' end"
+            ),
             "review_count": "p_size",
         },
     ),
