@@ -45,6 +45,7 @@ BANDS, ROWS = 24, 5
 BINS = BANDS * ROWS
 MIN_AGREE = 83
 BLOCK = 2048  # nodes of one side that are compared at once
+BLOCK_ELEMENTS = 4_000_000  # and elements of their sets, where these take part
 MAX_BROADCAST_KEYS = 1_000_000  # of rows looked up again by a broadcast join
 
 _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
@@ -200,11 +201,11 @@ def _pivot_pairs(buckets: DataFrame) -> DataFrame:
 def _cells(groups: DataFrame) -> DataFrame:
     """Cells of bounded size in which all nodes of a ``group`` with different ``label`` meet.
 
-    ``groups`` has group, node and label. The most frequent label of a group is its top: its nodes form blocks of their
+    ``groups`` has group, node, label and part, the share of a block that the node fills. The most frequent label of a group is its top: its nodes form blocks of their
     own, which meet the blocks of the others (kind t) but not each other; the others' blocks meet among
     themselves (kind o). Groups of one label have no cell.
     """
-    sizes = groups.groupBy("group", "label").agg(F.count("*").alias("n"))
+    sizes = groups.groupBy("group", "label").agg(F.sum("part").alias("n"))
     several = (
         sizes.groupBy("group")
         .agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
@@ -212,8 +213,8 @@ def _cells(groups: DataFrame) -> DataFrame:
         .select(
             "group",
             F.col("top")["label"].alias("top"),
-            F.ceil(F.col("top")["n"] / BLOCK).cast("int").alias("tops"),
-            F.ceil((F.col("all") - F.col("top")["n"]) / BLOCK).cast("int").alias("others"),
+            F.ceil(F.col("top")["n"]).cast("int").alias("tops"),
+            F.greatest(F.lit(1), F.ceil(F.col("all") - F.col("top")["n"] - 1e-6)).cast("int").alias("others"),
         )
     )
     placed = groups.join(several, "group").withColumn("is_top", F.col("label") == F.col("top"))
@@ -311,12 +312,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = connected_components(links)
     # families: what pairs that pass the sketch connect, in buckets that hold several components
     labelled = buckets.join(labels, "node", "left").select(F.col("bucket").alias("group"), "node", F.coalesce("label", "node").alias("label"))
+    labelled = labelled.withColumn("part", F.lit(1.0 / BLOCK))
     kin = checkpointed(_links_in_cells(_cells(labelled), nodes.select("node", "n", "sketch")))
     families = connected_components(links.unionByName(kin))
     # each family is settled on full sets
     heads = families.select(F.col("label").alias("node")).distinct()
     members = families.select("node", F.col("label").alias("group")).unionByName(heads.select("node", F.col("node").alias("group")))
-    members = members.join(labels, "node", "left").select("group", "node", F.coalesce("label", "node").alias("label"))
+    members = members.join(labels, "node", "left").join(nodes.select("node", "n"), "node")
+    part = F.greatest(F.lit(1.0 / BLOCK), F.col("n") / float(BLOCK_ELEMENTS))
+    members = members.select("group", "node", F.coalesce("label", "node").alias("label"), part.alias("part"))
     cells = checkpointed(_cells(members))
     full = _full_sets(cells.select("node").distinct(), nodes, docs, doc_id, text, size)
     rest = _links_in_cells(cells, nodes.select("node", "n", "sketch").join(full, "node"))

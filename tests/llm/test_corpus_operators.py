@@ -86,9 +86,10 @@ def test_classes_equal_brute_force(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == _near(rows)
 
 
-def test_classes_do_not_depend_on_blocks(spark, monkeypatch):
+@pytest.mark.parametrize(("name", "limit"), [("BLOCK", 7), ("BLOCK_ELEMENTS", 300)])
+def test_classes_do_not_depend_on_blocks(spark, monkeypatch, name, limit):
     rows = _edited_copies()
-    monkeypatch.setattr(neardup, "BLOCK", 7)
+    monkeypatch.setattr(neardup, name, limit)
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {i: c for i, (_, c) in _near(rows).items()}
 
