@@ -298,6 +298,55 @@ def test_table_form_of_the_taxonomy_agrees(spark):
 # ---- sentiment
 
 
+PHRASE_LEXICON = [
+    ("good", 2.0, "word"), ("bad", -2.0, "word"), ("no", -1.0, "word"), ("kind", 2.0, "word"), ("doubt", -1.5, "word"),
+    ("very", 0.3, "booster"), ("kind of", -0.3, "booster"), ("never", 0.0, "negation"), ("without", 0.0, "negation"),
+]
+
+
+@pytest.mark.parametrize(
+    ("text", "total"),
+    [
+        ("it is least good", 2 * -0.74),
+        ("least good", 2 * -0.74),
+        ("at least good", 2.0),
+        ("very least good", 2 + 0.3 * 0.95),
+        ("never so good", 2 * 1.25),
+        ("never x good", 2 * -0.74),
+        ("never x this good", 2 * 1.25),
+        ("never this x good", 2 * 1.25),
+        ("a b so good", 2 * 1.25),
+        ("b so good", 2.0),
+        ("without a good", 2 * -0.74),
+        ("without doubt good", -1.5 * -0.74 + 2.0),
+        ("no good", 0 + 2 * -0.74),
+        ("no x bad", -1 + -2 * -0.74),
+        ("no x or bad", -1 + -2 * -0.74),
+        ("no x y bad", -1 + -2),
+        ("no", -1.0),
+        ("x kind of good", 2.0 - 0.3),
+        ("kind of good", 2.0),
+        ("kind good", 4.0),
+        ("kind", 2.0),
+        ("", 0.0),
+    ],
+)
+def test_rules_of_several_words(spark, text, total):
+    lexicon = inline_table(spark, PHRASE_LEXICON, schemas.LEXICON)
+    df = spark.createDataFrame([("r", "b", text)], "review_id string, business_id string, text_clean string")
+    got = senti.lexicon_sentiment(df, lexicon).first().review_sentiment
+    assert got == pytest.approx(total / math.sqrt(total * total + 15), abs=5.1e-5)
+
+
+def test_texts_are_not_exchanged_for_their_sentiment(spark):
+    lexicon = inline_table(spark, PHRASE_LEXICON, schemas.LEXICON)
+    df = spark.createDataFrame([("r", None, "good text"), ("s", "b", None)], "review_id string, business_id string, text_clean string")
+    scored = senti.lexicon_sentiment(df, lexicon)
+    assert {tuple(r) for r in scored.collect()} == {("r", None, 0.4588), ("s", "b", 0.0)}
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange hash" in line and "text_clean" in line for line in plan.splitlines())
+
+
 def sentiment_of(spark, texts, contrast=("but",)):
     lexicon = inline_table(
         spark,
@@ -329,7 +378,8 @@ def test_sentiment_rules(spark):
         "very not good": 2 * -0.74 - 0.3 * 0.95,
         "good but bad": 1.0 - 3.0,
         "but good": 3.0,
-        "no good": -1.0 + 2.0,  # "no" is itself a word, so it does not negate
+        "no good": 2 * -0.74,  # before a word "no" turns it and is silent itself
+        "no": -1.0,
         "x y": 0.0,
         "": 0.0,
         "very": 0.0,
