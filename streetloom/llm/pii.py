@@ -21,7 +21,7 @@ carried, so other columns cannot clash.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -39,6 +39,7 @@ SCORE_STEPS = 100
 MASKED_WEIGHT = 0.25
 _HELD_PARTS = 5
 _CONTEXT = 24
+MAX_DOUBLINGS = 24  # of the reach of running sums: up to 16 million matches in a text
 
 # A run of name characters is entered at its start, or where the last match ended inside it, so long runs cost
 # linear time; possessive repeats never go back and need no stack.
@@ -66,22 +67,45 @@ FEATURES = (
 )
 
 
+_HIT = "struct<start:int,end:int,hit:string,before:string,after:string>"
+
+
+def _running_sums(values: Column) -> Column:
+    """Sums of each element and all before it, by adding at distances 1, 2, 4, ...: n log n steps, no growing array."""
+
+    def added(reach: int) -> Callable[[Column], Column]:
+        def shifted(v: Column) -> Column:
+            return F.transform(v, lambda x, i: x + F.coalesce(F.get(v, i - reach), F.lit(0)))
+
+        return lambda v: F.when(F.size(v) <= reach, v).otherwise(shifted(v))
+
+    for doubling in range(MAX_DOUBLINGS):
+        values = bind(values, added(1 << doubling))
+    return values
+
+
 def _found(text: Column, pattern: str) -> Column:
-    """(start, end, hit) of all matches, left to right."""
-    hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,hit:string>>").alias("spans"))
+    """(start, end, hit, characters before, character after) of all matches, left to right."""
 
-    def add(h: Column, p: Column):
-        def step(acc: Column, k: Column) -> Column:
-            begin = acc["at"] + F.length(F.get(p, k))
-            end = begin + F.length(F.get(h, k))
-            span = F.struct(begin.alias("start"), end.alias("end"), F.get(h, k).alias("hit"))
-            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def spans(h: Column, p: Column, starts: Column) -> Column:
+        def span(start: Column, k: Column) -> Column:
+            # neighbours come from the pieces between matches, as reaching into a long text costs its length
+            before = F.right(F.concat(F.coalesce(F.get(h, k - 1), F.lit("")), F.get(p, k)), F.lit(_CONTEXT))
+            after = F.left(F.concat(F.get(p, k + 1), F.coalesce(F.get(h, k + 1), F.lit(""))), F.lit(1))
+            hit = F.get(h, k)
+            return F.struct(
+                start.alias("start"), (start + F.length(hit)).alias("end"), hit.alias("hit"), before.alias("before"), after.alias("after")
+            )
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(h) - 1), start, step, lambda acc: acc["spans"])
+        return F.transform(starts, span)
 
-    empty = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    return bind(hits, lambda h: F.when(F.size(h) == 0, empty).otherwise(bind(pieces, lambda p: add(h, p))))
+    def placed(h: Column, p: Column) -> Column:
+        steps = F.transform(h, lambda hit, k: F.coalesce(F.length(F.get(h, k - 1)), F.lit(0)) + F.length(F.get(p, k)))
+        return bind(_running_sums(steps), lambda starts: spans(h, p, starts))
+
+    hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    empty = F.array().cast(f"array<{_HIT}>")
+    return bind(hits, lambda h: F.when(F.size(h) == 0, empty).otherwise(bind(pieces, lambda p: placed(h, p))))
 
 
 def _digits(hit: Column) -> Column:
@@ -112,7 +136,7 @@ def _valid(kind: str, hit: Column) -> Column:
     }[kind]
 
 
-_SPAN = "array<struct<kind:int,start:int,end:int,hit:string>>"
+_SPAN = "array<struct<kind:int,start:int,end:int,hit:string,before:string,after:string>>"
 
 
 def _spans(text: Column, patterns: dict[str, str], valid: bool) -> Column:
@@ -122,9 +146,8 @@ def _spans(text: Column, patterns: dict[str, str], valid: bool) -> Column:
         found = _found(text, patterns[kind])
         if valid:
             found = F.filter(found, lambda s: _valid(kind, s["hit"]))
-        typed = F.transform(
-            found, lambda s: F.struct(F.lit(number).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"))
-        )
+        fields = ("start", "end", "hit", "before", "after")
+        typed = F.transform(found, lambda s: F.struct(F.lit(number).alias("kind"), *[s[f].alias(f) for f in fields]))
         return F.when(text.rlike(_NEEDS[kind]), typed).otherwise(F.array().cast(_SPAN))
 
     return F.concat(*[of_kind(number, kind) for number, kind in enumerate(KINDS) if kind in patterns])
@@ -134,11 +157,9 @@ def base_spans(text: Column) -> Column:
     return _spans(F.coalesce(text, F.lit("")), _BASE, True)
 
 
-def _featured(text: Column, span: Column, base: Column) -> Column:
+def _featured(span: Column, confirmed: Column) -> Column:
     """Features of one candidate, and whether a base span of its kind has its place."""
-    hit, digits = span["hit"], _digits(span["hit"])
-    before = F.substring(text, F.greatest(span["start"] - _CONTEXT + 1, F.lit(1)), F.least(span["start"], F.lit(_CONTEXT)))
-    after = F.substring(text, span["end"] + 1, F.lit(1))
+    hit, digits, before, after = span["hit"], _digits(span["hit"]), span["before"], span["after"]
 
     def number(condition: Column) -> Column:
         return condition.cast("int")
@@ -159,30 +180,50 @@ def _featured(text: Column, span: Column, base: Column) -> Column:
         "after": F.when(after == "", 0).when(after.rlike("\\s"), 1).when(after.rlike("[A-Za-z]"), 2).otherwise(3),
         **{name: number(before.rlike(pattern)) for name, pattern in _WORDS.items()},
     }
-    # a wider match may leave out the plus sign that the strict one holds
-    same = F.exists(
-        base, lambda b: (b["kind"] == span["kind"]) & (b["end"] == span["end"]) & (F.abs(b["start"] - span["start"]) <= 4)
-    )
     return F.struct(
-        span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"), same.alias("confirmed"),
+        span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"), confirmed.alias("confirmed"),
         F.struct(*[values[name].cast("int").alias(name) for name in FEATURES]).alias("x"),
     )
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """All candidates of a text with their features; ``base`` are its base spans."""
-    whole = F.coalesce(text, F.lit(""))
-    wide = _spans(whole, _WIDE, False)
-    # strict spans are candidates as well: only they confirm kinds for which no wider form matches
-    both = F.array_distinct(F.concat(base, wide))
-    return F.transform(both, lambda s: _featured(whole, s, base))
+    """All candidates of a text with their features; ``base`` are its base spans.
+
+    Strict spans are candidates as well. A wider match with the kind and end of a strict one is confirmed by it, as it may
+    leave out no more than the plus sign; one with its start as well is the same candidate. Sorted by kind and end,
+    strict before wide, such spans are neighbours.
+    """
+    fields = ("kind", "end", "wide", "start", "hit", "before", "after")
+
+    def tagged(spans: Column, wide: int) -> Column:
+        return F.transform(spans, lambda s: F.struct(*[(F.lit(wide) if f == "wide" else s[f]).alias(f) for f in fields]))
+
+    def marked(ordered: Column) -> Column:
+        def one(s: Column, k: Column) -> Column:
+            ahead = [F.get(ordered, k - back) for back in (1, 2)]
+            strict = [(a["wide"] == 0) & (a["kind"] == s["kind"]) & (a["end"] == s["end"]) for a in ahead]
+            apart = [F.abs(a["start"] - s["start"]) for a in ahead]
+            equal = [F.coalesce(m & (d == 0), F.lit(False)) for m, d in zip(strict, apart)]
+            near = [F.coalesce(m & (d <= 4), F.lit(False)) for m, d in zip(strict, apart)]
+            wide = s["wide"] == 1
+            return F.struct(
+                s.alias("span"), (wide & (equal[0] | equal[1])).alias("again"), (~wide | near[0] | near[1]).alias("confirmed")
+            )
+
+        return F.transform(ordered, one)
+
+    wide = _spans(F.coalesce(text, F.lit("")), _WIDE, False)
+    ordered = F.sort_array(F.concat(tagged(base, 0), tagged(wide, 1)))
+    kept = F.filter(bind(ordered, marked), lambda m: ~m["again"])
+    return F.transform(kept, lambda m: _featured(m["span"], m["confirmed"]))
 
 
 def _prepared(docs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """keys, base spans, candidates and whether the row is held back from training."""
     held = F.pmod(F.xxhash64(*keys, F.col(text)), F.lit(_HELD_PARTS)) == 0
     found = docs.select(F.struct(*keys).alias("_keys"), F.col(text).alias("_text"), held.alias("held"), base_spans(F.col(text)).alias("base"))
-    return found.select("_keys", "held", "base", candidates(F.col("_text"), F.col("base")).alias("candidates"))
+    places = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    return found.select("_keys", "held", places.alias("base"), candidates(F.col("_text"), F.col("base")).alias("candidates"))
 
 
 # ---- trees -----------------------------------------------------------------------
@@ -268,7 +309,7 @@ def _with_added(base: Column, found: Column, trees: Trees) -> Column:
         return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
     scored = F.transform(
-        F.filter(found, lambda c: ~F.exists(base, lambda b: meets(b, c))),
+        F.filter(found, lambda c: ~c["confirmed"] & ~F.exists(base, lambda b: meets(b, c))),
         lambda c: F.struct(
             trees.score(c["x"]).alias("score"), (-c["start"]).alias("order"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")
         ),
