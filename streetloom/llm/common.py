@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -15,16 +16,21 @@ from pyspark.sql import functions as F
 import streetloom
 
 SPACE = "\x20\x09-\x0d"  # white space of every contract, inside a character class
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+ARROW_LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2_000, "spark.sql.execution.arrow.maxBytesPerBatch": 16 << 20}
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hand this package's sources to the executors, once for each application.
+    """Hand this package's sources to the executors, once for each application, and bound the Arrow batches that they
+    exchange with Python by rows and bytes, where the session allows more.
 
     The archive lies in the driver's own folder only until Spark's file server has taken it over; executors
     fetch it from the driver as they do with ``--py-files``.
     """
+    for name, most in ARROW_LIMITS.items():
+        if int(spark.conf.get(name).rstrip("b")) > most:
+            spark.conf.set(name, str(most))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -44,7 +50,7 @@ def ship(spark: SparkSession) -> None:
 class WordHashes(dict):
     """64-bit hashes of words; a Python worker remembers some of them."""
 
-    LIMIT = 500_000
+    LIMIT = 60_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -68,6 +74,14 @@ def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
+def hand_back() -> None:
+    """Return freed memory to the system at a task's end, as a Python worker that waits for work keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``work`` on every Arrow batch, cut to about ``SLICE_BYTES``; None for an answer adds no rows."""
     ship(df.sparkSession)
@@ -78,6 +92,7 @@ def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
                 made = work(part)
                 if made is not None:
                     yield made
+        hand_back()
 
     return df.mapInArrow(run, schema)
 

@@ -45,7 +45,7 @@ BANDS, ROWS = 24, 5
 BINS = BANDS * ROWS
 MIN_AGREE = 83
 BLOCK = 2048  # nodes of one side that are compared at once
-BLOCK_ELEMENTS = 4_000_000  # and elements of their sets, where these take part
+BLOCK_ELEMENTS = 1_000_000  # and elements of their sets, where these take part
 MAX_BROADCAST_KEYS = 1_000_000  # of rows looked up again by a broadcast join
 
 _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))

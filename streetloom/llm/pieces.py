@@ -36,8 +36,8 @@ from streetloom.llm.common import column_schema, map_batches
 
 MARK = "▁"  # stands for a space
 MAX_PIECES = 1_000_000  # of a vocabulary that may be broadcast
-CACHE_WORDS = 500_000  # encoded words a Python worker remembers
-CACHE_PAIRS = 1_000_000  # adjacent pairs it remembers
+CACHE_WORDS = 60_000  # encoded words of one generation; a Python worker remembers two
+CACHE_PAIRS = 100_000  # adjacent pairs it remembers
 LONG_WORD = 64  # longer words are not remembered
 
 
@@ -117,6 +117,7 @@ class Codec:
         for byte, at in enumerate(pieces.byte_ids):
             self.raw[at] = bytes([byte])
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.fits: dict[tuple[str, str], bool] = {}
         self.run_ids: dict[int, list[int]] = {}
 
@@ -261,10 +262,13 @@ class Codec:
         for word in self.cut.findall(MARK + text.replace(" ", MARK)):
             ids = words.get(word)
             if ids is None:
-                ids = self._word(word)
+                ids = self.older.get(word)
+                if ids is None:
+                    ids = self._word(word)
                 if len(word) <= LONG_WORD:
-                    if len(words) >= CACHE_WORDS:
-                        words.clear()
+                    if len(words) >= CACHE_WORDS:  # frequent words come back from the older generation
+                        self.older = words
+                        words = self.words = {}
                     words[word] = ids
             out.append(ids)
         return b"".join(out)

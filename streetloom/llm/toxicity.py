@@ -35,7 +35,7 @@ MIN_TEXTS = 4
 PREFIXES = (4, 6)
 EPOCHS = 40
 _SPAN = 1 << 30
-_WORD_CACHE = 300_000
+_WORD_CACHE = 100_000
 _END = re.compile(rb"[.!?\n]+")
 _LETTERS = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
 
