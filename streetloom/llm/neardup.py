@@ -337,5 +337,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """The rows whose id names their class; all columns are kept. Rows with a null id stay."""
     classes = near_duplicates(docs.select(doc_id, text), doc_id, text, size)
-    gone = classes.where("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct()
+    gone = checkpointed(classes.where("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct())
+    if gone.count() <= MAX_BROADCAST_KEYS:  # then no text is shuffled
+        gone = F.broadcast(gone)
     return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
