@@ -2,19 +2,23 @@
 
 Strict expressions with their checks give the base spans (``KINDS``). Wider expressions propose more candidates, some
 overlapping: numbers written like telephone or card numbers, and addresses with a spelt-out ``at`` and ``dot``.
-Every candidate gets features of its format and of the words around it. Gradient-boosted trees are fitted on all
-candidates of the table, labelled by whether the strict form confirms them; each confirmed one counts a second time,
-with less weight, with its decisive mark (plus sign, check digit) hidden, so that the trees learn the rest of its
-looks. Features are small whole numbers, so candidates are counted by distinct feature vector before training,
-whose work therefore does not grow with the rows. Trees become SQL expressions that score candidates inside their row:
-nothing is shuffled to apply them.
-
-Candidates of one part of the rows (by hash) stay out of the training; on them, the lowest score whose
-candidates are confirmed at a share of at least ``MIN_CONFIRMED`` is each kind's threshold. Accepted candidates that touch
-no base span are added, the best score first where they overlap each other; base spans always stay.
+Every candidate gets features of its format and of the words around it, without the marks that only repeat whether the
+strict form confirms it: the plus sign of telephone numbers, the signs and blanks of addresses, the separators of card
+numbers. Gradient-boosted trees are fitted on the candidates of the table, the confirmed against the others, both sides of a
+kind with equal weight, so a score states how much more frequent a look is among confirmed candidates than among
+the others, however many of the others are genuine. Features are small whole numbers, so candidates are counted by distinct
+feature vector before training, whose work therefore does not grow with the rows. Trees become SQL expressions that score
+candidates inside their row: nothing is shuffled to apply them.
+
+Candidates of one part of the rows (by hash) stay out of the training and calibrate each kind: the confirmed ones, marks
+hidden, are the positives; those that their place speaks against (``_against``) are the negatives, and genuine spans
+that the strict form misses are neither. Both are counted as rates by bands of the score. From the top, bands are accepted
+while positives make at least ``MIN_CONFIRMED`` of the two rates; the lowest accepted positive is the threshold, but not
+below ``LEAST_SCORE``. Accepted candidates that touch no base span are added, the best score first where they overlap each
+other; base spans always stay.
 
 Defined results: a null or empty text has no spans; positions are code points, end exclusive; equal starts are in the
-order of ``KINDS``; with no candidates, or only one class of them, nothing is added. Only key and text columns are
+order of ``KINDS``; of a kind without candidates, or with only one class of them, nothing is added. Only key and text columns are
 carried, so other columns cannot clash.
 """
 
@@ -36,7 +40,8 @@ KINDS = ("email", "ip", "card", "phone")
 MIN_CONFIRMED = 0.98
 TREES, DEPTH = 12, 3
 SCORE_STEPS = 100
-MASKED_WEIGHT = 0.25
+BAND = 5  # steps
+LEAST_SCORE = 0.25  # looks over three times as frequent among the others as among the confirmed are not accepted
 _HELD_PARTS = 5
 _CONTEXT = 24
 MAX_DOUBLINGS = 24  # of the reach of running sums: up to 16 million matches in a text
@@ -62,9 +67,10 @@ _WORDS = {
     "near_mail": "(?i)(?:mail|contact|write|kontakt)[a-z]*[^a-z]*$",
     "near_count": "(?i)(?:date|year|isbn|order|page|version|chapter|number)[a-z]*[^a-z]*$",
 }
-FEATURES = (
-    "kind", "digits", "breaks", "groups", "longest", "parens", "dots", "plus", "check", "at", "before", "after", *_WORDS,
-)
+_OWN = {"phone": "near_phone", "card": "near_card", "email": "near_mail"}
+FEATURES = ("kind", "digits", "breaks", "groups", "longest", "parens", "dots", "check", "stop", "before", "after", *_WORDS)
+#: Features that tell the strict writing of a kind from others; a candidate is judged without them.
+_MARKS = {"email": ("breaks", "parens", "dots"), "card": ("breaks", "groups", "longest", "parens", "dots")}
 
 
 _HIT = "struct<start:int,end:int,hit:string,before:string,after:string>"
@@ -157,8 +163,32 @@ def base_spans(text: Column) -> Column:
     return _spans(F.coalesce(text, F.lit("")), _BASE, True)
 
 
-def _featured(span: Column, confirmed: Column) -> Column:
-    """Features of one candidate, and whether a base span of its kind has its place."""
+def _meets(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def _against(span: Column, base: Column, digits: Column) -> Column:
+    """Whether a candidate's place speaks against its kind: words of other kinds or of counts and none of its own before it,
+    a base span of another kind at its place, a card's wrong check digit, a full stop inside an address."""
+    kind, before = span["kind"], span["before"]
+    out = F.exists(base, lambda b: (b["kind"] != kind) & _meets(b, span))
+    for name, own in _OWN.items():
+        if name == "email":
+            found = span["hit"].rlike("\\.\\x20")
+        else:
+            found = F.lit(False)
+            for other in ("near_phone", "near_card", "near_count"):
+                if other != own:
+                    found = found | before.rlike(_WORDS[other])
+        found = found & ~before.rlike(_WORDS[own].replace("[a-z]*[^a-z]*$", ""))
+        if name == "card":
+            found = found | ~F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(F.lit(False))
+        out = out | ((kind == KINDS.index(name)) & found)
+    return out
+
+
+def _featured(span: Column, confirmed: Column, base: Column) -> Column:
+    """Features of one candidate, whether a base span of its kind has its place, and whether its place speaks against it."""
     hit, digits, before, after = span["hit"], _digits(span["hit"]), span["before"], span["after"]
 
     def number(condition: Column) -> Column:
@@ -173,15 +203,18 @@ def _featured(span: Column, confirmed: Column) -> Column:
         "longest": F.least(F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0)), F.lit(20)),
         "parens": number(hit.contains("(")),
         "dots": F.least(F.regexp_count(hit, F.lit("\\.")), F.lit(5)),
-        "plus": number(hit.startswith("+") | before.endswith("+")),
         "check": number(F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(F.lit(False))),
-        "at": number(hit.contains("@")),
+        "stop": number(hit.rlike("\\.\\x20")),
         "before": F.when(before == "", 0).when(before.rlike("\\s$"), 1).when(before.rlike("[A-Za-z]$"), 2).otherwise(3),
         "after": F.when(after == "", 0).when(after.rlike("\\s"), 1).when(after.rlike("[A-Za-z]"), 2).otherwise(3),
         **{name: number(before.rlike(pattern)) for name, pattern in _WORDS.items()},
     }
+    for kind, marks in _MARKS.items():
+        for name in marks:
+            values[name] = F.when(span["kind"] == KINDS.index(kind), 0).otherwise(values[name])
     return F.struct(
         span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"), confirmed.alias("confirmed"),
+        (~confirmed & _against(span, base, digits)).alias("against"),
         F.struct(*[values[name].cast("int").alias(name) for name in FEATURES]).alias("x"),
     )
 
@@ -191,7 +224,7 @@ def candidates(text: Column, base: Column) -> Column:
 
     Strict spans are candidates as well. A wider match with the kind and end of a strict one is confirmed by it, as it may
     leave out no more than the plus sign; one with its start as well is the same candidate. Sorted by kind and end,
-    strict before wide, such spans are neighbours.
+    strict before wide, such spans are neighbours. Others that touch a strict span of their kind are left out.
     """
     fields = ("kind", "end", "wide", "start", "hit", "before", "after")
 
@@ -214,8 +247,11 @@ def candidates(text: Column, base: Column) -> Column:
 
     wide = _spans(F.coalesce(text, F.lit("")), _WIDE, False)
     ordered = F.sort_array(F.concat(tagged(base, 0), tagged(wide, 1)))
-    kept = F.filter(bind(ordered, marked), lambda m: ~m["again"])
-    return F.transform(kept, lambda m: _featured(m["span"], m["confirmed"]))
+    def touches(s: Column) -> Column:
+        return F.exists(base, lambda b: (b["kind"] == s["kind"]) & _meets(b, s))
+
+    kept = F.filter(bind(ordered, marked), lambda m: ~m["again"] & (m["confirmed"] | ~touches(m["span"])))
+    return F.transform(kept, lambda m: _featured(m["span"], m["confirmed"], base))
 
 
 def _prepared(docs: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
@@ -267,14 +303,14 @@ def _tree(lines: list[str]):
 
 def train(prepared: DataFrame) -> Trees:
     """Trees and thresholds from all candidates, counted by distinct feature vector."""
-    each = prepared.select("held", F.explode("candidates").alias("c")).select("held", F.col("c")["x"].alias("x"), F.col("c")["confirmed"].alias("confirmed"))
-    counted = checkpointed(each.groupBy("held", "x", "confirmed").agg(F.count("*").alias("n")))
-    learn = counted.where("not held").select("x.*", F.col("confirmed").cast("double").alias("label"), F.col("n").cast("double").alias("weight"))
-    masked = learn.where("label = 1").withColumns(
-        {"plus": F.lit(0), "check": F.lit(0), "weight": F.col("weight") * MASKED_WEIGHT}
-    )
-    learn = learn.unionByName(masked).groupBy(*FEATURES, "label").agg(F.sum("weight").alias("weight"))
-    if learn.select("label").distinct().count() < 2:
+    each = prepared.select("held", F.explode("candidates").alias("c")).select("held", *[F.col("c")[n].alias(n) for n in ("x", "confirmed", "against")])
+    counted = checkpointed(each.groupBy("held", "x", "confirmed", "against").agg(F.count("*").alias("n")))
+    learn = counted.where("not held").groupBy(*[F.col("x")[f].alias(f) for f in FEATURES], F.col("confirmed").cast("double").alias("label")).agg(F.sum("n").cast("double").alias("n"))
+    sides = learn.groupBy("kind").agg(*[F.sum(F.when(F.col("label") == side, F.col("n"))).alias(f"n{side}") for side in (0, 1)])
+    sides = sides.where("n0 > 0 and n1 > 0")
+    share = F.col("n") * (F.col("n0") + F.col("n1")) / 2 / F.when(F.col("label") == 1, F.col("n1")).otherwise(F.col("n0"))
+    learn = learn.join(F.broadcast(sides), "kind").select(*FEATURES, "label", share.alias("weight"))  # a row for each kind
+    if learn.isEmpty():
         return Trees((), (), {})
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(learn)
     model = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(rows)
@@ -284,38 +320,38 @@ def train(prepared: DataFrame) -> Trees:
         trees.append(_tree(lines))
     found = Trees(tuple(trees), tuple(map(float, model.treeWeights)), {})
     scored = counted.where("held").select(
-        F.col("x")["kind"].alias("kind"), F.floor(found.score(F.col("x")) * SCORE_STEPS).alias("step"), "confirmed", "n"
+        F.col("x")["kind"].alias("kind"), F.floor(found.score(F.col("x")) * SCORE_STEPS).alias("step"), "confirmed", "against", "n"
     )
-    table = scored.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("confirmed"), F.col("n")).otherwise(0)).alias("good"))
+    sums = [F.sum(F.when(F.col(flag), F.col("n")).otherwise(0)).alias(name) for flag, name in (("confirmed", "good"), ("against", "bad"))]
+    table = scored.groupBy("kind", "step").agg(*sums)
     return Trees(found.trees, found.weights, _thresholds(table.collect()))  # at most kinds x (SCORE_STEPS + 1) rows
 
 
 def _thresholds(rows: list) -> dict[int, float]:
-    """Lowest score of each kind above which enough candidates are confirmed."""
+    """Lowest score of positives of each kind in the bands from the top down in which positives prevail."""
     limits = {}
     for kind in range(len(KINDS)):
-        n = good = 0
-        for row in sorted((r for r in rows if r["kind"] == kind), key=lambda r: -r["step"]):
-            n, good = n + row["n"], good + row["good"]
-            if good >= MIN_CONFIRMED * n:
-                limits[kind] = row["step"] / SCORE_STEPS
+        own = [r for r in rows if r["kind"] == kind and r["step"] >= LEAST_SCORE * SCORE_STEPS]
+        goods, bads = (max(1, sum(r[side] for r in rows if r["kind"] == kind)) for side in ("good", "bad"))
+        for band in sorted({r["step"] // BAND for r in own if r["good"] + r["bad"]}, reverse=True):
+            here = [r for r in own if r["step"] // BAND == band]
+            good, bad = sum(r["good"] for r in here) / goods, sum(r["bad"] for r in here) / bads
+            if not good or good < MIN_CONFIRMED * (good + bad):
+                break
+            limits[kind] = min(r["step"] for r in here if r["good"]) / SCORE_STEPS
     return limits
 
 
 def _with_added(base: Column, found: Column, trees: Trees) -> Column:
     """Base spans and the accepted candidates that touch none of them, by start and kind."""
-
-    def meets(a: Column, b: Column) -> Column:
-        return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
     scored = F.transform(
-        F.filter(found, lambda c: ~c["confirmed"] & ~F.exists(base, lambda b: meets(b, c))),
+        F.filter(found, lambda c: ~c["confirmed"] & ~F.exists(base, lambda b: _meets(b, c))),
         lambda c: F.struct(
             trees.score(c["x"]).alias("score"), (-c["start"]).alias("order"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")
         ),
     )
     passed = F.filter(scored, lambda c: F.coalesce(c["score"] >= trees.limit(c["kind"]), F.lit(False)))
-    best = bind(passed, lambda all_: F.filter(all_, lambda c: ~F.exists(all_, lambda o: meets(o, c) & (o > c))))
+    best = bind(passed, lambda all_: F.filter(all_, lambda c: ~F.exists(all_, lambda o: _meets(o, c) & (o > c))))
     plain = [F.transform(side, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("number"), s["end"].alias("end"))) for side in (base, best)]
     names = F.array(*map(F.lit, KINDS))
     return F.transform(
