@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetloom.llm import components, eliasfano, lm, neardup, warc
+from streetloom.llm.queries import QUERIES
 from streetloom.session import scratch_path
 
 
@@ -191,6 +192,23 @@ def test_scores_equal_a_plain_model(sample, order):
         assert abs(row["score"] - want) <= 0.05 * len(tokens)  # one byte for each probability
 
 
+def test_registered_scores_use_contexts_of_two_words(spark, tmp_path):
+    texts = {k: "a b c" if k % 2 else "d b e" for k in range(40)}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op3_lm"](spark, str(tmp_path)).collect()
+    counts = _grams([texts[r["doc_id"]] for r in rows if not r["held_out"]], 3)
+    total, words = sum(counts[1].values()), len(counts[1])
+    followers = collections.defaultdict(lambda: (0, 0))
+    for k in (2, 3):
+        for gram, n in counts[k].items():
+            mass, kinds = followers[gram[:-1]]
+            followers[gram[:-1]] = (mass + n, kinds + 1)
+    for row in rows:
+        padded = [b"\n", *texts[row["doc_id"]].encode().split(), b"\n"]
+        want = sum(math.log10(_chance(tuple(padded[max(0, at - 2) : at + 1]), counts, followers, total, words)) for at in range(1, len(padded)))
+        assert row["score"] == pytest.approx(want, abs=0.02)
+
+
 def test_pointers_count_followers(spark):
     texts = spark.createDataFrame([(1, "a b a c a b"), (2, "b a")], "doc_id long, text string")
     model = lm.train(texts)
