@@ -30,8 +30,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of similar documents the one with the smallest id stays."""
-    return keep_one_of_each(docs)
+    """Of each class of similar documents (runs of five words, 80 %) the one with the smallest id stays."""
+    return keep_one_of_each(docs, size=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

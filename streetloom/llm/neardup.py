@@ -6,12 +6,12 @@
    ``BINS`` on all elements fall into one given bin each, so at most 2 * BINS rounds are needed. Coordinates of two
    sketches agree with probability equal to the similarity, and sums of them keep Chernoff bounds.
 2. Texts with equal sets become one node; everything below works on nodes.
-3. ``BANDS`` bands of ``ROWS`` coordinates each give buckets. Two sets at similarity 0.85 miss each other with
-   probability below 1e-6, at 0.9 below 1e-9.
+3. Bands of some coordinates each give buckets; the asked similarity decides how many (``Terms``). Two sets at that
+   similarity miss each other with probability below ``BAND_ODDS``; at 0.85 and 24 bands of 5, sets at 0.9 below 1e-9.
 4. First each node is compared with one pivot, the bucket's smallest node that agrees with it best; pairs similar by
    their full sets are links, and join nodes to components.
-5. In buckets that hold several components, pairs across components are compared by sketch (``MIN_AGREE`` coordinates;
-   a pair at the threshold fails it with probability below 1e-5). They connect components to families of
+5. In buckets that hold several components, pairs across components are compared by sketch (``Terms.agree`` coordinates;
+   a pair at the threshold fails it with probability below ``AGREE_ODDS``). They connect components to families of
    texts that may belong together. In each family all pairs across components that pass the sketch are decided on their
    full sets. Both steps work in cells of bounded size; the largest component of a group is not compared with
    itself, and a pair whose nodes have been joined in the cell needs no look, so a cell gives fewer links than it has
@@ -29,6 +29,8 @@ columns are used, so other columns cannot clash.
 from __future__ import annotations
 
 import hashlib
+import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +43,8 @@ from streetloom.session import checkpointed
 
 SHINGLE = 3
 PERCENT = 85  # of intersection to union
-BANDS, ROWS = 24, 5
-BINS = BANDS * ROWS
-MIN_AGREE = 83
+BINS = 120
+BAND_ODDS, AGREE_ODDS = 1e-6, 5e-6  # that a pair at the threshold shares no band, or fails the sketch
 BLOCK = 2048  # nodes of one side that are compared at once
 BLOCK_ELEMENTS = 1_000_000  # and elements of their sets, where these take part
 MAX_BROADCAST_KEYS = 1_000_000  # of rows looked up again by a broadcast join
@@ -52,6 +53,41 @@ _M1, _M2, _M3 = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F,
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
 
+@dataclass(frozen=True)
+class Terms:
+    """Words of a shingle and per cent of intersection to union that make texts similar, and what follows for sketches.
+
+    Below 11 per cent even bands of one coordinate miss a pair at the threshold more often than ``BAND_ODDS``.
+    """
+
+    size: int = SHINGLE
+    percent: int = PERCENT
+
+    def __post_init__(self) -> None:
+        if self.size < 1 or not 11 <= self.percent <= 100:
+            raise ValueError("size must be at least 1 and percent from 11 to 100")
+
+    @property
+    def rows(self) -> int:
+        """Most coordinates of a band that keep the odds."""
+        alike = self.percent / 100
+        return max(r for r in range(1, 7) if r == 1 or (1 - alike**r) ** (BINS // r) <= BAND_ODDS)
+
+    @property
+    def bands(self) -> int:
+        return BINS // self.rows
+
+    @property
+    def agree(self) -> int:
+        """Most coordinates that a pair at the threshold fails to reach with no more than the odds."""
+        alike, below = self.percent / 100, 0.0
+        for k in range(BINS):
+            below += math.comb(BINS, k) * alike**k * (1 - alike) ** (BINS - k)
+            if below > AGREE_ODDS:
+                return k
+        return BINS
+
+
 def _mixed(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> _S32)) * _M1
     values = (values ^ (values >> _S29)) * _M2
@@ -122,27 +158,28 @@ def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     return map_batches(read, work, f"doc_id {kind}, row bigint, n_shingles bigint, node binary, sketch binary")
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
+def _buckets(nodes: DataFrame, terms: Terms) -> DataFrame:
     """One row for each node and band."""
-    width = 2 * ROWS
-    bands = [F.xxhash64(F.lit(b), F.substring("sketch", b * width + 1, width)) for b in range(BANDS)]
+    width = 2 * terms.rows
+    bands = [F.xxhash64(F.lit(b), F.substring("sketch", b * width + 1, width)) for b in range(terms.bands)]
     return nodes.select("node", F.explode(F.array(*bands)).alias("bucket"))
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _agreeing(pairs: DataFrame, nodes: DataFrame, terms: Terms) -> DataFrame:
     """Pairs (a, b) with sketch agreement and size ratio good enough, and the count of agreeing coordinates."""
     for side in ("a", "b"):
         right = nodes.select(F.col("node").alias(side), F.col("sketch").alias(f"s{side}"), F.col("n").alias(f"n{side}"))
         pairs = pairs.join(right, side)
+    least = terms.agree
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         first, second = (_matrix(batch.column(c).to_pylist()) for c in ("sa", "sb"))
         agree = (first == second).sum(axis=1)
-        keep = pa.array(agree >= MIN_AGREE)
+        keep = pa.array(agree >= least)
         out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agree, pa.int32())], ["a", "b", "agree"])
         return out.filter(keep)
 
-    close = (100 * F.least("na", "nb")) >= (PERCENT * F.greatest("na", "nb"))
+    close = (100 * F.least("na", "nb")) >= (terms.percent * F.greatest("na", "nb"))
     return map_batches(pairs.where(close).select("a", "b", "sa", "sb"), work, "a binary, b binary, agree int")
 
 
@@ -167,15 +204,16 @@ def _full_sets(asked: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
     return checkpointed(full.groupBy("node").agg(F.first("elements").alias("elements")))
 
 
-def _similar(shared: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return 100 * shared >= PERCENT * (first + second - shared)
+def _similar(shared: np.ndarray, first: np.ndarray, second: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * shared >= percent * (first + second - shared)
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, terms: Terms) -> DataFrame:
     """Pairs (a, b), at most one for each a, whose full sets are similar enough."""
     pairs = checkpointed(pairs)
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    full = _full_sets(asked, nodes, docs, doc_id, text, size)
+    full = _full_sets(asked, nodes, docs, doc_id, text, terms.size)
+    percent = terms.percent
     sided = pairs
     for side in ("a", "b"):
         sided = sided.join(full.select(F.col("node").alias(side), F.col("elements").alias(f"e{side}")), side)
@@ -185,7 +223,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
         for left, right in zip(batch.column("ea").to_pylist(), batch.column("eb").to_pylist(), strict=True):
             first, second = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
             shared = len(np.intersect1d(first, second, assume_unique=True))
-            keep.append(bool(_similar(shared, len(first), len(second))))
+            keep.append(bool(_similar(shared, len(first), len(second), percent)))
         return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return checkpointed(map_batches(sided.select("a", "b", "ea", "eb"), check, "a binary, b binary"))
@@ -235,13 +273,14 @@ def _cells(groups: DataFrame) -> DataFrame:
     )
 
 
-def _links_in_cells(cells: DataFrame, nodes: DataFrame) -> DataFrame:
+def _links_in_cells(cells: DataFrame, nodes: DataFrame, terms: Terms) -> DataFrame:
     """Links (a, b) that join the labels of each cell as far as its similar pairs do, and no more than that.
 
     Nodes have a sketch and, if a pair's sets are to decide and not its sketches, their elements. A pair is looked
     at only while its nodes are not yet joined, so a cell gives fewer links than it has labels.
     """
     exact = "elements" in nodes.columns
+    percent, least = terms.percent, terms.agree
     fields = ["label", "is_top", "node", "n", "sketch", *(["elements"] if exact else [])]
     met = (
         cells.join(nodes, "node")
@@ -255,7 +294,7 @@ def _links_in_cells(cells: DataFrame, nodes: DataFrame) -> DataFrame:
         left: list[bytes] = []
         right: list[bytes] = []
         for kind, members in zip(batch.column("kind").to_pylist(), batch.column("members"), strict=True):
-            for a, b in _joins(kind == "t", members.values, exact):
+            for a, b in _joins(kind == "t", members.values, exact, percent, least):
                 left.append(a)
                 right.append(b)
         return pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
@@ -263,7 +302,7 @@ def _links_in_cells(cells: DataFrame, nodes: DataFrame) -> DataFrame:
     return map_batches(met, work, "a binary, b binary")
 
 
-def _joins(across: bool, members: pa.StructArray, exact: bool) -> list[tuple[bytes, bytes]]:
+def _joins(across: bool, members: pa.StructArray, exact: bool, percent: int, least: int) -> list[tuple[bytes, bytes]]:
     """Links of one cell; ``across``: only between top and other nodes."""
     ids, sizes = members.field("node").to_pylist(), members.field("n").to_numpy(zero_copy_only=False)
     top = members.field("is_top").to_numpy(zero_copy_only=False).astype(bool)
@@ -278,16 +317,16 @@ def _joins(across: bool, members: pa.StructArray, exact: bool) -> list[tuple[byt
     for i in range(len(ids) - 1) if not across else np.flatnonzero(~top).tolist():
         # across, each other node meets all tops; else all later nodes
         others = top if across else np.arange(len(ids)) > i
-        may = others & (joined != joined[i]) & (100 * np.minimum(sizes, sizes[i]) >= PERCENT * np.maximum(sizes, sizes[i]))
+        may = others & (joined != joined[i]) & (100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i]))
         places = np.flatnonzero(may)
         if len(places):
-            places = places[(rows[places] == rows[i]).sum(axis=1) >= MIN_AGREE]
+            places = places[(rows[places] == rows[i]).sum(axis=1) >= least]
         if len(places) and exact:
             mark[sets[i]] = True
             starts = np.concatenate(([0], np.cumsum(sizes[places])[:-1]))
             shared = np.add.reduceat(mark[np.concatenate([sets[p] for p in places.tolist()])], starts, dtype=np.int64)
             mark[sets[i]] = False
-            places = places[_similar(shared, sizes[i], sizes[places])]
+            places = places[_similar(shared, sizes[i], sizes[places], percent)]
         for p in places.tolist():
             if joined[p] != joined[i]:
                 joined[joined == joined[p]] = joined[i]
@@ -295,25 +334,26 @@ def _joins(across: bool, members: pa.StructArray, exact: bool) -> list[tuple[byt
     return links
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id of the row's class, for every row."""
+    terms = Terms(size, percent)
     described = checkpointed(_described(docs, doc_id, text, size))
     nodes = checkpointed(
         described.where("node is not null")
         .groupBy("node")
         .agg(F.min("doc_id").alias("doc_id"), F.min("row").alias("row"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     )
-    buckets = _buckets(nodes)
+    buckets = _buckets(nodes, terms)
     several = buckets.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1").select("bucket")
     buckets = checkpointed(buckets.join(several, "bucket", "left_semi"))
-    close = _agreeing(_pivot_pairs(buckets), nodes)
+    close = _agreeing(_pivot_pairs(buckets), nodes, terms)
     best = close.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", F.col("best")["b"].alias("b"))
-    links = _confirmed(best, nodes, docs, doc_id, text, size)
+    links = _confirmed(best, nodes, docs, doc_id, text, terms)
     labels = connected_components(links)
     # families: what pairs that pass the sketch connect, in buckets that hold several components
     labelled = buckets.join(labels, "node", "left").select(F.col("bucket").alias("group"), "node", F.coalesce("label", "node").alias("label"))
     labelled = labelled.withColumn("part", F.lit(1.0 / BLOCK))
-    kin = checkpointed(_links_in_cells(_cells(labelled), nodes.select("node", "n", "sketch")))
+    kin = checkpointed(_links_in_cells(_cells(labelled), nodes.select("node", "n", "sketch"), terms))
     families = connected_components(links.unionByName(kin))
     # each family is settled on full sets
     heads = families.select(F.col("label").alias("node")).distinct()
@@ -323,7 +363,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = members.select("group", "node", F.coalesce("label", "node").alias("label"), part.alias("part"))
     cells = checkpointed(_cells(members))
     full = _full_sets(cells.select("node").distinct(), nodes, docs, doc_id, text, size)
-    rest = _links_in_cells(cells, nodes.select("node", "n", "sketch").join(full, "node"))
+    rest = _links_in_cells(cells, nodes.select("node", "n", "sketch").join(full, "node"), terms)
     labels = connected_components(links.unionByName(rest))
     classed = nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
     named = classed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -334,9 +374,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
-def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The rows whose id names their class; all columns are kept. Rows with a null id stay."""
-    classes = near_duplicates(docs.select(doc_id, text), doc_id, text, size)
+    classes = near_duplicates(docs.select(doc_id, text), doc_id, text, size, percent)
     gone = checkpointed(classes.where("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct())
     if gone.count() <= MAX_BROADCAST_KEYS:  # then no text is shuffled
         gone = F.broadcast(gone)

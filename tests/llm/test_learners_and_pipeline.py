@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from compare import compare, connect
-from streetloom.llm import decontaminate, quality, toxicity
+from streetloom.llm import decontaminate, neardup, quality, toxicity
 from streetloom.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -118,3 +118,20 @@ def test_pipeline_stages(spark, tmp_path):
     assert docs.columns == ["doc_id", "n_tokens", "ids", "text"]
     assert docs.where("n_tokens <> size(ids)").count() == 0
     assert sorted(map(str, corpus_pipeline.run(spark, SF_DIR).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_pipeline_drops_copies_by_five_words_and_80_percent(spark):
+    def words(head, n):
+        return [f"{head}{k}" for k in range(n)]
+
+    longer, edited = words("a", 200), words("b", 200)
+    for k in (20, 60, 100, 140, 180):
+        edited[k] = f"new{k}"
+    texts = [words("a", 200), longer + words("more", 44), words("b", 200), edited]  # 196 / 240 and 171 / 221 shared
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3]
+
+
+def test_bands_and_agreement_follow_the_asked_similarity():
+    assert [(t.bands, t.rows, t.agree) for t in (neardup.Terms(3, 85), neardup.Terms(5, 80))] == [(24, 5, 83), (30, 4, 75)]
