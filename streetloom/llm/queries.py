@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streetloom.llm import decontaminate, lm, neardup, pieces, pii, quality, rules, secrets, toxicity, warc
+from streetloom.llm import decontaminate, lm, neardup, nra, pieces, pii, quality, resampling, rules, secrets, topk, toxicity, warc
 from streetloom.llm.common import documents, held_out, hex_sha256, joined_spans
 from streetloom.session import checkpointed, scratch_path
 
@@ -130,3 +130,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_sha256(items).alias("items_sha256"),
         (F.size("hits") > 0).alias("contaminated"),
     )
+
+
+@register
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@register
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = topk.write_index(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), scratch_path(spark, "vectors"))
+    return topk.search(index, topk.stored_vectors(index, 50), 5).select("query_id", "rank", "vec_id", "score")
+
+
+@register
+def op13_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return nra.rank_documents(documents(spark, sf_dir), benchmark, 10).select("item_id", "rank", "doc_id", "score")
