@@ -1,6 +1,9 @@
 """Readers, writers and cleaning chains on small inputs."""
 
+import random
+
 import pytest
+from pyspark.sql import types as T
 
 from streetloom import schemas
 from streetloom.dimensions import inline_table
@@ -67,6 +70,70 @@ def test_odd_records_do_not_take_their_neighbours_along(spark, tmp_path, multi_l
     assert {r.file.rsplit("/", 1)[-1] for r in rejected} == {"mixed.csv"}
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Every file is cut into splits of 70 bytes."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "70b")
+    yield
+    spark.conf.set(name, before)
+
+
+def _csv_folder(folder, seed, closed=True):
+    rng = random.Random(seed)
+    words = ["", "a", "b c", 'say ""x""', "one\ntwo", "\n\n", "x" * 90, "é", ",,", "end\n", '""']
+    rows = []
+    for number in range(4):
+        lines = ["key,first,second"]
+        for _ in range(rng.choice([0, 1, 40, 120])):
+            key = f"{number}-{len(lines)}"
+            fields = [rng.choice(words) for _ in range(2)]
+            lines.append(",".join([key, *(f'"{f}"' for f in fields)]))
+            rows.append((key, *(f.replace('""', '"') or None for f in fields)))
+        lines += ["", "  "]
+        (folder / f"part{number}.csv").write_text("\n".join(lines) + "\n")
+    return sorted(rows)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quoted_line_breaks_across_splits(spark, tmp_path, small_splits, seed):
+    want = _csv_folder(tmp_path, seed)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("key", "first", "second")])
+    got = read_csv(spark, str(tmp_path), schema)
+    empty = lambda row: tuple(v or None for v in row)
+    assert sorted(map(empty, got.collect())) == want
+    if want:
+        assert got.rdd.getNumPartitions() > 4
+        assert "multiLine" not in got._jdf.queryExecution().toString()
+    whole = spark.read.schema(schema).options(header=True, multiLine=True, escape='"').csv(str(tmp_path))
+    assert want == sorted(map(empty, whole.where("trim(key) <> ''").collect()))
+
+
+def test_one_record_over_many_splits_and_an_unclosed_quote(spark, tmp_path, small_splits):
+    body = "\n".join(f"line {k}" for k in range(200))
+    (tmp_path / "a.csv").write_text(f'k,v\n1,"{body}"\n2,x\n')
+    (tmp_path / "b.csv").write_text('k,v\n3,y\n4,"never\nclosed')
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    got = {r.k: r.v for r in read_csv(spark, str(tmp_path), schema).collect()}
+    assert got == {1: body, 2: "x", 3: "y", 4: "never\nclosed"}
+
+
+def test_a_header_with_other_names_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,other\n1,2\n")
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path), schema).collect()
+    assert read_csv(spark, str(tmp_path), schema, header=False).count() == 2
+
+
+def test_positional_rows_come_from_one_scan(spark, tmp_path):
+    width = len(schemas.REQUESTS_RAW)
+    (tmp_path / "a.csv").write_text(",".join(["h"] * width) + "\n" + ",".join(["1"] * width) + "\n")
+    plan = read_csv_positional(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1
+
+
 def test_radius_runs_do_not_replace_each_other(spark):
     path = scratch_path(spark, "radius")
     write_by_radius(spark.range(3), path, 100)
