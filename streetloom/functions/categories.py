@@ -25,13 +25,33 @@ def normalize_category(col: Column) -> Column:
     return F.regexp_replace(kept, f"[{BLANK}]+", " ")
 
 
+def _branches(words: Sequence[str], whole: bool) -> str:
+    """Pattern of the words as a tree of their beginnings, so that a name is walked once for all of them.
+
+    Where a word ends, longer ones with that beginning matter only if words must be ``whole``.
+    """
+    by_first: dict[str, list[str]] = {}
+    for word in dict.fromkeys(words):
+        by_first.setdefault(word[:1], []).append(word[1:])
+    ends = by_first.pop("", None) is not None
+    if ends and not whole or not by_first:
+        return ""
+    parts = [re.escape(first) + _branches(rests, whole) for first, rests in sorted(by_first.items())]
+    if len(parts) == 1 and not ends:
+        return parts[0]
+    return f"(?:{'|'.join(parts)})" + ("?" if ends else "")
+
+
 def keyword_pattern(keywords: Sequence[str], match: str = "substring") -> str:
-    """Regular expression that finds any keyword, anywhere or only as whole words."""
-    body = "|".join(re.escape(word) for word in keywords)
+    """Regular expression that finds any keyword, anywhere or only as whole words.
+
+    Its size is that of the tree of the keywords' beginnings, and the work at a place of a name is bounded by the
+    number of different next characters, not by the number of keywords.
+    """
     if match == "substring":
-        return f"(?:{body})"
+        return f"(?:{_branches(keywords, False)})"
     if match == "word":
-        return f"(?<![{WORD}])(?:{body})(?![{WORD}])"
+        return f"(?<![{WORD}])(?:{_branches(keywords, True)})(?![{WORD}])"
     raise ValueError(f"match must be 'substring' or 'word', not {match!r}")
 
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetloom.dimensions import STARTER_TAXONOMY
 from streetloom.fixed_values import FUZZY_THRESHOLD, UNCATEGORIZED
 from streetloom.functions.labels import name_key, zip_from_digits
 from streetloom.operators.columns import flag_valid_coordinates, snake_case_columns
@@ -52,14 +51,15 @@ def located_once(raw: DataFrame, order_by: Sequence[str] | None = None) -> DataF
 
 def clean_businesses(
     raw: DataFrame,
-    taxonomy: Mapping[str, Sequence[str]] | DataFrame = STARTER_TAXONOMY,
+    taxonomy: Mapping[str, Sequence[str]] | DataFrame,
     order_by: Sequence[str] | None = None,
     threshold: int = FUZZY_THRESHOLD,
     match: str = "substring",
 ) -> DataFrame:
     """Raw businesses → located, distinct ones with taxonomy categories.
 
-    A mapping becomes part of the row expression, a DataFrame (``schemas.TAXONOMY``) of any size is joined.
+    A mapping becomes part of the row expression, a DataFrame (``schemas.TAXONOMY``) of any size is joined. There is no
+    default, as scores depend on the whole list: ``dimensions.STARTER_TAXONOMY`` has only the most frequent keywords.
     """
     # stored, as the similarity step reads the rows several times
     distinct = drop_similar_businesses(checkpointed(located_once(raw, order_by)), threshold)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streetloom import schemas
-from streetloom.dimensions import STARTER_TAXONOMY, default_affinity, default_lexicon
+from streetloom.dimensions import default_affinity, default_lexicon
 from streetloom.fixed_values import CAT_WEIGHT, GEO_WEIGHT, RADIUS_M, ZIP_PREFIX
 from streetloom.operators.columns import filter_zip_prefix
 from streetloom.operators.matching import closest_match
@@ -40,12 +40,13 @@ def store_businesses(
     spark: SparkSession,
     source: str,
     target: str,
-    taxonomy: Mapping[str, Sequence[str]] = STARTER_TAXONOMY,
+    taxonomy: Mapping[str, Sequence[str]] | DataFrame,
     zip_prefix: str = ZIP_PREFIX,
+    match: str = "substring",
 ) -> DataFrame:
-    """JSON lines of all businesses → cleaned businesses of the ZIP area."""
+    """JSON lines of all businesses → cleaned businesses of the ZIP area; taxonomy and match as in ``clean_businesses``."""
     raw = filter_zip_prefix(read_jsonl(spark, source, schemas.BUSINESS_RAW), "postal_code", zip_prefix)
-    return _stored(clean_businesses(raw, taxonomy), target)
+    return _stored(clean_businesses(raw, taxonomy, match=match), target)
 
 
 def store_reviews(spark: SparkSession, source: str, businesses: DataFrame, target: str) -> DataFrame:

@@ -1,13 +1,15 @@
 """Hand-written rows for each scalar rule."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from streetloom.functions.categories import business_group, map_taxonomy, primary_category, split_categories
+from streetloom.functions.categories import business_group, keyword_pattern, map_taxonomy, primary_category, split_categories
 from streetloom.functions.geo import haversine_m, proximity_score, within_bounds
 from streetloom.functions.labels import (
+    WORD,
     has_zip_prefix,
     normalize_label,
     snake_case,
@@ -153,3 +155,27 @@ def test_distance_and_proximity(spark):
     assert out[1] == pytest.approx(3.141592653589793 * 6_371_000)
     assert out[2] == pytest.approx(111.195, abs=0.01)
     assert values(spark, [0.0, 125.0, 250.0, 300.0], proximity_score(F.col("v"), 250), "v double") == [1, 0.5, 0, 0]
+
+
+def test_pattern_of_many_keywords_equals_trying_each():
+    rng = random.Random(3)
+    parts = ["ca", "r", "wash", " ", "t", "te", "a", "&", "home", "-", "r."]
+    keywords = sorted({"".join(rng.choices(parts, k=rng.randrange(1, 5))).strip() for _ in range(900)} - {""})
+    assert len(keywords) > 500
+    names = ["".join(rng.choices(parts + ["x", "zz"], k=rng.randrange(0, 7))) for _ in range(1_500)]
+    some = rng.sample(keywords, 60)
+    for words in (keywords, some, some[:1]):
+        for match, found in (
+            ("substring", lambda name, word: word in name),
+            ("word", lambda name, word: re.search(rf"(?<!\w){re.escape(word)}(?!\w)", name) is not None),
+        ):
+            pattern = re.compile(keyword_pattern(words, match).replace(f"[{WORD}]", r"\w"))
+            for name in names:
+                assert (pattern.search(name) is not None) == any(found(name, word) for word in words), (name, match)
+
+
+def test_pattern_walks_common_beginnings_once():
+    assert keyword_pattern(["tea", "team", "tent"]) == "(?:te(?:a|nt))"
+    assert "(?:tea(?:m)?)" in keyword_pattern(["tea", "team"], "word")
+    many = [f"{a}{b}{c}" for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh"]
+    assert len(keyword_pattern(many)) < len("|".join(many))

@@ -2,6 +2,7 @@
 
 import json
 
+from streetloom.dimensions import STARTER_TAXONOMY, taxonomy_frame
 from streetloom.fixed_values import REQUEST_COLUMNS
 from streetloom.operators.sentiment import with_sentiment
 from streetloom.plans import workflow
@@ -32,10 +33,14 @@ def test_workflow(spark, tmp_path):
     }
     (folder / "r.csv").write_text(",".join(REQUEST_COLUMNS) + "\n" + ",".join(request[c] for c in REQUEST_COLUMNS) + "\n")
 
-    shops = workflow.store_businesses(spark, str(tmp_path / "businesses.json"), scratch_path(spark, "b"))
+    shops = workflow.store_businesses(spark, str(tmp_path / "businesses.json"), scratch_path(spark, "b"), STARTER_TAXONOMY)
     assert [(r.business_id, r.primary_category) for r in shops.orderBy("business_id").collect()] == [
         ("a", "Food & Restaurants"), ("c", "Uncategorized"),
     ]
+    table = taxonomy_frame(spark, {"First": ("rest",), "Second": ("cafe", "restaurants")})
+    for match, groups in (("substring", ["First", "Second"]), ("word", ["Second"])):
+        named = workflow.store_businesses(spark, str(tmp_path / "businesses.json"), scratch_path(spark, "b"), table, match=match)
+        assert named.where("business_id = 'a'").first().categories_normalized[: len(groups)] == groups
     cleaned = workflow.store_reviews(spark, str(tmp_path / "reviews.json"), shops, scratch_path(spark, "r"))
     assert [r.review_id for r in cleaned.collect()] == ["1"]
     sentiment = workflow.store_sentiment(cleaned, scratch_path(spark, "s"))
