@@ -124,23 +124,33 @@ cleaned as (
   select review_id, min(pos) as mark from entries
   where token in ({", ".join(f"'{word}'" for word in par.CONTRAST)}) group by review_id
 ), neighbours as (
-  select *, lag(token, 1) over o as b1, lag(token, 2) over o as b2, lag(token, 3) over o as b3, lead(token, 1) over o as a1
+  select *, lag(token, 1) over o as b1, lag(token, 2) over o as b2, lag(token, 3) over o as b3, lead(token, 1) over o as a1, lead(token, 2) over o as a2
   from entries window o as (partition by review_id order by pos)
 ), valence as (select token, valence from {_LEXICON} where kind = 'word'),
 booster as (select token, valence from {_LEXICON} where kind = 'booster'),
 negation as (select token from {_LEXICON} where kind = 'negation'),
+phrase as (select token, valence from {_LEXICON} where kind = 'phrase'),
 hits as (
   select n.review_id, n.pos, n.b1, n.b2, n.b3,
     case when coalesce({_among("b1", "no")} or {_among("b2", "no")} or ({_among("b3", "no")} and {_among("b1", "no link")}), false) then -0.74 * v.valence
       when {_among("n.token", "no")} and n.a1 in (select token from valence) then 0 else v.valence end as v0,
     b1 is not null and w1.token is null as free1, b2 is not null and w2.token is null as free2, b3 is not null and w3.token is null as free3,
     coalesce(s1.valence, 0) as s1, 0.95 * coalesce(s2.valence, 0) as s2, 0.9 * coalesce(s3.valence, 0) as s3,
-    coalesce(near.valence, 0) + coalesce(far.valence, 0) as two,
+    coalesce(near.valence, 0) + coalesce(far.valence, 0) + coalesce(wide.valence, 0) as two,
+    coalesce(q1.valence, q2.valence, q3.valence, q4.valence, q5.valence, q6.valence, q7.valence) as instead,
     n1.token is not null as neg1, n2.token is not null as neg2, n3.token is not null as neg3
   from neighbours n join valence v on v.token = n.token
   left join valence w1 on w1.token = n.b1 left join valence w2 on w2.token = n.b2 left join valence w3 on w3.token = n.b3
   left join booster s1 on s1.token = n.b1 left join booster s2 on s2.token = n.b2 left join booster s3 on s3.token = n.b3
   left join booster near on near.token = n.b2 || ' ' || n.b1 left join booster far on far.token = n.b3 || ' ' || n.b2
+  left join booster wide on wide.token = n.b3 || ' ' || n.b2 || ' ' || n.b1
+  left join phrase q1 on q1.token = n.token || ' ' || n.a1 || ' ' || n.a2
+  left join phrase q2 on q2.token = n.token || ' ' || n.a1
+  left join phrase q3 on q3.token = n.b1 || ' ' || n.token
+  left join phrase q4 on q4.token = n.b2 || ' ' || n.b1 || ' ' || n.token
+  left join phrase q5 on q5.token = n.b2 || ' ' || n.b1
+  left join phrase q6 on q6.token = n.b3 || ' ' || n.b2 || ' ' || n.b1
+  left join phrase q7 on q7.token = n.b3 || ' ' || n.b2
   left join negation n1 on n1.token = n.b1 left join negation n2 on n2.token = n.b2 left join negation n3 on n3.token = n.b3
   where n.token not in (select token from booster) and not coalesce({_among("n.token", "kind")} and {_among("a1", "of")}, false)
 ), first_step as (
@@ -150,10 +160,10 @@ hits as (
       when {_among("b2", "never")} and {_among("b1", "so")} then 1.25
       when {_among("b2", "without")} and {_among("b1", "doubt")} then 1.0 when neg2 then -0.74 else 1.0 end else v1 end as v2 from first_step
 ), third_step as (
-  select *, case when free3 then (v2 + case when v2 < 0 then -s3 else s3 end) * case
+  select *, case when free3 then coalesce(instead, (v2 + case when v2 < 0 then -s3 else s3 end) * case
       when ({_among("b3", "never")} and {_among("b2", "so")}) or {_among("b1", "so")} then 1.25
       when {_among("b3", "without")} and ({_among("b2", "doubt")} or {_among("b1", "doubt")}) then 1.0
-      when neg3 then -0.74 else 1.0 end + two else v2 end as v2b from second_step
+      when neg3 then -0.74 else 1.0 end) + two else v2 end as v2b from second_step
 ), last_step as (
   select *, case when {_among("b1", "least")} and free1 and not coalesce({_among("b2", "before least")}, false) then -0.74 * v2b else v2b end as v3
   from third_step

@@ -49,6 +49,22 @@ LEXICON = (
     ("nicht", 0.0, "negation"),
     ("to the", 0.2, "booster"),
     ("ou la", -0.3, "booster"),
+    ("of the", 0.7, "phrase"),
+    ("of of", -1.1, "phrase"),
+    ("in the and", 2.4, "phrase"),
+    ("in the", -0.6, "phrase"),
+    ("in onbleea of", 1.3, "phrase"),
+    ("the of", 1.7, "phrase"),
+    ("der der", 0.0, "phrase"),
+    ("the the of", -2.2, "phrase"),
+    ("onre enat in", 3.0, "phrase"),
+    ("nd rely", -1.6, "phrase"),
+    ("the nd rely", 0.9, "phrase"),
+    ("ntre in onbleea", -0.4, "phrase"),
+    ("ndnd onre", 1.2, "phrase"),
+    ("the the", 0.5, "phrase"),
+    ("ingre onanshat", 0.25, "booster"),
+    ("theaeati ingre onanshat", 0.35, "booster"),
 )
 CONTRAST = ("that", "ou")
 # frequent words of the texts in the places of "least", "never so", "without doubt", "no" and "kind of"

@@ -109,6 +109,12 @@ STARTER_LEXICON: tuple[tuple[str, float, str], ...] = (
     ("not", 0.0, "negation"),
     ("never", 0.0, "negation"),
     ("without", 0.0, "negation"),
+    ("bus stop", 0.0, "phrase"),
+    ("yeah right", -2.0, "phrase"),
+    ("kiss of death", -1.5, "phrase"),
+    ("to die for", 3.0, "phrase"),
+    ("beating heart", 3.1, "phrase"),
+    ("broken heart", -2.9, "phrase"),
 )
 
 

@@ -338,6 +338,41 @@ def test_rules_of_several_words(spark, text, total):
     assert got == pytest.approx(total / math.sqrt(total * total + 15), abs=5.1e-5)
 
 
+@pytest.mark.parametrize(
+    ("text", "total"),
+    [
+        ("a b c kiss of death", -1.5),
+        ("kiss of death", 2.0),  # too near the beginning, so the word counts
+        ("a b kiss of death", 2.0),
+        ("a b c kiss of", -0.5),  # two tokens, as the third is missing
+        ("a b c kiss of life", -0.5),
+        ("a b c broken kiss", -2.9),  # ends with the word
+        ("a b c broken kiss of", -0.5),  # ahead wins
+        ("a b c broken kiss of death", -1.5),  # the longer one ahead wins
+        ("a big broken kiss", -2.9),  # the shorter one behind wins
+        ("a b to die kiss", 0.9),  # directly before the word
+        ("a to die for kiss", 3.0),  # three tokens that end before it
+        ("a to die x kiss", 0.9),  # two tokens, one before it
+        ("a b c to die x y kiss", 2.0),
+        ("never to die kiss", 0.9),  # in place of what negations made of it
+        ("kiss to die kiss", 2.0 + 2.0),  # a word stands third before
+        ("a b very big kiss", 2 + 0.3 * 0.95),
+        ("a just a bit kiss", 2.0 - 0.2 - 0.1),  # boosters of two and of three tokens both add
+        ("a b c kiss of death but x", -0.75),
+        ("bus", 0.0),
+    ],
+)
+def test_phrases_of_several_words(spark, text, total):
+    phrases = [
+        ("kiss", 2.0, "word"), ("never", 0.0, "negation"), ("very", 0.3, "booster"), ("just a bit", -0.2, "booster"), ("a bit", -0.1, "booster"),
+        ("kiss of death", -1.5, "phrase"), ("kiss of", -0.5, "phrase"), ("broken kiss", -2.9, "phrase"), ("big broken kiss", 1.0, "phrase"),
+        ("to die for", 3.0, "phrase"), ("to die", 0.9, "phrase"), ("bus stop", 1.0, "phrase"), ("one two three four", 4.0, "phrase"),
+    ]
+    df = spark.createDataFrame([("r", "b", text)], "review_id string, business_id string, text_clean string")
+    got = senti.lexicon_sentiment(df, inline_table(spark, phrases, schemas.LEXICON)).first().review_sentiment
+    assert got == pytest.approx(total / math.sqrt(total * total + 15), abs=5.1e-5)
+
+
 def test_texts_are_not_exchanged_for_their_sentiment(spark):
     lexicon = inline_table(spark, PHRASE_LEXICON, schemas.LEXICON)
     df = spark.createDataFrame([("r", None, "good text"), ("s", "b", None)], "review_id string, business_id string, text_clean string")
