@@ -311,6 +311,37 @@ _CELLS = f"""grouped as (select request_group, zipcode from @role requests@ join
           (select count(*) from grouped) as n
         from expected left join cells using (request_group, zipcode))"""
 
+
+def _clusters(ks: range, steps: int) -> str:
+    """Centres after ``steps`` rounds for each k, from farthest points: table s<steps> (k, j, x, y)."""
+    apart = "round((z.x - c.x) * (z.x - c.x) + (z.y - c.y) * (z.y - c.y), 9)"
+    parts = [
+        """m as materialized (select avg(proximity_score) as ma, avg(category_similarity) as mb, stddev_pop(proximity_score) as sa,
+          stddev_pop(category_similarity) as sb from closest where proximity_score is not null and category_similarity is not null)""",
+        """z as materialized (select proximity_score as a, category_similarity as b, count(*) as w,
+          (proximity_score - ma) / case when sa = 0 then 1 else sa end as x, (category_similarity - mb) / case when sb = 0 then 1 else sb end as y
+          from closest, m where proximity_score is not null and category_similarity is not null group by a, b, ma, mb, sa, sb)""",
+        "f1 as materialized (select 1 as j, x, y from z order by round(x * x + y * y, 9) desc, a, b limit 1)",
+    ]
+    for j in range(2, max(ks) + 1):
+        parts.append(
+            f"f{j} as materialized (select * from f{j - 1} union all (select {j} as j, z.x, z.y from z, f{j - 1} c"
+            f" group by z.x, z.y, z.a, z.b order by min({apart}) desc, z.a, z.b limit 1))"
+        )
+    parts.append(f"s0 as materialized (select k, j, x, y from range({min(ks)}, {max(ks) + 1}) t(k), f{max(ks)} where j <= k)")
+    for n in range(1, steps + 1):
+        parts.append(
+            f"s{n} as materialized (select c.k, c.j, coalesce(g.x, c.x) as x, coalesce(g.y, c.y) as y from s{n - 1} c left join ("
+            f"select k, j, sum(w * x) / sum(w) as x, sum(w * y) / sum(w) as y from (select c.k, z.w, z.x, z.y, arg_min(c.j, ({apart}, c.j)) as j"
+            f" from z, s{n - 1} c group by c.k, z.a, z.b, z.w, z.x, z.y) group by k, j) g using (k, j))"
+        )
+    return ", ".join(parts)
+
+
+_LABELLED = f"""{_clusters(range(4, 5), 10)}, numbered as (select row_number() over (order by x, y) - 1 as cluster, x, y from s10),
+labelled as (select z.a, z.b, arg_min(c.cluster, (round((z.x - c.x) * (z.x - c.x) + (z.y - c.y) * (z.y - c.y), 9), c.cluster)) as cluster
+  from z, numbered c group by z.a, z.b)"""
+
 _FRAGMENTS = {
     "pairs": _PAIRS,
     "sentiment": _SENTIMENT,
@@ -516,6 +547,15 @@ _SQL = {
         from cells group by lattice, ix, iy, x0, y0, sx, sy""",
     "heat_grid": f"""select {_even("lat", 3)} as lat, {_even("lon", 3)} as lon, count(*) as n from @role requests_raw@
         where lat is not null and lon is not null group by 1, 2""",
+    "elbow_from_farthest": f"""with @pairs@, {_clusters(range(2, 11), 10)}
+        select cast(k as integer) as k, round(sum(w * d), 4) as inertia from (
+          select c.k, z.w, min(round((z.x - c.x) * (z.x - c.x) + (z.y - c.y) * (z.y - c.y), 9)) as d
+          from z, s10 c group by c.k, z.a, z.b, z.w) group by k""",
+    "assign_from_farthest": f"""with @pairs@, {_LABELLED} select service_request_id, cast(cluster as integer) as cluster
+        from closest join labelled on a = proximity_score and b = category_similarity""",
+    "profile_from_farthest": f"""with @pairs@, {_LABELLED} select cast(cluster as integer) as cluster, count(*) as n,
+        round(avg(proximity_score), 6) as avg_proximity_score, round(avg(category_similarity), 6) as avg_category_similarity
+        from closest join labelled on a = proximity_score and b = category_similarity group by 1""",
     # what any converged clustering into four must show
     "cluster_audit": """with @pairs@ select count(*) as rows, 4 as clusters, 0 as misplaced, 0 as unordered,
         0 as wrong_inertia, 0 as rises from closest""",

@@ -673,6 +673,23 @@ def cluster_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.cluster_profile(cluster.kmeans_assign(_closest_scores(spark, sf_dir)))
 
 
+@register
+def elbow_from_farthest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve = cluster.elbow_from_farthest(_closest_scores(spark, sf_dir))
+    return curve.select("k", F.round("inertia", 4).alias("inertia"))
+
+
+@register
+def assign_from_farthest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.assign_from_farthest(_closest_scores(spark, sf_dir)).select("service_request_id", "cluster")
+
+
+@register
+def profile_from_farthest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profile_of = cluster.cluster_profile(cluster.assign_from_farthest(_closest_scores(spark, sf_dir)))
+    return profile_of.select("cluster", "n", *[F.round(f"avg_{f}", 6).alias(f"avg_{f}") for f in cluster.FEATURES])
+
+
 @register
 def cluster_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster.cluster_audit(_closest_scores(spark, sf_dir))

@@ -7,7 +7,7 @@ the number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streetloom.dimensions import inline_table
+from streetloom.functions.binding import bind
 from streetloom.session import checkpointed
 
 FEATURES = ("proximity_score", "category_similarity")
@@ -25,6 +26,10 @@ POINTS_PER_TASK = 100_000
 MAX_ITER = 300
 TOLERANCE = 1e-9  # centres move no more than this in the last step
 MAX_BROADCAST_POINTS = 1_000_000
+STEPS = 10  # of the form with given starts
+PLACES = 9  # of squared distances, so that equal ones are equal however they were summed up
+
+Centers = list[tuple[float, ...]]
 
 
 def _moments(df: DataFrame, features: Sequence[str]) -> Column:
@@ -127,6 +132,93 @@ def kmeans_assign(
     return df.join(F.broadcast(labelled) if n <= MAX_BROADCAST_POINTS else labelled, list(features))
 
 
+# ---- given starts and a given number of steps: the same result everywhere, also in SQL -------------------
+
+
+def _apart(features: Sequence[str], centers: Column) -> Column:
+    """Squared distances of a point to each of an array of centres.
+
+    Centres are data of the plan, not part of its code, so that all rounds share one compiled job.
+    """
+    return F.transform(
+        centers,
+        lambda c: F.round(
+            sum(((F.col(f"{f}_z") - c[i]) * (F.col(f"{f}_z") - c[i]) for i, f in enumerate(features)), F.lit(0.0)), PLACES
+        ),
+    )
+
+
+def _given(centers: Centers) -> Column:
+    return F.lit([list(c) for c in centers])
+
+
+def farthest_points(points: DataFrame, k: int, features: Sequence[str] = FEATURES) -> Centers:
+    """The point farthest from the mean, then k - 1 times the one farthest from those chosen; ties by feature values.
+
+    One job and one row of ``weighted_points`` for each; fewer centres if there are fewer points.
+    """
+    chosen: Centers = []
+    for _ in range(k):
+        least = F.array_min(_apart(features, _given(chosen or [(0.0,) * len(features)])))
+        order = [F.desc("_apart"), *features]
+        row = points.withColumn("_apart", least).orderBy(*order).select("_apart", *[f"{f}_z" for f in features]).first()
+        if row is None or (chosen and row["_apart"] == 0):
+            break
+        chosen.append(tuple(row[1:]))
+    return chosen
+
+
+def _nearest(features: Sequence[str], centers: Column) -> Column:
+    """Position ``at`` of the nearest centre, the first of equally near ones, and its squared distance ``apart``."""
+    return bind(
+        _apart(features, centers),
+        lambda far: F.struct((F.array_position(far, F.array_min(far)) - 1).alias("at"), F.array_min(far).alias("apart")),
+    )
+
+
+def _dealt(points: DataFrame, centers: Mapping[int, Centers], features: Sequence[str]) -> DataFrame:
+    """Every point once for each set of centres, with ``at`` and ``apart``."""
+    sets = F.array(*[F.struct(F.lit(name).alias("set"), _given(given).alias("given")) for name, given in centers.items()])
+    spread = points.select("weight", *[f"{f}_z" for f in features], F.inline(sets))
+    return spread.select("*", _nearest(features, F.col("given")).alias("near")).select("*", "near.*")
+
+
+def moved_centers(
+    points: DataFrame, starts: Mapping[int, Centers], features: Sequence[str] = FEATURES, steps: int = STEPS
+) -> dict[int, Centers]:
+    """Centres of every set in ``starts`` after ``steps`` rounds: points go to their nearest centre, centres to the
+    weighted mean of their points; one without points stays. All sets share one job a round, which returns a row for
+    each centre."""
+    centers = {name: list(given) for name, given in starts.items() if given}
+    means = [(F.sum(F.col("weight") * F.col(f"{f}_z")) / F.sum("weight")).alias(f) for f in features]
+    for _ in range(steps if centers else 0):
+        for row in _dealt(points, centers, features).groupBy("set", "at").agg(*means).collect():
+            centers[row["set"]][row["at"]] = tuple(row[f] for f in features)
+    return centers
+
+
+def elbow_from_farthest(
+    df: DataFrame, features: Sequence[str] = FEATURES, ks: Sequence[int] = tuple(range(2, 11)), steps: int = STEPS
+) -> DataFrame:
+    """(k, inertia) for each k, from farthest points as starts; no row without points. Runs when called."""
+    points, _ = _training_set(df, features)
+    far = farthest_points(points, max(ks), features)
+    centers = moved_centers(points, {k: far[:k] for k in ks}, features, steps)
+    if not centers:
+        return inline_table(df.sparkSession, [], T.StructType([T.StructField("k", T.IntegerType()), T.StructField("inertia", T.DoubleType())]))
+    dealt = _dealt(points, centers, features)
+    return dealt.groupBy(F.col("set").alias("k")).agg(F.sum(F.col("weight") * F.col("apart")).alias("inertia"))
+
+
+def assign_from_farthest(df: DataFrame, features: Sequence[str] = FEATURES, k: int = 4, steps: int = STEPS) -> DataFrame:
+    """Like ``kmeans_assign``, from farthest points as starts."""
+    points, n = _training_set(df, features)
+    centers = sorted(moved_centers(points, {k: farthest_points(points, k, features)}, features, steps).get(k, []))
+    label = _nearest(features, _given(centers))["at"].cast("int") if centers else F.lit(None).cast("int")
+    labelled = points.select(*features, label.alias("cluster"))
+    return df.join(F.broadcast(labelled) if n <= MAX_BROADCAST_POINTS else labelled, list(features))
+
+
 def cluster_profile(assigned: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Rows and mean features per cluster."""
     return assigned.groupBy("cluster").agg(
