@@ -36,8 +36,8 @@ from streetloom.llm.common import column_schema, map_batches
 
 MARK = "▁"  # stands for a space
 MAX_PIECES = 1_000_000  # of a vocabulary that may be broadcast
-CACHE_WORDS = 60_000  # encoded words of one generation; a Python worker remembers two
-CACHE_PAIRS = 100_000  # adjacent pairs it remembers
+CACHE_WORDS = 200_000  # encoded words of one generation; a Python worker remembers two
+CACHE_PAIRS = 500_000  # adjacent pairs it remembers
 LONG_WORD = 64  # longer words are not remembered
 
 
