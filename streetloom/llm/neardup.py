@@ -8,10 +8,9 @@
 2. Texts with equal sets become one node; everything below works on nodes.
 3. Bands of some coordinates each give buckets; the asked similarity decides how many (``Terms``). Two sets at that
    similarity miss each other with probability below ``BAND_ODDS``; at 0.85 and 24 bands of 5, sets at 0.9 below 1e-9.
-4. First each node is compared with one pivot, the bucket's smallest node that agrees with it best; pairs similar by
-   their full sets are links, and join nodes to components.
-5. In buckets that hold several components, pairs across components are compared by sketch (``Terms.agree`` coordinates;
-   a pair at the threshold fails it with probability below ``AGREE_ODDS``). They connect components to families of
+4. First each node is compared with one pivot, of its buckets' smallest nodes the one in most of them; a pair that
+   passes the sketch (``Terms.agree`` coordinates) and is similar by its full sets is a link, and joins two components.
+5. In buckets that hold several components, pairs across components are compared by sketch (a pair at the threshold fails it with probability below ``AGREE_ODDS``). They connect components to families of
    texts that may belong together. In each family all pairs across components that pass the sketch are decided on their
    full sets. Both steps work in cells of bounded size; the largest component of a group is not compared with
    itself, and a pair whose nodes have been joined in the cell needs no look, so a cell gives fewer links than it has
@@ -34,8 +33,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streetloom.llm.common import WORD_HASHES, map_batches, texts_of
 from streetloom.llm.components import connected_components
@@ -138,8 +138,13 @@ def _row_key(doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
+def _twin_key(doc_id: str, text: str) -> Column:
+    """A second hash, for lookups where a collision would lose a row."""
+    return F.xxhash64(F.lit(1), F.col(text), F.col(doc_id))
+
+
 def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """doc_id, row, n_shingles, node and sketch of every row; node and sketch are null for an empty set."""
+    """doc_id, row, twin, n_shingles, node and sketch of every row; node and sketch are null for an empty set."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, nodes, sketches = [], [], []
@@ -149,13 +154,14 @@ def _described(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
             nodes.append(_node_key(elements) if len(elements) else None)
             sketches.append(sketch(elements).tobytes() if len(elements) else None)
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("row"), pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), pa.array(sketches, pa.binary())],
-            ["doc_id", "row", "n_shingles", "node", "sketch"],
+            [*batch.columns[:3], pa.array(counts, pa.int64()), pa.array(nodes, pa.binary()), pa.array(sketches, pa.binary())],
+            ["doc_id", "row", "twin", "n_shingles", "node", "sketch"],
         )
 
-    read = docs.select(F.col(doc_id).alias("doc_id"), _row_key(doc_id, text).alias("row"), F.col(text).alias("_text"))
+    keys = [F.col(doc_id).alias("doc_id"), _row_key(doc_id, text).alias("row"), _twin_key(doc_id, text).alias("twin")]
+    read = docs.select(*keys, F.col(text).alias("_text"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    return map_batches(read, work, f"doc_id {kind}, row bigint, n_shingles bigint, node binary, sketch binary")
+    return map_batches(read, work, f"doc_id {kind}, row bigint, twin bigint, n_shingles bigint, node binary, sketch binary")
 
 
 def _buckets(nodes: DataFrame, terms: Terms) -> DataFrame:
@@ -166,7 +172,7 @@ def _buckets(nodes: DataFrame, terms: Terms) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame, terms: Terms) -> DataFrame:
-    """Pairs (a, b) with sketch agreement and size ratio good enough, and the count of agreeing coordinates."""
+    """Pairs (a, b) with sketch agreement and size ratio good enough."""
     for side in ("a", "b"):
         right = nodes.select(F.col("node").alias(side), F.col("sketch").alias(f"s{side}"), F.col("n").alias(f"n{side}"))
         pairs = pairs.join(right, side)
@@ -174,13 +180,10 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, terms: Terms) -> DataFrame:
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         first, second = (_matrix(batch.column(c).to_pylist()) for c in ("sa", "sb"))
-        agree = (first == second).sum(axis=1)
-        keep = pa.array(agree >= least)
-        out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(agree, pa.int32())], ["a", "b", "agree"])
-        return out.filter(keep)
+        return batch.select(["a", "b"]).filter(pa.array((first == second).sum(axis=1) >= least))
 
     close = (100 * F.least("na", "nb")) >= (terms.percent * F.greatest("na", "nb"))
-    return map_batches(pairs.where(close).select("a", "b", "sa", "sb"), work, "a binary, b binary, agree int")
+    return map_batches(pairs.where(close).select("a", "b", "sa", "sb"), work, "a binary, b binary")
 
 
 def _matrix(sketches: list[bytes]) -> np.ndarray:
@@ -230,10 +233,12 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
 
 
 def _pivot_pairs(buckets: DataFrame) -> DataFrame:
-    """Each node with the smallest node of its buckets."""
-    pivots = buckets.groupBy("bucket").agg(F.min("node").alias("b"), F.count("*").alias("many")).where("many > 1")
-    met = buckets.join(pivots.select("bucket", "b"), "bucket").where("node <> b")
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    """Each node (a) with the one smallest node of its buckets (b) with which it shares most of them."""
+    pivots = buckets.groupBy("bucket").agg(F.min("node").alias("b"))
+    met = buckets.join(pivots, "bucket").where("node <> b")
+    shared = met.groupBy("node", "b").agg(F.count("*").alias("shared"))
+    best = F.max_by("b", "shared").alias("b")
+    return shared.groupBy(F.col("node").alias("a")).agg(best)
 
 
 def _cells(groups: DataFrame) -> DataFrame:
@@ -334,8 +339,8 @@ def _joins(across: bool, members: pa.StructArray, exact: bool, percent: int, lea
     return links
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest id of the row's class, for every row."""
+def _classed(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``_described`` rows, stored, and (node, doc_id, label): the class of every node and its smallest id."""
     terms = Terms(size, percent)
     described = checkpointed(_described(docs, doc_id, text, size))
     nodes = checkpointed(
@@ -346,9 +351,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = _buckets(nodes, terms)
     several = buckets.groupBy("bucket").agg(F.count("*").alias("many")).where("many > 1").select("bucket")
     buckets = checkpointed(buckets.join(several, "bucket", "left_semi"))
-    close = _agreeing(_pivot_pairs(buckets), nodes, terms)
-    best = close.groupBy("a").agg(F.max(F.struct("agree", "b")).alias("best")).select("a", F.col("best")["b"].alias("b"))
-    links = _confirmed(best, nodes, docs, doc_id, text, terms)
+    links = _confirmed(_agreeing(_pivot_pairs(buckets), nodes, terms), nodes, docs, doc_id, text, terms)
     labels = connected_components(links)
     # families: what pairs that pass the sketch connect, in buckets that hold several components
     labelled = buckets.join(labels, "node", "left").select(F.col("bucket").alias("group"), "node", F.coalesce("label", "node").alias("label"))
@@ -365,7 +368,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     full = _full_sets(cells.select("node").distinct(), nodes, docs, doc_id, text, size)
     rest = _links_in_cells(cells, nodes.select("node", "n", "sketch").join(full, "node"), terms)
     labels = connected_components(links.unionByName(rest))
-    classed = nodes.select("node", "doc_id").join(labels, "node", "left").select("node", "doc_id", F.coalesce("label", "node").alias("label"))
+    classed = nodes.select("node", "doc_id").join(labels, "node", "left")
+    return described, classed.select("node", "doc_id", F.coalesce("label", "node").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest id of the row's class, for every row."""
+    described, classed = _classed(docs, doc_id, text, size, percent)
     named = classed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     by_node = classed.join(named, "label").select("node", "component_id")
     joined = described.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
@@ -374,10 +383,46 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
 
 
+def _told_apart(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``docs`` has such columns."""
+    taken = {c.lower() for c in docs.columns}
+    made = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        made.append(name)
+    return made
+
+
+def _small(keys: DataFrame) -> DataFrame:
+    """Stored keys, broadcast behind a count: then no text is shuffled."""
+    keys = checkpointed(keys)
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
+
+
 def keep_one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows whose id names their class; all columns are kept. Rows with a null id stay."""
-    classes = near_duplicates(docs.select(doc_id, text), doc_id, text, size, percent)
-    gone = checkpointed(classes.where("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct())
-    if gone.count() <= MAX_BROADCAST_KEYS:  # then no text is shuffled
-        gone = F.broadcast(gone)
-    return docs.join(gone, doc_id, "left_anti").select(*docs.columns)
+    """One row of each class, with all columns; rows without words are in no class and stay.
+
+    Rows decide, not ids: the row with the smallest id stays (a null id comes last; of different texts with that id the one
+    with the smallest hash; of rows with equal id and text the first by their other columns), all others of the class go.
+    So an id on two texts that are not alike keeps both, and copies without an id leave one.
+    """
+    described, classed = _classed(docs.select(doc_id, text), doc_id, text, size, percent)
+    rows = described.where("node is not null").join(classed.select("node", "label"), "node")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "twin")
+    counted = rows.groupBy("label", place.alias("place")).agg(F.count("*").alias("copies"))  # equal rows collapse first
+    first = counted.groupBy("label").agg(F.min("place").alias("first"), F.sum("copies").alias("all")).where(F.col("all") > 1)
+    keys, number = _told_apart(docs, "_row", "_twin"), *_told_apart(docs, "_number")
+    named = [F.col("place")[part].alias(key) for part, key in zip(("row", "twin"), keys, strict=True)]
+    told = counted.join(first, "label").select(*named, (F.col("place") == F.col("first")).alias("stays"), "copies")
+    told = checkpointed(told.where(~F.col("stays") | (F.col("copies") > 1)))
+    gone = _small(told.where(~F.col("stays")).select(*keys))
+    keyed = docs.withColumns(dict(zip(keys, (_row_key(doc_id, text), _twin_key(doc_id, text)), strict=True)))
+    kept = keyed.join(gone, keys, "left_anti")
+    copied = told.where("stays").select(*keys)
+    if copied.isEmpty():
+        return kept.select(*docs.columns)
+    copied = _small(copied)
+    others = F.xxhash64(*[f.name for f in docs.schema if not isinstance(f.dataType, T.MapType)])
+    equal = kept.join(copied, keys, "left_semi").withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(others)))
+    return kept.join(copied, keys, "left_anti").unionByName(equal.where(F.col(number) == 1).drop(number)).select(*docs.columns)
