@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from streetloom.fixed_values import FUZZY_THRESHOLD
 from streetloom.functions.binding import bind
-from streetloom.functions.similarity import measured_ratio, short_masks
+from streetloom.functions.similarity import characters, measured_ratio, short_masks
 from streetloom.operators.skew import salted_join
 from streetloom.session import checkpointed
 
@@ -71,45 +71,55 @@ def _representatives(df: DataFrame, block: Column, text: Column, order_by: Seque
 
 
 def _character_pairs(text: Column) -> Column:
-    """Padded neighbouring characters, numbered by occurrence so that the array is a set."""
-    padded = F.concat(F.lit("\x02"), text, F.lit("\x03"))
+    """Padded neighbouring characters, numbered by occurrence so that the array is a set; in order of pairs.
+
+    Equal pairs lie together once the pairs are sorted, so a run from one start to the next is numbered 1, 2, ...: the
+    work grows with the text, but for the sorting.
+    """
+    letters = characters(F.concat(F.lit("\x02"), text, F.lit("\x03")))
     pairs = bind(
-        padded,
-        lambda whole: F.transform(
-            F.sequence(F.lit(1), F.length(whole) - 1), lambda at: F.substring(whole, at, F.lit(2))
-        ),
+        letters,
+        lambda found: F.transform(F.slice(found, F.lit(1), F.size(found) - 1), lambda ch, at: F.concat(ch, F.get(found, at + 1))),
     )
 
-    def occurrence(found: Column, pair: Column, at: Column) -> Column:
-        return F.size(F.filter(F.slice(found, F.lit(1), at + 1), lambda other: other == pair))
+    def numbered(ordered: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(0), F.size(ordered) - 1), lambda at: (at == 0) | (F.get(ordered, at) != F.get(ordered, at - 1))
+        )
+        return bind(
+            starts,
+            lambda begins: F.flatten(
+                F.transform(
+                    begins,
+                    lambda begin, run: F.transform(
+                        F.sequence(F.lit(1), F.coalesce(F.get(begins, run + 1), F.size(ordered)) - begin),
+                        lambda number: F.concat(F.get(ordered, begin), number.cast("string")),
+                    ),
+                )
+            ),
+        )
 
-    return bind(
-        pairs,
-        lambda found: F.transform(
-            found, lambda pair, at: F.concat(pair, occurrence(found, pair, at).cast("string"))
-        ),
-    )
+    return bind(F.array_sort(pairs), numbered)
 
 
 def _candidate_keys(reps: DataFrame, threshold: int) -> DataFrame:
     """Representatives with ``pairs``, all character pairs from rare to common, and ``keep``, the number of
     first ones in which a match must meet."""
     _, shared, _ = _bounds(threshold)
-    texts = reps.select("text").distinct().withColumn("pair", F.explode(_character_pairs(F.col("text"))))
-    frequency = texts.groupBy("pair").agg(F.count("*").alias("n"))
-    size = F.length("text") + 1
-    keep = size - F.floor(F.length("text") * F.lit(shared) + 1)
+    # a digest stands for the text, as each of its pairs becomes a row
+    digest = F.unhex(F.md5("text"))
+    texts = reps.select(digest.alias("digest"), "text").dropDuplicates(["digest"])
+    spread = texts.select("digest", F.explode(_character_pairs(F.col("text"))).alias("pair"))
+    frequency = spread.groupBy("pair").agg(F.count("*").alias("n"))
+    keep = F.length("text") + 1 - F.floor(F.length("text") * F.lit(shared) + 1)
     ordered = (
-        texts.join(frequency, "pair")
-        .groupBy("text")  # bounded: one row per character pair of one text
+        spread.join(frequency, "pair")
+        .groupBy("digest")  # bounded: one row per character pair of one text
         .agg(F.array_sort(F.collect_list(F.struct("n", "pair"))).alias("pairs"))
-        .select(
-            "text",
-            F.transform("pairs", lambda found: found["pair"]).alias("pairs"),
-            F.greatest(keep, F.lit(1)).cast("int").alias("keep"),
-        )
+        .select("digest", F.transform("pairs", lambda found: found["pair"]).alias("pairs"))
     )
-    return reps.join(ordered, "text")
+    kept = reps.withColumn("digest", digest).withColumn("keep", F.greatest(keep, F.lit(1)).cast("int"))
+    return kept.join(ordered, "digest").drop("digest")
 
 
 def _comparable(reps: DataFrame) -> DataFrame:

@@ -35,14 +35,22 @@ def _key_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataF
     return marks.groupBy(*keys).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
 
 
+def _pairs_of(limit: int, pair_limit: int | None) -> float:
+    return float(limit) ** 2 if pair_limit is None else float(pair_limit)
+
+
+def _is_hot(limit: int, pairs: float) -> Column:
+    return (F.col("l") > limit) | (F.col("r") > limit) | (F.col("l").cast("double") * F.col("r") > pairs)
+
+
 def _hot(counts: DataFrame, keys: Sequence[str], limit: int, pair_limit: int | None) -> DataFrame:
-    pairs = float(limit) ** 2 if pair_limit is None else float(pair_limit)
+    pairs = _pairs_of(limit, pair_limit)
     rows_small, rows_large = F.least("l", "r"), F.greatest("l", "r")
     small_parts = F.greatest(F.lit(1.0), F.ceil(rows_small / min(float(limit), pairs**0.5)))
     reach = F.least(F.lit(float(limit)), pairs / F.greatest(F.lit(1.0), rows_small / small_parts))
     large_parts = F.greatest(F.lit(1.0), F.ceil(rows_large / F.greatest(F.lit(1.0), reach)))
     return (
-        counts.where((F.col("l") > limit) | (F.col("r") > limit) | (F.col("l").cast("double") * F.col("r") > pairs))
+        counts.where(_is_hot(limit, pairs))
         .select(
             *keys,
             F.when(F.col("l") <= F.col("r"), small_parts).otherwise(large_parts).cast("int").alias("left_parts"),
@@ -82,7 +90,7 @@ def salted_join(
     """Join on ``keys`` in which no task gets more than about ``limit`` rows of one key per side,
     and evaluates more than about ``pair_limit`` (default: ``limit`` squared) pairs of it.
 
-    Calling it counts the rows per key. Without hot keys it is a plain join. Else a hot key is cut into
+    Calling it counts the rows per key, in one pass if no key is hot. Then it is a plain join. Else a hot key is cut into
     left parts x right parts; every pair of rows still meets exactly once. ``left_id`` and ``right_id``
     name columns that tell rows of a side apart; they decide the part. With ``how='left_semi'`` a left row
     may come out once per right part.
@@ -92,10 +100,12 @@ def salted_join(
     left rows whose key is cut on the right; other rows have at most ``limit`` matches.
     """
     counts = _key_counts(left, right, keys)
-    hot = checkpointed(_hot(counts, keys, limit, pair_limit))
-    n_hot = hot.count()
+    n_hot, pairs = counts.agg(
+        F.count_if(_is_hot(limit, _pairs_of(limit, pair_limit))), F.coalesce(F.sum(F.col("l").cast("double") * F.col("r")), F.lit(0.0))
+    ).first()
     by = list(keys)
     if n_hot:
+        hot = checkpointed(_hot(counts, keys, limit, pair_limit))
         placed = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
         left = _in_parts(left, placed, keys, left_id, "left", "right")
         right = _in_parts(right, placed, keys, right_id, "right", "left").drop("_beyond")
@@ -104,7 +114,6 @@ def salted_join(
         left = left.drop("_beyond")
         by += ["_left_part", "_right_part"]
     if pairs_per_task is not None:
-        pairs = counts.agg(F.sum(F.col("l").cast("double") * F.col("r"))).first()[0] or 0
         tasks = max(1, math.ceil(pairs / pairs_per_task))
         left, right = left.repartition(tasks, *by), right.repartition(tasks, *by)
     right = right.withColumnsRenamed({name: f"_r{name}" for name in by})

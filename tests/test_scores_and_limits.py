@@ -1,5 +1,6 @@
 """Rounding of saved scores, hot cells by pairs, taxonomies of any size, p-values, checkpoints."""
 
+import collections
 import gc
 import glob
 import math
@@ -14,7 +15,7 @@ from streetloom import schemas
 from streetloom.dimensions import default_affinity, inline_table, taxonomy_frame
 from streetloom.functions.categories import map_taxonomy
 from streetloom.functions.rounding import half_even
-from streetloom.operators import matching, reports
+from streetloom.operators import fuzzy, matching, reports
 from streetloom.operators.radius import radius_join
 from streetloom.operators.skew import hot_keys
 from streetloom.operators.taxonomy import categorize, categorize_by_table
@@ -130,3 +131,23 @@ def test_checkpoints_go_with_their_dataframes(spark):
             return
         time.sleep(0.25)
     raise AssertionError("no checkpoint folder was removed")
+
+
+def test_character_pairs_are_numbered_by_occurrence(spark):
+    rng = random.Random(1)
+    texts = ["", "a", "aaaa", "abab", "é北x"] + ["".join(rng.choices("ab c", k=rng.randrange(1, 40))) for _ in range(60)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    for row in frame.select("t", fuzzy._character_pairs(F.col("t")).alias("pairs")).collect():
+        padded = f"\x02{row.t}\x03"
+        counts = collections.Counter(padded[at : at + 2] for at in range(len(padded) - 1))
+        assert sorted(row.pairs) == sorted(f"{pair}{n + 1}" for pair, times in counts.items() for n in range(times))
+
+
+@pytest.mark.parametrize("alphabet", ["a", "abcdefgh ij", "".join(map(chr, range(0x4E00, 0x9000)))])
+def test_character_pairs_of_a_very_long_text(spark, alphabet):
+    text = "".join(random.Random(2).choices(alphabet, k=100_000))
+    frame = spark.createDataFrame([(text,)], "t string")
+    start = time.perf_counter()
+    pairs = fuzzy._character_pairs(F.col("t"))
+    assert tuple(frame.select(F.size(pairs), F.size(F.array_distinct(pairs))).first()) == (100_001, 100_001)
+    assert time.perf_counter() - start < 30  # quadratic work took minutes
