@@ -363,6 +363,8 @@ _SQL = {
     "scan_jsonl": "select * replace (cast(o_orderdate as varchar) as o_orderdate) from orders",
     "scan_jsonl_project": "select review_id, business_id, text, date from @role reviews_raw@",
     "scan_csv": "select review_id, business_id, stars, text, date, useful from @role reviews_raw@",
+    "sink_sorted": """with @pairs@ select row_number() over (order by service_request_id, match_rank) as position,
+        service_request_id, match_rank, business_id from pairs""",
     "scan_csv_dir": """select objectid, service_request_id, subject, status_notes, service_name, service_code,
         agency_responsible, requested_datetime, address, zipcode, lat, lon from @role requests_raw@
         union all values (-1, -1, 'x', 'x', 'x', 'x', 'x', 'x', 'x', 'x', 1.5e0, 2.5e0),
@@ -498,6 +500,8 @@ _SQL = {
     "map_center": "select round(avg(lat), 6) as lat, round(avg(lon), 6) as lon from @role requests_raw@",
     "chi_square_zip": f"""with {_CELLS}
         select round(statistic, 4) as statistic, degrees, n from tested""",
+    "chi_square_all": f"""with {_CELLS.replace("join", "left join", 1).replace("select request_group, zipcode from", "select coalesce(request_group, 'ungrouped') as request_group, zipcode from", 1)}
+        select round(statistic, 4) as statistic, degrees, n from tested""",
     # with an even number of degrees the tail is a finite sum
     "chi_square_test": f"""with {_CELLS}
         select round((select sum(exp(j * ln(statistic / 2) - statistic / 2 - lgamma(j + 1))) from range(0, degrees // 2) as t(j)), 4) as p_value,

@@ -26,6 +26,7 @@ from streetloom.plans import integration, requests, reviews
 from streetloom.session import checkpointed, scratch_path
 from streetloom.sources.writers import CSV_OPTIONS
 from streetloom.sources import (
+    in_file_order,
     read_csv,
     read_csv_positional,
     read_jsonl,
@@ -33,6 +34,7 @@ from streetloom.sources import (
     write_by_radius,
     write_csv,
     write_metrics,
+    write_parquet,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,6 +149,15 @@ def scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schemas.REVIEW_RAW)
 
 
+@register
+def sink_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The integrated table sorted at the sink, and each row's place in the part files read one after the other."""
+    path = scratch_path(spark, "sorted")
+    order = ["service_request_id", "match_rank"]
+    write_parquet(_pairs(spark, sf_dir).select(*order, "business_id"), path, order_by=order)
+    return in_file_order(spark, path, "position").select("position", *order, "business_id")
+
+
 @register
 def scan_csv_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "requests-csv")
@@ -578,6 +589,13 @@ def chi_square_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({name: F.round(name, 4) for name in ("p_value", "statistic")})
 
 
+@register
+def chi_square_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All requests with a ZIP take part; types without a group are a group of their own."""
+    found = reports.chi_square(reports.with_group(role(spark, sf_dir, "requests"), _request_groups(spark)), "request_group", "zipcode")
+    return found.withColumn("statistic", F.round("statistic", 4))
+
+
 def _grouped_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = _request_groups(spark).withColumnRenamed("service_name", "kind")
     return role(spark, sf_dir, "requests").join(groups, F.lower("service_name") == F.col("kind"))

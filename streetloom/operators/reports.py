@@ -213,19 +213,26 @@ def chi_square_test(df: DataFrame, row: str, column: str) -> DataFrame:
     return tested.select(chi_square_tail(F.col("statistic"), F.col("degrees")).alias("p_value"), "degrees", "statistic")
 
 
+UNGROUPED = "ungrouped"
+
+
+def with_group(df: DataFrame, groups: DataFrame, kind: str = "service_name") -> DataFrame:
+    """Add ``request_group`` to every row; types without a group, and rows without a type, are ``ungrouped``.
+
+    ``groups`` is (service_name, request_group), one row for each lower-case type.
+    """
+    named = groups.select(F.col("service_name").alias("_kind"), F.col("request_group").alias("_group"))
+    joined = df.join(named, F.lower(kind) == F.col("_kind"), "left")
+    return joined.withColumn("request_group", F.coalesce("_group", F.lit(UNGROUPED))).drop("_kind", "_group")
+
+
 def group_share(df: DataFrame, groups: DataFrame, kind: str = "service_name") -> DataFrame:
     """Rows and percentage of all rows per request group; ``groups`` is (service_name, request_group).
 
     Types without a group, and rows without a type, are counted as ``ungrouped``.
     """
-    named = groups.select(F.col("service_name").alias("_kind"), "request_group")
-    counted = (
-        df.groupBy(F.lower(kind).alias("_kind"))
-        .agg(F.count("*").alias("n"))
-        .join(named, "_kind", "left")
-        .groupBy(F.coalesce("request_group", F.lit("ungrouped")).alias("request_group"))
-        .agg(F.sum("n").alias("n"))
-    )
+    kinds = df.groupBy(F.lower(kind).alias("kind")).agg(F.count("*").alias("n"))
+    counted = with_group(kinds, groups, "kind").groupBy("request_group").agg(F.sum("n").alias("n"))
     total = counted.agg(F.sum("n")).scalar()
     return counted.select("request_group", "n", (100 * F.col("n") / total).alias("pct"))
 

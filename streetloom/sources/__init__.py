@@ -1,4 +1,5 @@
 from streetloom.sources.readers import (
+    in_file_order,
     read_csv,
     read_csv_positional,
     read_jsonl,
@@ -9,6 +10,7 @@ from streetloom.sources.readers import (
 from streetloom.sources.writers import write_by_radius, write_csv, write_metrics, write_parquet
 
 __all__ = [
+    "in_file_order",
     "read_csv",
     "read_csv_positional",
     "read_jsonl",
