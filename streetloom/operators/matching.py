@@ -13,6 +13,15 @@ from streetloom.operators.ranking import number_rows, number_rows_by_ranges
 from streetloom.session import checkpointed
 
 
+def with_affinity_key(df: DataFrame, affinity: DataFrame, kind: str = "service_name", key: str = "affinity_key") -> DataFrame:
+    """Add ``key``, under which the affinity table has the row's kind: in lower case, or as written where the table
+    has that writing and lacks the lower case."""
+    known = affinity.select(F.col("service_name").alias("_raw")).distinct()
+    written = known.join(known.withColumnRenamed("_raw", "_known"), F.lower("_raw") == F.col("_known"), "left_anti")
+    joined = df.join(written, F.col(kind) == F.col("_raw"), "left")
+    return joined.withColumn(key, F.coalesce("_raw", F.lower(kind))).drop("_raw")
+
+
 def with_affinity(
     df: DataFrame,
     affinity: DataFrame,
@@ -23,30 +32,16 @@ def with_affinity(
     """Add ``affinity``: score of (lower-cased kind, category), 0.0 where the table has none.
 
     ``affinity`` (service_name, category, score) has one row per pair. With ``raw_keys`` a kind that the
-    table lacks in lower case is also looked up as written.
+    table lacks in lower case is also looked up as written; rows that have an ``affinity_key`` are looked up by it alone.
     """
-    lowered = affinity.select(
+    if raw_keys and "affinity_key" not in df.columns:
+        return with_affinity(with_affinity_key(df, affinity, kind), affinity, kind, category, True).drop("affinity_key")
+    scores = affinity.select(
         F.col("service_name").alias("_kind"), F.col("category").alias("_category"), F.col("score").alias("_score")
     )
-    joined = df.join(
-        lowered,
-        (F.lower(F.col(kind)) == F.col("_kind")) & (F.col(category) == F.col("_category")),
-        "left",
-    ).drop("_kind", "_category")
-    if not raw_keys:
-        return joined.withColumn("affinity", F.coalesce("_score", F.lit(0.0))).drop("_score")
-    known = affinity.select(F.col("service_name").alias("_known")).distinct()
-    written = affinity.select(
-        F.col("service_name").alias("_raw"), F.col("category").alias("_raw_category"),
-        F.col("score").alias("_raw_score"),
-    ).join(known, F.lower("_raw") == F.col("_known"), "left_anti")
-    return (
-        joined.join(
-            written, (F.col(kind) == F.col("_raw")) & (F.col(category) == F.col("_raw_category")), "left"
-        )
-        .withColumn("affinity", F.coalesce("_score", "_raw_score", F.lit(0.0)))
-        .drop("_score", "_raw", "_raw_category", "_raw_score")
-    )
+    key = F.col("affinity_key") if raw_keys else F.lower(F.col(kind))
+    joined = df.join(scores, (key == F.col("_kind")) & (F.col(category) == F.col("_category")), "left")
+    return joined.withColumn("affinity", F.coalesce("_score", F.lit(0.0))).drop("_kind", "_category", "_score")
 
 
 def affinity_coverage(df: DataFrame, affinity: DataFrame, kind: str = "service_name") -> DataFrame:
@@ -76,7 +71,7 @@ def score_pairs(
 
     Distance is rounded to 2 places, proximity comes from it and the hybrid score from the rounded parts,
     each with 4 places, halves to even. A request type that the affinity table lacks in lower case is looked up
-    as written. Missing labels become ``unknown``. ``distance`` stays for ranking.
+    as written; pairs that carry an ``affinity_key`` save that step. Missing labels become ``unknown``. ``distance`` stays for ranking.
     """
     labelled = pairs.na.fill(UNKNOWN, subset=["service_name", "primary_category"])
     hybrid = hybrid_score(F.col("proximity_score"), F.col("category_similarity"), geo_weight, cat_weight)
@@ -86,7 +81,7 @@ def score_pairs(
         .withColumn("proximity_score", half_even(proximity_score(F.col("distance_m"), radius_m), 4))
         .withColumn("category_similarity", half_even(F.col("affinity"), 4))
         .withColumn("hybrid_score", half_even(hybrid, 4))
-        .drop("affinity")
+        .drop("affinity", "affinity_key")
     )
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streetloom.fixed_values import CAT_WEIGHT, GEO_WEIGHT, RADIUS_M
-from streetloom.operators.matching import rank_matches, score_pairs
+from streetloom.fixed_values import CAT_WEIGHT, GEO_WEIGHT, RADIUS_M, UNKNOWN
+from streetloom.operators.matching import rank_matches, score_pairs, with_affinity_key
 from streetloom.operators.radius import HOT_CELL_ROWS, radius_join
 
 REQUEST_SIDE = {
@@ -64,9 +64,10 @@ def _scored(
     cat_weight: float,
     hot_cell_rows: int | None,
 ) -> DataFrame:
-    """Scored pairs, with the flag ``wide`` if some cell is hot."""
+    """Scored pairs, with the flag ``wide`` if some cell is hot. The affinity key is found once for each request."""
+    asked = with_affinity_key(_side(requests, REQUEST_SIDE).na.fill(UNKNOWN, subset=["service_name"]), affinity)
     pairs = radius_join(
-        _side(requests, REQUEST_SIDE),
+        asked,
         _side(businesses, BUSINESS_SIDE),
         radius_m,
         left_at=("lat_request", "lon_request"),
