@@ -52,11 +52,12 @@ _EXPRESSIONS = {
     "access": "AKIA[A-Z0-9]+",
     "github": "gh[pousr]_([0-9A-Za-z]{36})(?![0-9A-Za-z])",
     "npm": "npm_([0-9A-Za-z]{36})(?![0-9A-Za-z])",
-    "jwt": r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*",
+    "jwt": r"(eyJ[A-Za-z0-9_-]++)\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]*",
     "pem": r"-----BEGIN ([A-Z ]*)PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END \1PRIVATE KEY-----",
 }
 _PATTERNS = {kind: re.compile(pattern, re.ASCII) for kind, pattern in _EXPRESSIONS.items()}
 _HEX = re.compile("[0-9a-f]{32,}")
+_JWT_RUN = re.compile("[A-Za-z0-9_-]+")
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -115,6 +116,8 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
             ends[kind] = match.end()
             if _holds(kind, match):
                 spans.append((start, match.end(), kind))
+        elif kind == "jwt":  # what follows the run decides, so no later hit in it can match
+            ends[kind] = _JWT_RUN.match(text, start).end()
     spans += [(m.start(), m.end(), "hex") for m in _HEX.finditer(text)]
     return sorted(spans, key=lambda s: (s[0], _ORDER[s[2]]))
 

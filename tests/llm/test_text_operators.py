@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 import re
 
 import numpy as np
@@ -336,3 +337,17 @@ def test_pii_plan_is_native_and_odd_tables_work(spark, odd_docs, no_docs):
     assert pii.find_pii(no_docs).count() == 0
     row = spark.createDataFrame([("x a@b.example y", [("email", 2, 13)])], "t string, s array<struct<kind:string,start:int,end:int>>")
     assert row.select(pii.redact(F.col("t"), F.col("s"))).first()[0] == "x [EMAIL] y"
+
+
+@pytest.mark.parametrize("text", ["eyJ" * 350_000, "eyJa." * 200_000, "eyJa.b" + "eyJ" * 300_000, "-----BEGIN " * 100_000, "token " * 170_000])
+def test_secret_scan_of_adversarial_texts_is_linear(text):
+    start = time.perf_counter()
+    secrets.find_secrets(text)
+    assert time.perf_counter() - start < 10
+
+
+def test_failed_runs_do_not_hide_secrets():
+    token = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxIn0.c2ln"
+    for text in (f"eyJx {token}", f"eyJeyJ,{token}", f"eyJ.{token}", f"eyJa.eyJb {token}"):
+        at = text.index(token)
+        assert (at, at + len(token), "jwt") in secrets.find_secrets(text), text
