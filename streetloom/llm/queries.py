@@ -107,11 +107,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "warc")
-    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), f"{folder}/archives")
-    records = checkpointed(warc.read_archives(spark, f"{folder}/archives"))
-    warc.write_index(records, f"{folder}/index")
-    listed = warc.read_index(spark, f"{folder}/index").select("archive", "offset")
-    return records.join(listed, ["archive", "offset"]).select(
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    warc.write_archives(pages, f"{folder}/archives")
+    warc.write_index(warc.read_archives(spark, f"{folder}/archives"), f"{folder}/index")
+    captures = warc.look_up(spark, f"{folder}/index", pages)
+    return warc.read_records(spark, captures, f"{folder}/archives").select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

@@ -8,7 +8,8 @@ The index has one line for each capture, ``key json``, sorted by key: the URL wi
 (``org,example)/path``), so that captures of a site lie together. Lines are packed into gzip blocks of
 ``BLOCK_LINES``, written by the same sink; a sparse directory keeps the first key, file and place of each block. A
 lookup searches the directory by halving, reads the one or few blocks that may hold the key, and then
-only the records' byte ranges.
+only the records' byte ranges: for one url by seeking from the driver (``CaptureIndex``), for a table of urls in tasks
+(``look_up``, ``read_records``), where the directory is searched in parts of at most ``DIRECTORY_ROWS`` blocks.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes the one with the smallest page id is a response, the
 others are revisits that refer to it and hold no payload. Defined results: a null html is the empty payload;
@@ -23,7 +24,7 @@ import hashlib
 import json
 import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote, urlsplit
 
@@ -37,7 +38,9 @@ from streetloom.session import checkpointed
 MIN_REVISIT = 100
 BLOCK_LINES = 1000
 ARCHIVE_RECORDS = 20_000  # at most, of one archive file
-MAX_DIRECTORY = 2_000_000  # blocks that a lookup searches on the driver
+ARCHIVE_BYTES, MOST_BYTES = 64 << 20, 1 << 30  # of payloads in an archive file: about, and at most
+DIRECTORY_ROWS = 500_000  # blocks of a directory part that tasks search
+MAX_BROADCAST_RANGES = 2_000_000  # records whose ranges go to the archives, rather than the archives to them
 MAX_BROADCAST_DIGESTS = 1_000_000
 DATE = "1970-01-01T00:00:00Z"  # of all records, unless the caller gives one
 _EMPTY_MEMBER = "\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
@@ -174,7 +177,9 @@ def write_archives(
         ]
         return pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], ["member"])
 
-    _write_members(map_batches(placed, work, "member binary"), path, ARCHIVE_RECORDS)
+    mean, most = read.agg(F.avg(F.octet_length("html")), F.max(F.octet_length("html"))).first()
+    per_file = min(ARCHIVE_RECORDS, ARCHIVE_BYTES // int(mean or 1) if mean else ARCHIVE_RECORDS, MOST_BYTES // max(most or 1, 1))
+    _write_members(map_batches(placed, work, "member binary"), path, max(1, per_file))
 
 
 def _names(fields: str) -> list[str]:
@@ -264,6 +269,88 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return map_batches(_members_of(spark, f"{path}/blocks"), work, _ENTRY)
 
 
+def _directory_parts(directory: DataFrame) -> Iterator[tuple[list[tuple], str | None]]:
+    """Rows (first_key, file, offset, length) in order, in parts of about ``DIRECTORY_ROWS``, and the key that the next
+    part begins with."""
+    rows = directory.select("first_key", "file", "offset", "length")
+    parts = -(-rows.count() // DIRECTORY_ROWS)
+    if parts <= 1:
+        yield sorted(tuple(r) for r in rows.collect()), None
+        return
+    ranged = checkpointed(rows.repartitionByRange(parts, *rows.columns).withColumn("part", F.spark_partition_id()))
+    begins = sorted((r["first"], r["part"]) for r in ranged.groupBy("part").agg(F.min("first_key").alias("first")).collect())
+    for (_, part), after in zip(begins, [*begins[1:], (None, None)], strict=True):
+        yield sorted(tuple(r) for r in ranged.where(F.col("part") == part).select(*rows.columns).collect()), after[0]
+
+
+def _wanted_blocks(keys: DataFrame, blocks: list[tuple]) -> dict[str, list[tuple[int, int]]]:
+    """Places, by file, of the blocks that may hold a key: from the one before the first that begins with it."""
+    shared = keys.sparkSession.sparkContext.broadcast([b[0] for b in blocks])
+
+    def search(batch: pa.RecordBatch) -> pa.RecordBatch:
+        firsts, found = shared.value, set()
+        for key in batch.column("key").to_pylist():
+            found.update(range(max(0, bisect_left(firsts, key) - 1), bisect_right(firsts, key)))
+        return pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int64())], ["block"])
+
+    places: dict[str, list[tuple[int, int]]] = {}
+    for row in map_batches(keys, search, "block bigint").distinct().collect():  # no more than the part has
+        _, file, offset, length = blocks[row["block"]]
+        places.setdefault(file, []).append((offset, length))
+    return places
+
+
+def look_up(spark: SparkSession, path: str, urls: DataFrame, url: str = "url") -> DataFrame:
+    """Index entries of all captures of the urls, each once, however often a url is asked. Searches when called."""
+
+    def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column("url").to_pylist()], pa.string())], ["key"])
+
+    keys = checkpointed(map_batches(urls.select(F.col(url).alias("url")), keyed, "key string").distinct())
+    types = pa.schema([(f.split()[0], pa.string() if f.endswith("string") else pa.int64()) for f in _ENTRY.split(", ")])
+
+    def read(shared) -> DataFrame:
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            rows = []
+            for file, content in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
+                view = memoryview(content.as_buffer())
+                for offset, length in shared.value.get(file, ()):
+                    rows += _entries(zlib.decompress(view[offset : offset + length], 31))
+            return pa.RecordBatch.from_pylist(rows, types)
+
+        return map_batches(_members_of(spark, f"{path}/blocks"), work, _ENTRY)
+
+    found = None
+    for blocks, after in _directory_parts(spark.read.parquet(f"{path}/directory")):
+        own = F.col("key") >= (blocks[0][0] if blocks else "")
+        places = _wanted_blocks(keys.where(own if after is None else own & (F.col("key") <= after)), blocks)
+        part = read(spark.sparkContext.broadcast(places))
+        found = part if found is None else found.unionByName(part)
+    return checkpointed(found.join(keys, "key", "left_semi"))
+
+
+def read_records(spark: SparkSession, captures: DataFrame, path: str) -> DataFrame:
+    """Place and fields of the records that index entries name, read by their byte ranges alone."""
+    names = _names(_FIELDS)
+    types = pa.schema([(f.split()[0], pa.string() if f.endswith("string") else pa.int64()) for f in _FIELDS.split(", ")])
+    place = F.struct("offset", "length")
+    ranges = captures.groupBy("archive").agg(F.array_sort(F.collect_list(place)).alias("ranges"))  # records of one archive
+    if captures.count() <= MAX_BROADCAST_RANGES:
+        ranges = F.broadcast(ranges)
+    files = _members_of(spark, path).join(ranges, F.col("file") == F.col("archive")).select("file", "content", "ranges")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for file, content, places in zip(batch.column("file").to_pylist(), batch.column("content"), batch.column("ranges").to_pylist(), strict=True):
+            view = memoryview(content.as_buffer())
+            for at in places:
+                found = parse_record(zlib.decompress(view[at["offset"] : at["offset"] + at["length"]], 31))
+                rows.append({"archive": file, **at, **{n: found[n] for n in names[3:]}})
+        return pa.RecordBatch.from_pylist(rows, types)
+
+    return map_batches(files, work, _FIELDS)
+
+
 def read_range(spark: SparkSession, file: str, offset: int, length: int) -> bytes:
     """One byte range of a file on any file system that Spark knows."""
     place = spark._jvm.org.apache.hadoop.fs.Path(file)
@@ -276,24 +363,20 @@ def read_range(spark: SparkSession, file: str, offset: int, length: int) -> byte
 
 
 class CaptureIndex:
-    """Lookups by url: the directory is held sorted, blocks and records are read by range."""
+    """Lookups of single urls from the driver: the directory is searched where it lies, blocks and records are read by range."""
 
     def __init__(self, spark: SparkSession, path: str):
-        directory = spark.read.parquet(f"{path}/directory")
-        if directory.count() > MAX_DIRECTORY:
-            raise ValueError("the directory is too large for lookups from the driver; filter read_index instead")
         self.spark = spark
-        self.blocks = sorted(tuple(r) for r in directory.select("first_key", "file", "offset", "length").collect())
-        self.first_keys = [b[0] for b in self.blocks]
+        self.directory = spark.read.parquet(f"{path}/directory")
 
     def captures(self, url: str | None) -> list[dict]:
         """Index entries of one url, in the order of the index."""
         key, found = url_key(url), []
-        # the block before the first that starts with the key may end with it
-        for at in range(max(0, bisect_left(self.first_keys, key) - 1), len(self.blocks)):
-            first, file, offset, length = self.blocks[at]
-            if first > key:
-                break
+        # the last block that begins before the key may end with it
+        before = self.directory.where(F.col("first_key") < key).agg(F.max(F.struct("first_key", "file", "offset", "length")).alias("last"))
+        blocks = [tuple(r["last"]) for r in before.collect() if r["last"]]
+        blocks += [tuple(r) for r in self.directory.where(F.col("first_key") == key).select("first_key", "file", "offset", "length").collect()]
+        for _, file, offset, length in blocks:
             body = zlib.decompress(read_range(self.spark, file, offset, length), 31)
             found += [e for e in _entries(body) if e["key"] == key]
         return sorted(found, key=lambda e: (e["archive"], e["offset"]))

@@ -310,6 +310,36 @@ def test_index_finds_every_capture(spark, archive):
     assert index.captures("http://nowhere.example/") == []
 
 
+@pytest.mark.parametrize(("rows", "ranges"), [(500_000, 2_000_000), (2, 2_000_000), (1, 0)])
+def test_table_of_urls_is_looked_up_through_the_directory(spark, archive, monkeypatch, rows, ranges):
+    monkeypatch.setattr(warc, "DIRECTORY_ROWS", rows)
+    monkeypatch.setattr(warc, "MAX_BROADCAST_RANGES", ranges)
+    for asked in ([p[1] for p in PAGES], [PAGES[0][1], PAGES[0][1], "http://nowhere.example/"], [None], ["http://nowhere.example/"]):
+        urls = spark.createDataFrame([(u, "clash") for u in asked], "url string, key string")
+        captures = warc.look_up(spark, f"{archive}/index", urls)
+        found = warc.read_records(spark, captures, f"{archive}/archives").collect()
+        want = collections.Counter(p[0] for p in PAGES if warc.url_key(p[1]) in {warc.url_key(u) for u in asked})
+        assert collections.Counter(r["page_id"] for r in found) == want
+        every = {(r["archive"], r["offset"]): r for r in warc.read_archives(spark, f"{archive}/archives").collect()}
+        assert all(every[(r["archive"], r["offset"])] == r for r in found)
+
+
+def test_a_wrong_directory_shows(spark, archive):
+    """Rows come through the directory: an entry that is lost loses rows, one that points elsewhere fails."""
+    folder = scratch_path(spark, "warc-wrong")
+    warc.write_index(warc.read_archives(spark, f"{archive}/archives"), folder, block_lines=2)
+    urls = spark.createDataFrame([(p[1],) for p in PAGES], "url string")
+    entries = spark.read.parquet(f"{folder}/directory").collect()
+    assert len(entries) > 2 and warc.look_up(spark, folder, urls).count() == len(PAGES)
+    columns = "first_key string, file string, offset bigint, length bigint"
+    spark.createDataFrame(sorted(entries)[:-1], columns).write.mode("overwrite").parquet(f"{folder}/directory")
+    assert warc.look_up(spark, folder, urls).count() < len(PAGES)
+    moved = [(e["first_key"], e["file"], e["offset"] + 1, e["length"]) for e in entries]
+    spark.createDataFrame(moved, columns).write.mode("overwrite").parquet(f"{folder}/directory")
+    with pytest.raises(Exception, match="incorrect header"):
+        warc.look_up(spark, folder, urls)
+
+
 def test_empty_archives(spark):
     folder = scratch_path(spark, "warc-empty")
     warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), f"{folder}/archives")
@@ -318,6 +348,8 @@ def test_empty_archives(spark):
     warc.write_index(records, f"{folder}/index")
     assert warc.read_index(spark, f"{folder}/index").count() == 0
     assert warc.CaptureIndex(spark, f"{folder}/index").captures("http://a.example/") == []
+    urls = spark.createDataFrame([("http://a.example/",)], "url string")
+    assert warc.read_records(spark, warc.look_up(spark, f"{folder}/index", urls), f"{folder}/archives").count() == 0
 
 
 def test_key_order_keeps_a_site_together():
