@@ -10,7 +10,7 @@ unlabelled texts outside, over the share of positives outside, bounds the prior
 bound, with a standard error added for the draw's size, is taken. The texts are ordered by
 models fitted on one half of the draws and read on the other, first with prior one half, then with the estimate.
 
-Both draws are bounded: at most ``MAX_DRAW`` rows each, by the hash of the id. They become a few counts for
+Both draws are bounded: at most ``MAX_DRAW`` rows each, by a hash of id and text. They become a few counts for
 each text on the executors, and only these reach the driver, where the small additive model is fitted: each measure
 is cut at its quantiles, each piece has a weight. Every whole text is then scored.
 
@@ -166,24 +166,30 @@ def _measured(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
     return map_batches(docs.select(*keys, "_text"), work, f"{column_schema(docs.select(*keys))}, values array<double>")
 
 
-def draw(doc_id: Column, rows: Column | int) -> Column:
-    """Whether the hash of the id puts a row among about ``MAX_DRAW`` of ``rows``."""
-    return F.pmod(F.xxhash64(doc_id), F.lit(_SPAN)) < F.lit(float(_SPAN)) * MAX_DRAW / F.greatest(F.lit(rows), F.lit(1))
+def draw(key: Column, rows: int) -> Column:
+    """Whether a hash puts a row among about ``MAX_DRAW`` of ``rows``."""
+    return F.pmod(key, F.lit(_SPAN)) < F.lit(float(_SPAN)) * MAX_DRAW / F.greatest(F.lit(rows), F.lit(1))
+
+
+def _drawn(texts: DataFrame) -> np.ndarray:
+    """Measures of the ``MAX_DRAW`` rows with the smallest ``_key``; each task hands on no more than that."""
+    rows = _measured(texts.select("_key", "_text"), ["_key"]).orderBy("_key").limit(MAX_DRAW).select("values").toPandas()
+    return np.array(rows["values"].tolist(), float).reshape(-1, len(MEASURES))
 
 
 def train(docs: DataFrame, labels: DataFrame, may_learn: Column, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> QualityModel:
-    """Fit on the rows of which ``may_learn``, an expression of the id, is true."""
+    """Fit on the rows of which ``may_learn``, an expression of the id, is true.
+
+    Rows are drawn by a hash of id and text, so rows without an id are drawn like others; rows with equal id and text
+    are drawn together, but never more than ``MAX_DRAW`` rows of a kind.
+    """
     good = labels.groupBy(F.col(doc_id).alias(doc_id)).agg(F.min(F.coalesce(quality, F.lit(0))).alias("_good"))
     good = good.where("_good = 1").where(may_learn).select(F.col(doc_id).alias("_id"))
-    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), may_learn.alias("_may"))
-    n_good, n_web = good.count(), texts.where("_may").count()
-    good = good.where(draw(F.col("_id"), n_good)).select("_id", F.lit(True).alias("_good"))
-    marked = texts.where("_may").join(F.broadcast(good), "_id", "left")  # at most about MAX_DRAW ids
-    marked = marked.select("_text", F.coalesce("_good", F.lit(False)).alias("good"), draw(F.col("_id"), n_web).alias("web"))
-    rows = _measured(marked.where("good or web"), ["good", "web"]).toPandas()
-    values = np.array(rows["values"].tolist(), float).reshape(-1, len(MEASURES))
-    is_good, is_web = rows["good"].to_numpy(bool), rows["web"].to_numpy(bool)
-    return fit(values[is_good][:MAX_DRAW], values[is_web][:MAX_DRAW])
+    texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), may_learn.alias("_may")).where("_may")
+    texts = texts.withColumn("_key", F.xxhash64("_id", "_text"))
+    n_good, n_web = good.count(), texts.count()
+    few = good.where(draw(F.xxhash64("_id"), n_good))  # about MAX_DRAW ids
+    return fit(_drawn(texts.join(F.broadcast(few), "_id", "left_semi")), _drawn(texts.where(draw(F.col("_key"), n_web))))
 
 
 def score(docs: DataFrame, model: QualityModel, keys: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
