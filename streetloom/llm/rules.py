@@ -29,6 +29,7 @@ CONFIDENCE = 0.05
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
+MAX_BROADCAST_IDS = 1_000_000  # of good texts
 MAX_BROADCAST_STRATA = 10_000  # rows of the table of cutoffs that may be broadcast
 
 # cutoffs from lax to strict; a text is rejected when its measure is larger
@@ -139,6 +140,12 @@ def measure(docs: DataFrame, text: str = "text", stratum: str = "lang", carry: S
     )
 
 
+def _good(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """Ids (``_id``) that every label calls good."""
+    worst = labels.groupBy(F.col(doc_id).alias("_id")).agg(F.min(F.coalesce(quality, F.lit(0))).alias("_good"))
+    return worst.where("_good = 1").select("_id")
+
+
 def fit_cutoffs(
     measured: DataFrame,
     labels: DataFrame,
@@ -148,12 +155,7 @@ def fit_cutoffs(
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
     """Certified cutoff of each rule (null: none) by ``_stratum``, from measured rows that carry ``doc_id``."""
-    good = (
-        labels.groupBy(F.col(doc_id).alias("_id"))
-        .agg(F.min(F.coalesce(quality, F.lit(0))).alias("_good"))
-        .where("_good = 1")
-        .select("_id")
-    )
+    good = _good(labels, doc_id, quality)
     held = measured.select(F.col("_row")[doc_id].alias("_id"), "_stratum", "_m").join(good, "_id", "left_semi")
     values = _rule_values(F.col("_m"))
     losses = [
@@ -195,10 +197,18 @@ def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     return judged.select("_row", "_m", failed.alias("base_failed"), kept.alias("kept"))
 
 
-def keep_documents(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns; labelled texts are measured twice."""
-    measured = measure(docs, text, stratum)
-    judged = judge(measured, fit_cutoffs(measured, labels)).select("_row", F.array("kept").alias("kept"))
+def keep_documents(docs: DataFrame, labels: DataFrame, text: str = "text", stratum: str = "lang", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that pass, with their own columns.
+
+    All texts are measured once for the verdicts, and those that are labelled good once more for the cutoffs; these are
+    found by a broadcast of the good ids behind a count, so no text is shuffled (beyond it all are measured twice).
+    """
+    good = checkpointed(_good(labels))
+    held = docs
+    if good.count() <= MAX_BROADCAST_IDS:
+        held = docs.join(F.broadcast(good), docs[doc_id] == good["_id"], "left_semi")
+    cutoffs = fit_cutoffs(measure(held, text, stratum, [doc_id]), labels, doc_id)
+    judged = judge(measure(docs, text, stratum), cutoffs).select("_row", F.array("kept").alias("kept"))
     # as a generated row: a filter on the column would be pushed down and measure every text again
     passed = judged.select("_row", F.explode("kept").alias("kept")).where("kept")
     return passed.select("_row.*")
