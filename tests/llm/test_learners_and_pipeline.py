@@ -135,3 +135,32 @@ def test_pipeline_drops_copies_by_five_words_and_80_percent(spark):
 
 def test_bands_and_agreement_follow_the_asked_similarity():
     assert [(t.bands, t.rows, t.agree) for t in (neardup.Terms(3, 85), neardup.Terms(5, 80))] == [(24, 5, 83), (30, 4, 75)]
+
+
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs, tmp_path):
+    for number, docs in enumerate((odd_docs, no_docs)):
+        docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+        columns, sizes = docs.columns, [docs.count()]
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{number}-{name}")
+            docs = spark.read.parquet(f"{tmp_path}/{number}-{name}")
+            sizes.append(docs.count())
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == columns
+        assert sizes == sorted(sizes, reverse=True)
+        if number == 0:
+            left = [r["doc_id"] for r in docs.collect()]
+            # one of two equal rows and one without an id stay; the long text repeats itself throughout
+            assert left.count(1) == 1 and None in left and 5 not in left
+
+
+def test_draw_of_rows_without_ids_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_DRAW", 40)
+    drawn = []
+    monkeypatch.setattr(quality, "fit", lambda good, web: drawn.append((len(good), len(web))))
+    rows = [(None, f"text number {k}") for k in range(900)] + [(k, f"good text {k}") for k in range(900)] + [(7, "the same")] * 900
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(900)], "doc_id long, quality int")
+    quality.train(docs, labels, F.coalesce(F.col("doc_id") >= 0, F.lit(True)))
+    quality.train(docs.where("doc_id is null"), labels, F.lit(True))
+    assert all(n <= 40 for pair in drawn for n in pair) and drawn[0][0] > 10 and drawn[1][0] == 0 and drawn[1][1] > 10
