@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -182,8 +183,11 @@ def _shards(batches: Iterator[pa.RecordBatch], corpus: tuple[int, int]) -> Itera
         yield shard()
 
 
-def _search_shards(rows: DataFrame, queries: Queries, weights: np.ndarray, corpus: tuple[int, int], k: int) -> DataFrame:
-    """The ``k`` best documents of each query in each task; a task's shards hand their k-th score on."""
+def _search_shards(
+    rows: DataFrame, queries: Queries, weights: np.ndarray, corpus: tuple[int, int], k: int
+) -> tuple[DataFrame, Broadcast]:
+    """The ``k`` best documents of each query in each task, and the broadcast of the queries; a task's shards hand their
+    k-th score on."""
     asked = [(t, weights[t] * r) for t, r in zip(queries.terms, queries.repeats, strict=True)]
     shared = rows.sparkSession.sparkContext.broadcast(asked)
 
@@ -204,20 +208,19 @@ def _search_shards(rows: DataFrame, queries: Queries, weights: np.ndarray, corpu
         yield pa.RecordBatch.from_arrays(columns, ["query", "doc_id", "score"])
         hand_back()
 
-    return rows.mapInArrow(run, _FOUND)
+    return rows.mapInArrow(run, _FOUND), shared
 
 
-def _query_blocks(queries: DataFrame, id: str, text: str) -> Iterator[list]:
-    """Rows (id, text) in blocks of at most about ``BLOCK_BYTES`` of text; only sizes are counted beforehand."""
+def _query_blocks(queries: DataFrame, id: str, text: str) -> tuple[int, Iterator[list]]:
+    """Number of blocks of at most about ``BLOCK_BYTES`` of text, and the rows (id, text) of each; only sizes are counted
+    beforehand."""
     rows = queries.select(F.col(id).alias("id"), F.col(text).alias("words")).where("words is not null")
     total = rows.agg(F.sum(F.octet_length("words") + 16)).first()[0] or 0
     if total <= BLOCK_BYTES:
-        yield rows.collect()
-        return
+        return 1, iter([rows.collect()])
     count = -(-total // BLOCK_BYTES) * 2  # half-filled, as dealing is uneven
     rows = checkpointed(rows.withColumn("part", F.pmod(F.xxhash64("words", F.monotonically_increasing_id()), F.lit(count))))
-    for number in range(count):
-        yield rows.where(F.col("part") == number).collect()
+    return count, (rows.where(F.col("part") == number).collect() for number in range(count))
 
 
 def rank_documents(
@@ -237,23 +240,26 @@ def rank_documents(
     ship(spark)
     picked = docs.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     named = queries.schema[query_id].dataType
-    parts = []
-    for block in _query_blocks(queries, query_id, query_text):
+    count, blocks = _query_blocks(queries, query_id, query_text)
+    path = scratch_path(spark, "ranked")
+    for block in blocks:
         asked = Queries([r["words"] for r in block])
-        path = scratch_path(spark, "terms")
-        _term_rows(picked, spark.sparkContext.broadcast(asked.numbers)).write.parquet(path)
-        rows = spark.read.schema(_TERMS).parquet(path)
-        corpus = rows.agg(F.count(F.when(F.col("n") > 0, 1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        documents, words = corpus[0], corpus[1]
+        terms = scratch_path(spark, "terms")
+        numbers = spark.sparkContext.broadcast(asked.numbers)
+        _term_rows(picked, numbers).write.parquet(terms)
+        numbers.destroy()
+        rows = spark.read.schema(_TERMS).parquet(terms)
+        documents, words = rows.agg(F.count(F.when(F.col("n") > 0, 1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         frequencies = _document_frequencies(rows, len(asked.numbers))
         weights = np.array([math.floor(1000 * math.log((2 * documents + 2) / (2 * f + 1))) for f in frequencies.tolist()], np.int64)
-        found = _search_shards(rows.where("n > 0"), asked, weights, (documents, max(words, 1)), k)
+        found, shared = _search_shards(rows.where("n > 0"), asked, weights, (documents, max(words, 1)), k)
         order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
         ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = spark.createDataFrame([(n, r["id"]) for n, r in enumerate(block)], f"query int, id {named.simpleString()}")
         joined = ranked.join(F.broadcast(names), "query")  # as many rows as the block has queries
-        parts.append(joined.select(F.col("id").alias(query_id), "rank", "doc_id", "score"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        result = joined.select(F.col("id").alias(query_id), "rank", "doc_id", "score")
+        if count == 1:
+            return result
+        result.write.mode("append").parquet(path)  # so that the queries of one block are broadcast at a time
+        shared.destroy()
+    return spark.read.schema(result.schema).parquet(path)

@@ -24,11 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streetloom.llm.common import hand_back, ship, sliced
+from streetloom.session import scratch_path
 
 SCALE = 256
 BLOCK_ELEMENTS = 1 << 20
@@ -225,16 +226,16 @@ class _Best:
             self.least = max(self.least, float(self.columns[0][-1]))
 
 
-def _query_blocks(queries: DataFrame) -> Iterator[list]:
-    """Queries in blocks of at most about ``QUERY_BYTES``; only sizes are counted beforehand."""
+def _query_blocks(queries: DataFrame) -> tuple[int, Iterator[list]]:
+    """Number of blocks of about ``QUERY_BYTES`` at most, and the queries of each; only sizes are counted beforehand."""
     size = queries.agg(F.sum(F.octet_length("vector") + 64)).first()[0] or 0
     count = -(-size // QUERY_BYTES) * 2 if size > QUERY_BYTES else 1  # half-filled, as hashing is uneven
     part = F.pmod(F.xxhash64("block", "position"), F.lit(count))
-    for number in range(count):
-        yield queries.where(part == number).collect()
+    return count, (queries.where(part == number).collect() for number in range(count))
 
 
-def _one_pass(index: DataFrame, rows: list, k: int) -> DataFrame:
+def _one_pass(index: DataFrame, rows: list, k: int) -> tuple[DataFrame, Broadcast]:
+    """What the tasks find for some queries, and the broadcast of these."""
     places = [(r["block"], r["position"], r["query_id"]) for r in rows]
     vectors = [np.frombuffer(r["vector"], np.int32) for r in rows]
     shared = index.sparkSession.sparkContext.broadcast((places, vectors))
@@ -262,7 +263,7 @@ def _one_pass(index: DataFrame, rows: list, k: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _FOUND.split(", ")])
         hand_back()
 
-    return index.mapInArrow(run, _FOUND)
+    return index.mapInArrow(run, _FOUND), shared
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -271,10 +272,16 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     ``queries`` has the columns of ``stored_vectors``; a query leaves out the row at its own place (block and
     position, null for a vector from outside). It is read when called, in blocks.
     """
-    found = None
-    for rows in _query_blocks(queries):
-        part = _one_pass(index, rows, k)
-        found = part if found is None else found.unionByName(part)
+    count, blocks = _query_blocks(queries)
+    if count == 1:
+        found, _ = _one_pass(index, next(blocks), k)
+    else:  # what a block of queries finds is written, so that one broadcast lives at a time
+        spark, path = index.sparkSession, scratch_path(index.sparkSession, "found")
+        for rows in blocks:
+            part, shared = _one_pass(index, rows, k)
+            part.write.mode("append").parquet(path)
+            shared.destroy()
+        found = spark.read.schema(_FOUND).parquet(path)
     asked = ["query_block", "query_position", "query_id"]
     order = [F.desc("score"), F.asc_nulls_last("vec_id"), "block", "position"]
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*asked).orderBy(*order)))

@@ -324,9 +324,11 @@ def look_up(spark: SparkSession, path: str, urls: DataFrame, url: str = "url") -
     for blocks, after in _directory_parts(spark.read.parquet(f"{path}/directory")):
         own = F.col("key") >= (blocks[0][0] if blocks else "")
         places = _wanted_blocks(keys.where(own if after is None else own & (F.col("key") <= after)), blocks)
-        part = read(spark.sparkContext.broadcast(places))
+        shared = spark.sparkContext.broadcast(places)
+        part = checkpointed(read(shared).join(keys, "key", "left_semi"))
+        shared.destroy()
         found = part if found is None else found.unionByName(part)
-    return checkpointed(found.join(keys, "key", "left_semi"))
+    return found
 
 
 def read_records(spark: SparkSession, captures: DataFrame, path: str) -> DataFrame:
