@@ -264,6 +264,31 @@ def test_ranks_do_not_depend_on_how_requests_are_cut(spark):
     assert all(sorted(ranks) == list(range(1, len(ranks) + 1)) for ranks in per_request.values())
 
 
+def test_ranks_of_ids_that_come_again_in_other_cells_or_are_null(spark):
+    rng = random.Random(5)
+    place = lambda: (40 + rng.random() / 100, -75 + rng.random() / 100)
+    requests = request_table(spark, [(rng.choice([1, 2, 3, None, 10 + i]), "salting", *place()) for i in range(40)])
+    businesses = business_table(spark, [(i, "Pets", *place()) for i in range(80)])
+    for hot in (None, 5, 1_000):
+        found = match_pairs(requests, businesses, default_affinity(spark), hot_cell_rows=hot).collect()
+        ranked = defaultdict(list)
+        for row in found:
+            ranked[row.service_request_id].append((-row.hybrid_score, row.distance_m, row.match_rank))
+        assert len(found) > 100 and None in ranked
+        for matches in ranked.values():
+            assert sorted(rank for *_, rank in matches) == list(range(1, len(matches) + 1))
+            by_rank = sorted(matches, key=lambda match: match[2])
+            assert [match[:2] for match in by_rank] == sorted(match[:2] for match in matches)
+
+
+def test_pairs_are_ranked_where_the_join_left_them(spark):
+    requests = request_table(spark, [(i, "salting", 40 + i / 1e4, -75.0) for i in range(50)])
+    businesses = business_table(spark, [(i, "Pets", 40 + i / 1e4, -75.0) for i in range(50)])
+    plan = match_pairs(requests, businesses, default_affinity(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(service_request_id" in line]
+
+
 def test_affinity_keys(spark):
     table = inline_table(spark, [("a", "P", 0.5), ("Raw", "P", 0.7), ("B", "P", 0.1), ("b", "Q", 0.2)], schemas.AFFINITY)
     df = spark.createDataFrame([("A", "P"), ("Raw", "P"), ("raw", "P"), ("B", "P"), (None, "P")], "service_name string, primary_category string")
