@@ -168,7 +168,9 @@ def csv_records(
     records = _cut(lines, opens, multi_line)
     unclosed = sorted({r["file"] for r in rows if not r["closed"]}) if multi_line else []
     if unclosed:
-        some = lines.where(F.col("file").isin(unclosed)) if len(unclosed) <= MANY else lines  # prunes files
+        # a condition on the file alone would prune files before they are split, and fewer files make other splits
+        named = F.when(F.col("value").isNotNull(), F.col("file")).isin(unclosed)
+        some = lines.where(named) if len(unclosed) <= MANY else lines
         crossing = checkpointed(_crossing(some, opens))
         records = records.where(F.col("kind") == WHOLE).drop("kind").unionByName(crossing)
     first = (F.col("start") == 0) & (F.col("number") == 0)

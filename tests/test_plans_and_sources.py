@@ -119,6 +119,22 @@ def test_one_record_over_many_splits_and_an_unclosed_quote(spark, tmp_path, smal
     assert got == {1: body, 2: "x", 3: "y", 4: "never\nclosed"}
 
 
+def test_splits_stay_where_only_some_files_have_crossing_records(spark, tmp_path):
+    """The size of splits comes from that of all files together."""
+    body = "\n".join(f"line {k}" for k in range(15_000))
+    (tmp_path / "a.csv").write_text(f'k,v\n1,"{body}"\n')
+    (tmp_path / "b.csv").write_text("k,v\n" + "".join(f"{k},plain\n" for k in range(2, 20_002)))
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1b")
+    try:
+        got = {r.k: r.v for r in read_csv(spark, str(tmp_path), schema).collect()}
+    finally:
+        spark.conf.set(name, before)
+    assert got == {1: body, **{k: "plain" for k in range(2, 20_002)}}
+
+
 def test_a_header_with_other_names_is_an_error(spark, tmp_path):
     (tmp_path / "a.csv").write_text("k,other\n1,2\n")
     schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.StringType())])
