@@ -13,18 +13,23 @@ from streetloom.dimensions import inline_table
 from streetloom.fixed_values import MONTHS
 
 
-def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """(value, n) per value of a column, nulls left out."""
+def _rows(weight: str | None) -> Column:
+    """Number of rows, or the sum of a column that says how many rows each stands for."""
+    return F.count("*") if weight is None else F.sum(weight)
+
+
+def value_counts(df: DataFrame, column: str, weight: str | None = None) -> DataFrame:
+    """(value, n) per value of a column, nulls left out; a row counts as often as ``weight`` says."""
     return (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("value"))
-        .agg(F.count("*").alias("n"))
+        .agg(_rows(weight).alias("n"))
     )
 
 
-def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
+def top_values(df: DataFrame, column: str, k: int, weight: str | None = None) -> DataFrame:
     """The k most frequent values; ties go to the smaller value."""
-    return value_counts(df, column).orderBy(F.desc("n"), "value").limit(k)
+    return value_counts(df, column, weight).orderBy(F.desc("n"), "value").limit(k)
 
 
 def month_name(col: Column) -> Column:
@@ -38,17 +43,20 @@ def calendar(spark: SparkSession) -> DataFrame:
     return inline_table(spark, list(enumerate(MONTHS, start=1)), schema)
 
 
-def monthly_counts(df: DataFrame, at: str = "requested_datetime", by_year: bool = False) -> DataFrame:
+def monthly_counts(
+    df: DataFrame, at: str = "requested_datetime", by_year: bool = False, weight: str | None = None
+) -> DataFrame:
     """Rows per month name, all years together, months without rows included.
 
     ``by_year`` counts (year, month) instead, without completion.
     """
-    stamped = df.select(F.col(at).try_cast("timestamp_ntz").alias("ts")).where("ts is not null")
+    kept = [] if weight is None else [weight]
+    stamped = df.select(F.col(at).try_cast("timestamp_ntz").alias("ts"), *kept).where("ts is not null")
     if by_year:
         return stamped.groupBy(
             F.year("ts").alias("year"), F.month("ts").alias("month_no"), F.date_format("ts", "MMMM").alias("month")
-        ).agg(F.count("*").alias("n"))
-    counted = stamped.groupBy(F.month("ts").alias("_no")).agg(F.count("*").alias("_n"))
+        ).agg(_rows(weight).alias("n"))
+    counted = stamped.groupBy(F.month("ts").alias("_no")).agg(_rows(weight).alias("_n"))
     return (
         calendar(df.sparkSession)
         .join(counted, F.col("month_no") == F.col("_no"), "left")
@@ -56,35 +64,40 @@ def monthly_counts(df: DataFrame, at: str = "requested_datetime", by_year: bool
     )
 
 
-def top_per_month(df: DataFrame, k: int = 5, kind: str = "service_name", at: str = "requested_datetime") -> DataFrame:
+def top_per_month(
+    df: DataFrame, k: int = 5, kind: str = "service_name", at: str = "requested_datetime", weight: str | None = None
+) -> DataFrame:
     """The k most frequent kinds of each month, with their rank; ties go to the smaller name."""
+    kept = [] if weight is None else [weight]
     counted = (
-        df.select(F.col(kind).alias("kind"), month_name(F.col(at)).alias("month"))
+        df.select(F.col(kind).alias("kind"), month_name(F.col(at)).alias("month"), *kept)
         .where("kind is not null and month is not null")
         .groupBy("month", "kind")
-        .agg(F.count("*").alias("n"))
+        .agg(_rows(weight).alias("n"))
     )
     place = F.row_number().over(Window.partitionBy("month").orderBy(F.desc("n"), "kind"))
     return counted.withColumn("place", place).where(F.col("place") <= k).withColumnRenamed("kind", kind)
 
 
-def top_pairings(df: DataFrame, k: int = 5) -> DataFrame:
+def top_pairings(df: DataFrame, k: int = 5, weight: str | None = None) -> DataFrame:
     """The k most frequent (request type, primary category) pairs."""
     return (
         df.where("service_name is not null and primary_category is not null")
         .groupBy("service_name", "primary_category")
-        .agg(F.count("*").alias("n"))
+        .agg(_rows(weight).alias("n"))
         .orderBy(F.desc("n"), "service_name", "primary_category")
         .limit(k)
     )
 
 
-def compare_groups(df: DataFrame, group: Column, kind: str = "service_name", k: int = 5) -> DataFrame:
+def compare_groups(
+    df: DataFrame, group: Column, kind: str = "service_name", k: int = 5, weight: str | None = None
+) -> DataFrame:
     """Rows per (kind, group) among the k most frequent kinds."""
     counted = (
         df.where(F.col(kind).isNotNull())
         .groupBy(kind, group.alias("business_group"))
-        .agg(F.count("*").alias("n"))
+        .agg(_rows(weight).alias("n"))
     )
     # the top kinds come from the counts, so the rows are read once
     top = (
@@ -102,8 +115,22 @@ def zip_density(
     request: str = "service_request_id",
     business: str = "business_id",
     distinct_requests: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Per ZIP: request rows (or distinct requests) and distinct businesses; rows without ZIP left out."""
+    """Per ZIP: request rows (or distinct requests) and distinct businesses; rows without ZIP left out.
+
+    With ``weight`` a row stands for so many; ``request`` may then be null where they have none, and must not be distinct.
+    """
+    if weight is not None:
+        if distinct_requests:
+            raise ValueError("rows that stand for many do not tell distinct requests")
+        # once for each business, then without them: no row is repeated for the distinct count
+        met = (
+            df.where(F.col(zip_column).isNotNull())
+            .groupBy(F.col(zip_column).alias("zipcode"), business)
+            .agg(F.coalesce(F.sum(F.when(F.col(request).isNotNull(), F.col(weight))), F.lit(0)).alias("_n"))
+        )
+        return met.groupBy("zipcode").agg(F.sum("_n").alias("request_count"), F.count(business).alias("business_count"))
     requests = F.count_distinct(request) if distinct_requests else F.count(request)
     return (
         df.where(F.col(zip_column).isNotNull())
