@@ -140,7 +140,15 @@ def zip_density(
 
 
 def density_correlation(density: DataFrame) -> DataFrame:
-    return density.agg(F.corr("business_count", "request_count").alias("correlation"))
+    """Correlation of the two counts: NaN where one of them is the same in all of several rows, null without two rows."""
+    both = F.col("business_count").isNotNull() & F.col("request_count").isNotNull()
+    x, y = (F.when(both, F.col(name).cast("double")) for name in ("business_count", "request_count"))
+    moments = density.agg(
+        F.count_if(both).alias("n"), F.covar_pop(x, y).alias("joint"), (F.stddev_pop(x) * F.stddev_pop(y)).alias("apart")
+    )
+    # not corr(), which divides by zero there
+    ratio = F.when(F.col("apart") == 0, float("nan")).otherwise(F.try_divide("joint", "apart"))
+    return moments.select(F.when(F.col("n") > 1, ratio).alias("correlation"))
 
 
 def density_fit(density: DataFrame) -> DataFrame:

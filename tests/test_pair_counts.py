@@ -1,5 +1,6 @@
 """Counted pairs against the pairs themselves."""
 
+import math
 import random
 
 import pytest
@@ -89,6 +90,15 @@ def test_reports_on_counts_equal_those_on_pairs(spark):
         assert rows(got, *got.columns) == rows(want, *want.columns) != []
 
 
+def test_correlation_of_a_constant_is_not_a_number(spark):
+    def found(data):
+        return reports.density_correlation(spark.createDataFrame(data, "request_count long, business_count long")).first()[0]
+
+    assert math.isnan(found([(1, 7), (2, 7), (3, 7)])) and math.isnan(found([(5, 1), (5, 2)]))
+    assert found([(1, 7)]) is None and found([]) is None and found([(None, 1), (2, 2)]) is None
+    assert found([(1, 2), (2, 4), (3, 6), (None, 9)]) == pytest.approx(1.0)
+
+
 def test_counting_makes_no_pairs(spark):
     requests = request_table(spark, [(i, "x", 40.0, -75.0) for i in range(3_000)])
     businesses = business_table(spark, [(i, "Pets", 40.0, -75.0) for i in range(2_000)])
