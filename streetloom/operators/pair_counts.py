@@ -23,6 +23,7 @@ from streetloom.fixed_values import EARTH_RADIUS_M, RADIUS_M
 from streetloom.functions.geo import haversine_m
 from streetloom.operators.radius import MARGIN, band, cells_in_band, chord, on_sphere, own_cell
 from streetloom.operators.skew import salted_sides
+from streetloom.session import ship_sources
 
 CELL_RADII = 4  # width of a cell
 HOT_CELL_ROWS = 200_000  # a cell with more rows on a side is cut into parts
@@ -253,6 +254,7 @@ def pair_counts(
     def run(one: pa.Table, other: pa.Table) -> pa.Table:
         return _count_task(one, other, radius_m, of_left, of_right, arrow)
 
+    ship_sources(left.sparkSession)
     counted = stay.groupBy("_task").cogroup(move.groupBy("_task")).applyInArrow(run, out)
     near = haversine_m(*[F.col(at) for at in _AT]) <= float(radius_m)
     return counted.where(F.col(_AT[0]).isNull() | near).drop(*_AT)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streetloom.session import checkpointed
+from streetloom.session import checkpointed, ship_sources
 
 _RECORDS = "file string, start bigint, number bigint, kind int, record string"
 WHOLE, HEAD, TAIL = 0, 1, 2
@@ -135,6 +135,7 @@ def _cut(lines: DataFrame, opens: dict[tuple[str, int], bool], quotes: bool) ->
                 yield pa.RecordBatch.from_arrays(arrays, columns)
         yield from left()
 
+    ship_sources(lines.sparkSession)
     return lines.mapInArrow(run, _RECORDS)
 
 
