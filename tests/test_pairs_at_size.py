@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from streetloom.operators.matching import match_summary
+from streetloom.operators.radius import radius_join
 from streetloom.operators.sentiment import with_sentiment
 
 PAIRS = "service_request_id bigint, business_id bigint, hybrid_score double, distance_m double, match_rank int"
@@ -53,3 +54,16 @@ def test_with_sentiment_moves_the_rollup_to_the_pairs(spark):
             assert sorted(map(tuple, rows), key=lambda r: r[0]) == expected
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_radius_join_sends_no_points_on_the_sphere(spark):
+    left = spark.range(50).selectExpr("id as l", "39.9D + id / 1e3D as lat", "-75.2D as lon")
+    right = spark.range(20).selectExpr("id as r", "39.9D + id / 1e3D as latitude", "-75.2D as longitude")
+    joined = radius_join(left, right)
+    below, sent = None, []
+    for line in _plan(joined).splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        below = below if below is not None and depth > below else depth if "Exchange hashpartitioning(cy" in line else None
+        sent += [line] if below is not None else []
+    assert sent and not [line for line in sent if "_lx" in line or "_rx" in line]
+    assert {(row.l, row.r) for row in joined.collect()} == {(a, b) for a in range(50) for b in range(20) if abs(a - b) <= 2}
