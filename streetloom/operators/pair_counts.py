@@ -28,10 +28,13 @@ from streetloom.session import ship_sources
 CELL_RADII = 4  # width of a cell
 HOT_CELL_ROWS = 200_000  # a cell with more rows on a side is cut into parts
 ROWS_PER_TASK = 300_000
+CANDIDATES_PER_BUCKET = 20_000_000  # rows of both sides of its cells multiplied; a bucket is compared and returned at once
+BUCKETS_PER_CELL = 4  # beyond, more buckets part no more cells
 BLOCK_ROWS = 32
 MAX_BLOCKS = 128  # along a side of a cell
 SMALL_CELL = 20_000  # candidates; cells of fewer are compared many at a time
-CHUNK = 4_000_000  # numbers in a matrix
+CHUNK = 1_000_000  # numbers in a matrix
+MAX_TOTALS = 4_000_000  # numbers in the matrix of a cell's counts, and counts kept before they are summed
 
 _AXES = ("_x", "_y", "_z")
 _AT = ("_left_lat", "_left_lon", "_right_lat", "_right_lon")
@@ -99,10 +102,15 @@ class _Count:
         self.sure = max(0.0, self.reach - 1e-13) ** 2 * (1 - 1e-9)
         self.maybe = (self.reach + 1e-13) ** 2 * (1 + 1e-9)
         self.codes, self.counts, self.open = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+        self.held, self.summed = 0, 0
 
     def add(self, codes: np.ndarray, counts: np.ndarray) -> None:
         self.codes.append(codes)
         self.counts.append(counts.astype(np.int64))
+        self.held += len(codes)
+        if self.held > max(MAX_TOTALS, 2 * self.summed):
+            codes, counts = self.totals()
+            self.codes, self.counts, self.held, self.summed = [codes], [counts], len(codes), len(codes)
 
     def totals(self) -> tuple[np.ndarray, np.ndarray]:
         codes, counts = np.concatenate(self.codes), np.concatenate(self.counts)
@@ -140,25 +148,29 @@ class _Count:
         width = np.sqrt(np.maximum.reduceat(((q - np.repeat(centre, ends - starts, axis=0)) ** 2).sum(axis=1), starts))
         q_sq, b_sq = (q**2).sum(axis=1), (b**2).sum(axis=1)
         slack = 1e-14 * (q_sq.max() + b_sq.max())
+        names_q, run_q = np.unique(of_q[rows_q], return_inverse=True)
+        at_once = len(names_q) * len(names_b) <= MAX_TOTALS
+        total = np.zeros((len(names_q), len(names_b)) if at_once else (0, 0))
         at = 0
         while at < len(starts):  # some blocks at a time, for the sake of memory
             rows = max(1, CHUNK // max(len(b), 1))
             to = at + 1
             while to < len(starts) and to - at < rows and ends[to] - starts[at] <= max(BLOCK_ROWS, CHUNK // len(names_b)):
                 to += 1
+            if not at_once:
+                names_q, run_q = np.unique(of_q[rows_q[starts[at] : ends[to - 1]]], return_inverse=True)
+                total = np.zeros((len(names_q), len(names_b)))
+            before = 0 if at_once else starts[at]
             part = slice(at, to)
             far = np.sqrt(np.maximum(0.0, (centre[part] ** 2).sum(axis=1)[:, None] + b_sq - 2 * centre[part] @ b.T))
             # errors of the matrix are far below a millionth of the radius or of the cell
             loose = 1e-6 * self.reach + 1e-7 * math.sqrt(q_sq.max() + b_sq.max())
             whole = far + width[part, None] <= self.reach - loose
             rim = ~whole & (far - width[part, None] <= self.reach + loose)
-            groups_q = of_q[rows_q[starts[at] : ends[to - 1]]]
-            names_q, run_q = np.unique(groups_q, return_inverse=True)
-            total = np.zeros((len(names_q), len(names_b)))
             whole = np.add.reduceat(whole, starts_b, axis=1, dtype=np.float64)
             for k in range(at, to):
                 here = slice(starts[k], ends[k])
-                own = run_q[starts[k] - starts[at] : ends[k] - starts[at]]
+                own = run_q[starts[k] - before : ends[k] - before]
                 first = _runs(own)  # a block's rows are in order of their groups
                 some, sizes = own[first], np.diff([*first, len(own)])
                 total[some] += sizes[:, None] * whole[k - at]
@@ -174,8 +186,9 @@ class _Count:
                 runs = _runs(run_b[near])
                 found = np.add.reduceat(np.add.reduceat(inside, first, axis=0, dtype=np.float64), runs, axis=1)
                 total[np.ix_(some, run_b[near[runs]])] += found
-            some_q, some_b = np.nonzero(total)
-            self.add(names_q[some_q] * self.right_groups + names_b[some_b], total[some_q, some_b])
+            if not at_once or to == len(starts):
+                some_q, some_b = np.nonzero(total)
+                self.add(names_q[some_q] * self.right_groups + names_b[some_b], total[some_q, some_b])
             at = to
 
 
@@ -242,11 +255,13 @@ def pair_counts(
     identity = ["_key", "_x", "_y", "_z"]
     # copies of a row lie in one part, so parts are cut by a row number too
     stay, move = (side.withColumn("_row", F.monotonically_increasing_id()) for side in (stay, move))
-    stay, move, keys, rows = salted_sides(stay, move, ["cy", "cx"], hot_cell_rows, [*identity, "_row"], [*identity, "_row"])
+    stay, move, keys, rows, candidates, cells = salted_sides(stay, move, ["cy", "cx"], hot_cell_rows, [*identity, "_row"], [*identity, "_row"])
     tasks = max(left.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK))
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(tasks)).alias("_task")
-    stay = stay.drop("_row", "_beyond").select("*", bucket)
-    move = move.drop("_row", "_beyond").select("*", bucket)
+    # a bucket is in memory as a whole, with its counts, so cells of many candidates should not share one
+    buckets = max(tasks, min(math.ceil(candidates / CANDIDATES_PER_BUCKET), BUCKETS_PER_CELL * cells))
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_task")
+    stay = stay.drop("_row", "_beyond").select("*", bucket).repartition(tasks, "_task")
+    move = move.drop("_row", "_beyond").select("*", bucket).repartition(tasks, "_task")
     fields = [*stay.select(*by_left).schema, *move.select(*by_right).schema, T.StructField(name, T.LongType())]
     out = T.StructType([*fields, *[T.StructField(at, T.DoubleType()) for at in _AT]])
     arrow, of_left, of_right = to_arrow_schema(out), list(by_left), list(by_right)

@@ -76,20 +76,25 @@ def _in_parts(
 
 def salted_sides(
     left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int, left_id: Sequence[str], right_id: Sequence[str]
-) -> tuple[DataFrame, DataFrame, list[str], int]:
-    """Both sides of a join on ``keys`` with hot keys cut into parts, the columns it is then on, and the rows of both.
+) -> tuple[DataFrame, DataFrame, list[str], int, float, int]:
+    """Both sides of a join on ``keys`` with hot keys cut into parts, the columns it is then on, the rows of both, their pairs
+    and the number of keys that have some.
 
     Counts the rows per key when called; as in ``salted_join`` every pair of rows still meets exactly once.
     """
     counts = _key_counts(left, right, keys)
-    n_hot, rows = counts.agg(F.count_if(_is_hot(limit, _pairs_of(limit, None))), F.coalesce(F.sum(F.col("l") + F.col("r")), F.lit(0))).first()
+    pairs = F.col("l").cast("double") * F.col("r")
+    n_hot, rows, candidates, met = counts.agg(
+        F.count_if(_is_hot(limit, _pairs_of(limit, None))), F.coalesce(F.sum(F.col("l") + F.col("r")), F.lit(0)),
+        F.coalesce(F.sum(pairs), F.lit(0.0)), F.count_if(pairs > 0),
+    ).first()
     if not n_hot:
-        return left, right, list(keys), rows
+        return left, right, list(keys), rows, candidates, met
     hot = checkpointed(_hot(counts, keys, limit, None))
     placed = F.broadcast(hot) if n_hot <= MAX_BROADCAST_KEYS else hot
     left = _in_parts(left, placed, keys, left_id, "left", "right").drop("_beyond")
     right = _in_parts(right, placed, keys, right_id, "right", "left").drop("_beyond")
-    return left, right, [*keys, "_left_part", "_right_part"], rows
+    return left, right, [*keys, "_left_part", "_right_part"], rows, candidates, met
 
 
 def left_in_parts(

@@ -3,9 +3,12 @@
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from streetloom.operators import pair_counts as pair_counts_module
 from streetloom.operators import reports
 from streetloom.operators.pair_counts import pair_counts
 from streetloom.operators.radius import radius_join
@@ -106,3 +109,31 @@ def test_counting_makes_no_pairs(spark):
     assert counted.agg(F.sum("n_pairs"), F.count("*")).first() == (6_000_000, 1)
     with pytest.raises(ValueError, match="no_such"):
         match_pairs(requests, businesses, default_affinity(spark), counted_by=["no_such"])
+
+
+@pytest.mark.parametrize("most", [1_000, 4_000_000])
+def test_counts_of_a_dense_cell_are_held_once(monkeypatch, most):
+    """However many blocks a cell is compared in, no more counts are kept than twice those of its groups."""
+    monkeypatch.setattr(pair_counts_module, "CHUNK", 30_000)
+    monkeypatch.setattr(pair_counts_module, "MAX_TOTALS", most, raising=False)
+    rng = np.random.default_rng(5)
+
+    def side(n, groups, name):
+        lat, lon = np.radians(40 + rng.random(n) * 0.008), np.radians(-75 + rng.random(n) * 0.01)
+        xyz = [np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)]
+        of = np.arange(n) % groups
+        columns = {"_key": [str(g) for g in of], f"_{name}_lat": np.degrees(lat), f"_{name}_lon": np.degrees(lon), "cy": np.zeros(n, int), "cx": np.zeros(n, int)}
+        return pa.table({**columns, **dict(zip(("_x", "_y", "_z"), xyz)), name: of}), np.stack(xyz, axis=1), of
+
+    (left, q, of_q), (right, b, of_b) = side(4_000, 20, "left"), side(300, 300, "right")
+    held, totals = [], pair_counts_module._Count.totals
+    monkeypatch.setattr(pair_counts_module._Count, "totals", lambda self: held.append(sum(map(len, self.codes))) or totals(self))
+    schema = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64()), *[(at, pa.float64()) for at in pair_counts_module._AT]])
+    found = pair_counts_module._count_task(left, right, 250.0, ["left"], ["right"], schema)
+    inside = np.sqrt(((q[:, None] - b) ** 2).sum(axis=2)) <= pair_counts_module.chord(250.0)
+    want = np.zeros((20, 300), int)
+    np.add.at(want, (np.broadcast_to(of_q[:, None], inside.shape)[inside], np.broadcast_to(of_b, inside.shape)[inside]), 1)
+    got = np.zeros((20, 300), int)
+    np.add.at(got, (found["left"].to_numpy(), found["right"].to_numpy()), found["n"].to_numpy())
+    assert (got == want).all() and want.any()
+    assert max(held) <= 3 * (want > 0).sum()
