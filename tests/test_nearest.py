@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from streetloom.operators import nearest
@@ -93,3 +94,43 @@ def test_closest_queries_make_no_pairs(spark, monkeypatch):
     n = queries.QUERIES["closest_match"](spark, "").count()
     every = match_pairs(once, roles["businesses"], affinity).count()
     assert n > 100 and n <= seen[0] < 1.5 * n < every / 2
+
+
+def _best_rows(pairs):
+    columns = [
+        "service_request_id", "business_id", "distance_m", "proximity_score", "category_similarity", "hybrid_score", "match_rank",
+        "service_name", "business_name", "primary_category",
+    ]
+    return sorted(map(tuple, pairs.where("match_rank = 1").select(columns).collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed, weights, radius", [(1, (0.5, 0.5), 250), (2, (0.0, 1.0), 250), (3, (0.9, -0.2), 60), (4, (-0.5, 0.5), 250), (5, (1.0, 0.0), 900)])
+def test_best_equals_the_first_ranked_of_all_pairs(spark, monkeypatch, seed, weights, radius):
+    monkeypatch.setattr(nearest, "BLOCK_ROWS", 4)
+    tables = _tables(spark, seed)
+    best, every = match_pairs(*tables, radius, *weights, best=True), match_pairs(*tables, radius, *weights)
+    found = _best_rows(best)
+    assert found == _best_rows(every) and len(found) > 150
+
+
+def test_best_matches_makes_no_pairs(spark, monkeypatch):
+    from catalog import queries
+
+    requests, businesses, affinity = _tables(spark, 7, 300, 300, steps=1000)
+    once = requests.where("service_request_id % 50 != 0").withColumn("lat", requests.lat * 1e-3 + 39.91)
+    roles = {"requests": once, "businesses": businesses.withColumn("latitude", businesses.latitude * 1e-3 + 39.91)}
+    monkeypatch.setattr(queries, "role", lambda spark, sf_dir, name: roles[name])
+    monkeypatch.setattr(queries, "_affinity", lambda spark: affinity)
+    seen, best_matches = [], queries.matching.best_matches
+    monkeypatch.setattr(queries.matching, "best_matches", lambda ranked, k: seen.append(ranked.count()) or best_matches(ranked, k))
+    found = queries.QUERIES["best_matches"](spark, "").collect()
+    every = match_pairs(once, roles["businesses"], affinity)
+    assert found == best_matches(every, 5).collect() and len(found) == 5
+    assert seen[0] < every.count() / 2
+
+
+def test_rows_that_cannot_be_best_are_left_out():
+    by = nearest._Scoring({("a", "x"): 1.0, ("a", "y"): 0.3}, 250.0, 0.5, 0.5)
+    away = np.array([2.0, 3.0, 40.0, 249.0]) / nearest.EARTH_RADIUS_M
+    kept = nearest._may_be_best(np.array([0]), np.array([1, 0, 0, 0]), away, 1.0 / nearest.EARTH_RADIUS_M, by)
+    assert kept.tolist() == [False, True, False, False]
